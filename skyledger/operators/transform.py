@@ -63,6 +63,7 @@ def judged(validated: DataFrame) -> DataFrame:
     )
     return validated.select(
         "batch_id",
+        "batch_seq",
         "ord",
         "source",
         valid.alias("valid"),

@@ -14,9 +14,10 @@ from skyledger.functions import instants, json_text
 from skyledger.functions.numbers import number_from_text
 from skyledger.functions.text import WHITE_SPACE_CLASS, is_blank, trimmed, utf16_length
 
-#: ``ord`` is the arrival order, STRUCT<batch_seq, file_pos, pos>.
+#: ``ord`` is the arrival order, STRUCT<batch_seq, batch_id, file_pos, pos>.
 CANDIDATE_COLUMNS = (
     "batch_id",
+    "batch_seq",
     "ord",
     "source",
     "raw_text",

@@ -9,6 +9,7 @@ needs a whole file in one task.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -41,6 +42,11 @@ def source_name(file: Column) -> Column:
     return F.regexp_replace(plain, "^s3[an]://", "s3://")
 
 
+def literal_path(path: str) -> str:
+    """A path whose own pattern characters are not taken for a glob."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
+
+
 def text_lines(
     spark: SparkSession, paths: str | Sequence[str], only_format: str | None = None
 ) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skyledger.session import written
@@ -77,14 +77,17 @@ def capped(candidates: DataFrame, max_records: int) -> tuple[DataFrame, DataFram
     return kept, truncated
 
 
-def as_batch(candidates: DataFrame, batch_id: str = "files", batch_seq: int = 0) -> DataFrame:
-    """Treat all files read together as one delivery, in file name order."""
+def delivered(candidates: DataFrame, batch_id: Column, batch_seq: Column, file_pos: Column) -> DataFrame:
+    """Give candidates their delivery and their place in the order of arrival."""
+    seq = batch_seq.cast("bigint")
     return candidates.select(
-        F.lit(batch_id).alias("batch_id"),
+        batch_id.alias("batch_id"),
+        seq.alias("batch_seq"),
         F.struct(
-            F.lit(batch_seq).cast("bigint").alias("batch_seq"),
-            F.col("file").alias("file_pos"),
-            "pos",
+            seq.alias("batch_seq"),
+            batch_id.alias("batch_id"),
+            file_pos.cast("string").alias("file_pos"),
+            F.col("pos").cast("bigint").alias("pos"),
         ).alias("ord"),
         "source",
         "raw_text",
@@ -93,3 +96,8 @@ def as_batch(candidates: DataFrame, batch_id: str = "files", batch_seq: int = 0)
         "root_kind",
         "parse_error",
     )
+
+
+def as_batch(candidates: DataFrame, batch_id: str = "files", batch_seq: int = 0) -> DataFrame:
+    """Treat all files read together as one delivery, in file name order."""
+    return delivered(candidates, F.lit(batch_id), F.lit(batch_seq), F.col("file"))
