@@ -27,32 +27,35 @@ _TOKEN = r'"(?:[^"\\]++|\\.)*+"|-?[0-9][-+0-9.eE]*+|[^"0-9-]++'
 _LETTERED_ESCAPES = ("0B", "0E", "0F", "1A", "1B", "1C", "1D", "1E", "1F")
 
 
-def one_value(text: Column) -> tuple[Column, Column]:
-    """``(wrapped, ok)``: the parsed text inside a one-element array, and whether
-    the text is exactly one JSON value.
+def wrapped(text: Column) -> Column:
+    """The text parsed inside ``[...]``; see :func:`is_one_value`."""
+    return F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+
+
+def is_one_value(text: Column, in_brackets: Column) -> Column:
+    """Whether a text, given with its :func:`wrapped` form, is exactly one JSON value.
 
     The parser ignores whatever follows the value it read, so the text is parsed
     inside ``[...]``: a second element, or trailing text, shows up there. Only a
     text with a ``]`` of its own could close that bracket early, and only then
     is it parsed a second time inside ``{...}``.
     """
-    wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
     closed = ~F.contains(text, F.lit("]")) | F.try_parse_json(
         F.concat(F.lit('{"v":'), text, F.lit("}"))
     ).isNotNull()
     ok = (
-        wrapped.isNotNull()
-        & F.try_variant_get(wrapped, "$[0]", "variant").isNotNull()
-        & F.try_variant_get(wrapped, "$[1]", "variant").isNull()
+        in_brackets.isNotNull()
+        & F.try_variant_get(in_brackets, "$[0]", "variant").isNotNull()
+        & F.try_variant_get(in_brackets, "$[1]", "variant").isNull()
         & closed
     )
-    return wrapped, F.coalesce(ok, F.lit(False))
+    return F.coalesce(ok, F.lit(False))
 
 
 def parsed(text: Column) -> Column:
     """VARIANT of a text that is exactly one JSON value, else NULL."""
-    wrapped, ok = one_value(text)
-    return F.when(ok, F.try_variant_get(wrapped, "$[0]", "variant"))
+    whole = wrapped(text)
+    return F.when(is_one_value(text, whole), F.try_variant_get(whole, "$[0]", "variant"))
 
 
 def array_items(df: DataFrame, text: str, into: str) -> DataFrame:
@@ -68,7 +71,7 @@ def array_items(df: DataFrame, text: str, into: str) -> DataFrame:
     as_member = F.from_json(
         F.concat(F.lit('{"v":'), F.col(text), F.lit("}")), "struct<v array<string>>", PARSER_OPTIONS
     )
-    looks_like_array = F.ltrim(F.translate(F.col(text), "\t\r\n", "   ")).startswith("[")
+    looks_like_array = first_mark(F.col(text)) == "["
     return (
         df.withColumn("_list", F.when(looks_like_array, as_list))
         .withColumn("_texts", F.when(F.size("_list") == 1, as_member["v"]))
@@ -86,11 +89,13 @@ def array_items(df: DataFrame, text: str, into: str) -> DataFrame:
     )
 
 
-def kind(value: Column) -> Column:
-    """ECMAScript type name of a VARIANT; ``undefined`` for SQL NULL."""
-    schema = F.schema_of_variant(value)
+def kind_of_schema(schema: Column) -> Column:
+    """ECMAScript type name from a VARIANT's schema text; ``undefined`` for NULL.
+
+    Give it a column computed once, not the expression: it is looked at repeatedly.
+    """
     return (
-        F.when(value.isNull(), "undefined")
+        F.when(schema.isNull(), "undefined")
         .when(schema == "STRING", "string")
         .when(schema == "VOID", "null")
         .when(schema == "BOOLEAN", "boolean")
@@ -100,16 +105,25 @@ def kind(value: Column) -> Column:
     )
 
 
-def kind_of_text(text: Column) -> Column:
-    """The same, from the first character of a JSON text; cheap for large values."""
-    first = F.left(F.ltrim(F.translate(text, "\t\r\n", "   ")), F.lit(1))
+def kind(value: Column) -> Column:
+    """ECMAScript type name of a VARIANT."""
+    return kind_of_schema(F.schema_of_variant(value))
+
+
+def first_mark(text: Column) -> Column:
+    """First visible character of a JSON text."""
+    return F.left(F.ltrim(F.translate(text, "\t\r\n", "   ")), F.lit(1))
+
+
+def kind_of_mark(mark: Column) -> Column:
+    """Type name from the first character of a JSON text; cheap for large values."""
     return (
-        F.when(text.isNull(), "undefined")
-        .when(first == "{", "object")
-        .when(first == "[", "array")
-        .when(first == '"', "string")
-        .when(first == "n", "null")
-        .when(first.isin("t", "f"), "boolean")
+        F.when(mark.isNull(), "undefined")
+        .when(mark == "{", "object")
+        .when(mark == "[", "array")
+        .when(mark == '"', "string")
+        .when(mark == "n", "null")
+        .when(mark.isin("t", "f"), "boolean")
         .otherwise("number")
     )
 

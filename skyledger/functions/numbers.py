@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from skyledger.functions.text import trimmed
-
 DECIMAL_TEXT = r"^[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?$"
 
 
@@ -14,9 +12,9 @@ def number_from_text(text: Column) -> Column:
     """DOUBLE for text that is a number, NULL for anything else.
 
     A bare cast would also take ``1d``, ``5f`` or ``NaN``, so the shape is
-    checked first. Blank text is NULL here; callers treat blank as absent.
+    checked first. The text must be trimmed; blank text is NULL here.
     """
-    t = trimmed(text)
+    t = text
     prefix = F.lower(F.substring(t, 1, 2))
     body = F.substring(t, 3, 64)
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from skyledger.functions import instants, json_text
 from skyledger.functions.numbers import number_from_text
-from skyledger.functions.text import WHITE_SPACE_CLASS, is_blank, trimmed, utf16_length
+from skyledger.functions.text import WHITE_SPACE_CLASS, trimmed, utf16_length
 
 #: ``ord`` is the arrival order, STRUCT<batch_seq, batch_id, file_pos, pos>.
 CANDIDATE_COLUMNS = (
@@ -82,52 +82,71 @@ def _double(value: Column) -> Column:
 
 
 def normalise_event_type(text: Column) -> Column:
-    """Upper case, separators to ``_``; anything not known becomes ``UNKNOWN``."""
-    name = F.regexp_replace(F.upper(trimmed(text)), rf"[{WHITE_SPACE_CLASS}-]+", "_")
-    return F.when(name.isin(*KNOWN_EVENT_TYPES), name).otherwise(UNKNOWN_EVENT_TYPE)
+    """Upper case, separators to ``_``; anything not known becomes ``UNKNOWN``.
+
+    The text must be trimmed.
+    """
+    name = F.regexp_replace(F.upper(text), rf"[{WHITE_SPACE_CLASS}-]+", "_")
+    known = F.array(*[F.lit(t) for t in KNOWN_EVENT_TYPES])
+    position = F.array_position(known, name)
+    return F.coalesce(F.get(known, (position - 1).cast("int")), F.lit(UNKNOWN_EVENT_TYPE))
+
+
+def _with_kinds(df: DataFrame, names: list[str]) -> DataFrame:
+    """Type names ``_k_x`` and trimmed string values ``_t_x`` of VARIANT columns ``_v_x``."""
+    df = df.withColumns({f"_s_{n}": F.schema_of_variant(f"_v_{n}") for n in names})
+    return df.withColumns(
+        {f"_k_{n}": json_text.kind_of_schema(F.col(f"_s_{n}")) for n in names}
+        | {
+            f"_t_{n}": F.when(F.col(f"_s_{n}") == "STRING", trimmed(_string(F.col(f"_v_{n}"))))
+            for n in names
+        }
+    ).drop(*[f"_s_{n}" for n in names])
 
 
-def coerced_number(value: Column, kind: Column) -> Column:
+def coerced_number(name: str) -> Column:
     """DOUBLE of a numeric VARIANT or of numeric text, else NULL."""
-    return F.when(kind == "number", _double(value)).when(
-        kind == "string", number_from_text(_string(value))
+    return F.when(F.col(f"_k_{name}") == "number", _double(F.col(f"_v_{name}"))).otherwise(
+        number_from_text(F.col(f"_t_{name}"))
     )
 
 
-def absent(value: Column, kind: Column) -> Column:
+def absent(name: str) -> Column:
     """Missing, null and blank text all count as absent."""
-    return kind.isin("undefined", "null") | ((kind == "string") & is_blank(_string(value)))
+    return F.col(f"_k_{name}").isin("undefined", "null") | F.coalesce(
+        F.col(f"_t_{name}") == "", F.lit(False)
+    )
 
 
 def _with_telemetry(df: DataFrame) -> DataFrame:
-    """Telemetry as an object with unquoted scalars: ``_tel`` VARIANT, ``_tel_kind``."""
-    raw = F.col("_tel_raw")
-    df = df.withColumn("_tel_raw_text", F.to_json(raw))
-    df = df.withColumn("_tel_raw_kind", json_text.kind_of_text(F.col("_tel_raw_text")))
-    is_text = F.col("_tel_raw_kind") == "string"
-    inner = F.when(is_text, trimmed(_string(raw)))
-    df = df.withColumn("_inner", inner)
-    df = df.withColumn("_embedded", F.when(is_text, json_text.parsed(F.col("_inner"))))
-    empty = F.col("_tel_raw_kind").isin("undefined", "null") | (F.col("_inner") == "")
+    """Telemetry as an object with unquoted scalars: ``_tel`` VARIANT, ``_tel_text``.
+
+    ``_tel_kind`` tells what it is when it is no object.
+    """
+    raw = F.col("_v_tel")
+    df = df.withColumn("_raw_text", F.to_json(raw))
+    df = df.withColumn("_raw_mark", F.left("_raw_text", F.lit(1)))
+    is_text = F.col("_raw_mark") == '"'
+    df = df.withColumn("_inner", F.when(is_text, trimmed(_string(raw))))
+    empty = F.col("_raw_mark").isNull() | (F.col("_raw_mark") == "n") | (F.col("_inner") == "")
     df = df.withColumn(
         "_tel",
-        F.when(empty, F.parse_json(F.lit("{}"))).when(is_text, F.col("_embedded")).otherwise(raw),
+        F.when(empty, F.parse_json(F.lit("{}")))
+        .when(is_text, json_text.parsed(F.col("_inner")))
+        .otherwise(raw),
     )
     df = df.withColumn(
         "_tel_text",
-        F.when(empty, "{}").when(is_text, F.to_json("_embedded")).otherwise(F.col("_tel_raw_text")),
+        F.when(empty, "{}").when(is_text, F.to_json("_tel")).otherwise(F.col("_raw_text")),
     )
     # Text that is no JSON stays a string, which the object check rejects.
-    df = df.withColumn(
-        "_tel_kind",
-        F.when(F.col("_tel_text").isNull(), "string").otherwise(
-            json_text.kind_of_text(F.col("_tel_text"))
-        ),
+    mark = F.coalesce(F.left("_tel_text", F.lit(1)), F.lit('"'))
+    df = df.withColumns(
+        {"_tel_mark": mark, "_quoted": json_text.has_quoted_scalar(F.col("_tel_text"))}
     )
-    df = df.withColumn("_quoted", json_text.has_quoted_scalar(F.col("_tel_text")))
-    return df.withColumn(
+    return df.withColumn("_tel_kind", json_text.kind_of_mark(F.col("_tel_mark"))).withColumn(
         "_tel",
-        F.when(F.col("_tel_kind") != "object", None)
+        F.when(F.col("_tel_mark") != "{", None)
         .when(F.col("_quoted"), F.try_parse_json(json_text.unquote_scalars(F.col("_tel_text"))))
         .otherwise(F.col("_tel")),
     )
@@ -135,69 +154,66 @@ def _with_telemetry(df: DataFrame) -> DataFrame:
 
 def _with_readings(df: DataFrame) -> DataFrame:
     """The modelled readings as DOUBLEs, and the canonical telemetry text."""
-    df = df.withColumns({f"_r_{name}": json_text.field(F.col("_tel"), name) for name in READINGS})
-    df = df.withColumns({f"_k_{name}": json_text.kind(F.col(f"_r_{name}")) for name in READINGS})
-    df = df.withColumns(
-        {
-            column: coerced_number(F.col(f"_r_{name}"), F.col(f"_k_{name}"))
-            for name, (column, _, _) in READINGS.items()
-        }
-    )
+    df = df.withColumns({f"_v_{n}": json_text.field(F.col("_tel"), n) for n in READINGS})
+    df = _with_kinds(df, list(READINGS))
+    df = df.withColumns({column: coerced_number(n) for n, (column, _, _) in READINGS.items()})
     # A reading given as text or null is replaced or removed in the object itself,
     # since the object is what the identity hash is taken over.
     untidy = F.lit(False)
-    for name in READINGS:
-        untidy = untidy | F.col(f"_k_{name}").isin("string", "null")
+    for n in READINGS:
+        untidy = untidy | F.col(f"_k_{n}").isin("string", "null")
     members = F.try_variant_get(F.col("_tel"), "$", "map<string,variant>")
     others = F.map_filter(members, lambda k, _: ~k.isin(*READINGS))
     readings = F.map_filter(
         F.create_map(
             *[
                 part
-                for name, (column, _, _) in READINGS.items()
-                for part in (F.lit(name), F.col(column).cast("variant"))
+                for n, (column, _, _) in READINGS.items()
+                for part in (F.lit(n), F.col(column).cast("variant"))
             ]
         ),
         lambda _, v: v.isNotNull(),
     )
     rebuilt = F.to_json(F.parse_json(F.to_json(F.map_concat(others, readings))))
-    return df.withColumn("_untidy", untidy).withColumn(
-        "telemetry",
-        json_text.canonical(
-            F.when(F.col("_untidy"), rebuilt)
-            .when(F.col("_quoted"), F.to_json("_tel"))
-            .otherwise(F.col("_tel_text"))
-        ),
+    df = df.withColumn(
+        "_sorted",
+        F.when(untidy, rebuilt)
+        .when(F.col("_quoted"), F.to_json("_tel"))
+        .otherwise(F.col("_tel_text")),
     )
+    return df.withColumn("telemetry", json_text.canonical(F.col("_sorted")))
 
 
-def _field_issues(now: Column) -> list[Column]:
-    """One conditional issue per rule, in field order; NULL where the rule holds."""
-    id_, id_kind = F.col("_id"), F.col("_id_kind")
-    drone, drone_kind = F.col("drone_id"), F.col("_drone_kind")
-    status, status_kind = F.col("_status"), F.col("_status_kind")
-    time = F.col("event_time")
+def _too_long(text: Column) -> Column:
+    return (F.octet_length(text) > MAX_ID_LENGTH) & (utf16_length(text) > MAX_ID_LENGTH)
 
-    found = [
-        F.when(
-            ~absent(id_, id_kind) & (id_kind != "string"),
-            issue("eventId", "invalid_type", _expected("string", id_kind)),
+
+def _field_rules(now: Column) -> list[tuple[Column, Column]]:
+    """(broken, issue) per rule, in field order."""
+    infinity = float("inf")
+    drone, time, status = F.col("drone_id"), F.col("event_time"), F.col("_status")
+    whole = status == F.floor(status)
+
+    status_message = F.when(
+        F.abs(status) > SAFE_INTEGER, "statusCode must be a whole number"
+    ).otherwise("statusCode must fit a 32-bit integer")
+    rules = [
+        (
+            ~absent("id") & (F.col("_k_id") != "string"),
+            issue("eventId", "invalid_type", _expected("string", F.col("_k_id"))),
         ),
-        F.when(
-            utf16_length(F.col("supplied_id")) > MAX_ID_LENGTH,
+        (
+            _too_long(F.col("supplied_id")),
             issue("eventId", "too_big", "Too big: expected string to have <=128 characters"),
         ),
-        F.when(drone_kind != "string", issue("droneId", "invalid_type", "droneId is required")),
-        F.when(drone == "", issue("droneId", "too_small", "droneId must not be empty")),
-        F.when(
-            utf16_length(drone) > MAX_ID_LENGTH,
-            issue("droneId", "too_big", "droneId is unreasonably long"),
-        ),
-        F.when(
+        (drone.isNull(), issue("droneId", "invalid_type", "droneId is required")),
+        (drone == "", issue("droneId", "too_small", "droneId must not be empty")),
+        (_too_long(drone), issue("droneId", "too_big", "droneId is unreasonably long")),
+        (
             time.isNull(),
             issue("timestamp", "invalid_type", "timestamp must be an ISO 8601 date or an epoch value"),
         ),
-        F.when(
+        (
             instants.too_old(time),
             issue(
                 "timestamp",
@@ -205,134 +221,115 @@ def _field_issues(now: Column) -> list[Column]:
                 "timestamp is implausibly old, which usually indicates a firmware clock fault",
             ),
         ),
-        F.when(
+        (
             instants.too_new(time, now),
             issue("timestamp", "custom", "timestamp is more than 24 hours in the future"),
         ),
-        F.when(
+        (
             F.col("event_type").isNull(),
             issue("eventType", "invalid_type", "eventType is required"),
         ),
-        F.when(
-            ~F.col("_status_absent") & (status.isNull() | (F.abs(status) == float("inf"))),
-            issue("statusCode", "invalid_type", _expected("number", status_kind)),
+        (
+            ~absent("status") & (status.isNull() | (F.abs(status) == infinity)),
+            issue("statusCode", "invalid_type", _expected("number", F.col("_k_status"))),
         ),
-        F.when(
-            (status != F.floor(status)) & (F.abs(status) < float("inf")),
+        (
+            ~whole & (F.abs(status) < infinity),
             issue("statusCode", "invalid_type", "statusCode must be a whole number"),
         ),
-        F.when(
-            (status == F.floor(status)) & (status > INT_MAX) & (status < float("inf")),
-            issue(
-                "statusCode",
-                "too_big",
-                F.when(status > SAFE_INTEGER, "statusCode must be a whole number").otherwise(
-                    "statusCode must fit a 32-bit integer"
-                ),
-            ),
+        (
+            whole & (status > INT_MAX) & (status < infinity),
+            issue("statusCode", "too_big", status_message),
         ),
-        F.when(
-            (status == F.floor(status)) & (status < INT_MIN) & (status > float("-inf")),
-            issue(
-                "statusCode",
-                "too_small",
-                F.when(status < -SAFE_INTEGER, "statusCode must be a whole number").otherwise(
-                    "statusCode must fit a 32-bit integer"
-                ),
-            ),
+        (
+            whole & (status < INT_MIN) & (status > -infinity),
+            issue("statusCode", "too_small", status_message),
         ),
-        F.when(
-            F.col("_tel_kind") != "object",
+        (
+            F.col("_tel_mark") != "{",
             issue("telemetryData", "invalid_type", _expected("object", F.col("_tel_kind"))),
         ),
     ]
-    for name, (column, low, high) in READINGS.items():
-        path = f"telemetryData.{name}"
-        value, value_kind = F.col(column), F.col(f"_k_{name}")
-        low_message, high_message = READING_MESSAGES[name]
-        given = ~absent(F.col(f"_r_{name}"), value_kind)
-        found += [
-            F.when(
-                given & (value.isNull() | (F.abs(value) == float("inf"))),
-                issue(path, "invalid_type", _expected("number", value_kind)),
-            ),
-            F.when(
-                (value < low) & (value > float("-inf")), issue(path, "too_small", low_message)
-            ),
-            F.when(
-                (value > high) & (value < float("inf")), issue(path, "too_big", high_message)
+    for n, (column, low, high) in READINGS.items():
+        path, value = f"telemetryData.{n}", F.col(column)
+        low_message, high_message = READING_MESSAGES[n]
+        rules += [
+            (
+                ~absent(n) & (value.isNull() | (F.abs(value) == infinity)),
+                issue(path, "invalid_type", _expected("number", F.col(f"_k_{n}"))),
             ),
+            ((value < low) & (value > -infinity), issue(path, "too_small", low_message)),
+            ((value > high) & (value < infinity), issue(path, "too_big", high_message)),
         ]
-    return found
+    return rules
+
+
+def _with_issues(df: DataFrame, now: Column) -> DataFrame:
+    rules = _field_rules(now)
+    broken = F.col("parse_error").isNotNull() | F.coalesce(
+        F.col("root_kind") != "object", F.lit(False)
+    )
+    for rule, _ in rules:
+        broken = broken | F.coalesce(rule, F.lit(False))
+    # The list is built for broken records only; most records have none.
+    found = F.array_compact(F.array(*[F.when(rule, what) for rule, what in rules]))
+    listed = (
+        F.when(~F.col("_broken"), F.array())
+        .when(
+            F.col("parse_error").isNotNull(),
+            F.array(issue("(root)", "parse_error", F.col("parse_error"))),
+        )
+        .when(
+            F.col("root_kind") != "object",
+            F.array(issue("(root)", "invalid_type", _expected("object", F.col("root_kind")))),
+        )
+        .otherwise(found)
+    )
+    return df.withColumn("_broken", broken).withColumn("issues", listed.cast(ISSUES_TYPE))
 
 
 def validated(candidates: DataFrame, now: Column | None = None) -> DataFrame:
     """Add the typed fields and ``issues`` to a candidate frame.
 
     ``now`` bounds future timestamps; pass a literal to make a run repeatable.
+    Each step is a column of its own, so that nothing is computed twice per row.
     """
     now = F.current_timestamp() if now is None else now
     value = F.col("value")
+    fields = {
+        "id": "eventId",
+        "drone": "droneId",
+        "ts": "timestamp",
+        "type": "eventType",
+        "status": "statusCode",
+    }
     df = candidates.withColumns(
-        {
-            "_id": json_text.field(value, "eventId"),
-            "_drone": json_text.field(value, "droneId"),
-            "_ts": json_text.field(value, "timestamp"),
-            "_type": json_text.field(value, "eventType"),
-            "_status_raw": json_text.field(value, "statusCode"),
-            "_tel_raw": json_text.field(value, "telemetryData"),
-        }
+        {f"_v_{n}": json_text.field(value, key) for n, key in fields.items()}
+        | {"_v_tel": json_text.field(value, "telemetryData")}
     )
+    df = _with_kinds(df, list(fields))
     df = df.withColumns(
         {
-            "_id_kind": json_text.kind(F.col("_id")),
-            "_drone_kind": json_text.kind(F.col("_drone")),
-            "_ts_kind": json_text.kind(F.col("_ts")),
-            "_type_kind": json_text.kind(F.col("_type")),
-            "_status_kind": json_text.kind(F.col("_status_raw")),
-        }
-    )
-    type_text = F.when(F.col("_type_kind") == "string", trimmed(_string(F.col("_type"))))
-    df = df.withColumns(
-        {
-            "supplied_id": F.when(
-                F.col("_id_kind") == "string", F.nullif(trimmed(_string(F.col("_id"))), F.lit(""))
-            ),
-            "drone_id": F.when(F.col("_drone_kind") == "string", trimmed(_string(F.col("_drone")))),
+            "supplied_id": F.nullif(F.col("_t_id"), F.lit("")),
+            "drone_id": F.col("_t_drone"),
             "event_time": F.when(
-                F.col("_ts_kind") == "number", instants.from_epoch(_double(F.col("_ts")))
-            ).when(F.col("_ts_kind") == "string", instants.from_text(_string(F.col("_ts")))),
-            "_type_text": F.nullif(type_text, F.lit("")),
-            "_status": coerced_number(F.col("_status_raw"), F.col("_status_kind")),
-            "_status_absent": absent(F.col("_status_raw"), F.col("_status_kind")),
-        }
-    )
-    df = df.withColumns(
-        {
+                F.col("_k_ts") == "number", instants.from_epoch(_double(F.col("_v_ts")))
+            ).otherwise(instants.from_text(F.col("_t_ts"))),
             "event_type": F.when(
-                F.col("_type_text").isNotNull(), normalise_event_type(F.col("_type_text"))
-            ),
-            "status_code": F.when(
-                (F.col("_status") == F.floor("_status"))
-                & F.col("_status").between(INT_MIN, INT_MAX),
-                F.col("_status").cast("int"),
+                F.col("_t_type") != "", normalise_event_type(F.col("_t_type"))
             ),
+            "_status": coerced_number("status"),
         }
     )
-    df = _with_readings(_with_telemetry(df))
-    found = F.array(*_field_issues(now))
-    issues = (
+    df = df.withColumn(
+        "status_code",
         F.when(
-            F.col("parse_error").isNotNull(),
-            F.array(issue("(root)", "parse_error", F.col("parse_error"))),
-        )
-        .when(
-            F.col("root_kind") != "object",
-            F.array(issue("(root)", "invalid_type", _expected("object", F.col("root_kind")))),
-        )
-        .otherwise(F.array_compact(found))
+            (F.col("_status") == F.floor("_status")) & F.col("_status").between(INT_MIN, INT_MAX),
+            F.col("_status").cast("int"),
+        ),
     )
-    return df.withColumn("issues", issues.cast(ISSUES_TYPE)).select(
+    df = _with_issues(_with_readings(_with_telemetry(df)), now)
+    return df.select(
         *[c for c in candidates.columns if c != "value"],
         "supplied_id",
         "drone_id",

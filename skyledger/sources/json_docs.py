@@ -22,13 +22,19 @@ NOT_JSON = "invalid JSON: the text is not one JSON value"
 
 def with_parsed(df: DataFrame, text: str, error: str) -> DataFrame:
     """Add ``value``, ``root_kind`` and ``parse_error`` for a text column."""
-    wrapped, ok = json_text.one_value(F.col(text))
+    wrapped = json_text.wrapped(F.col(text))
+    ok = json_text.is_one_value(F.col(text), F.col("_wrapped"))
     return (
-        df.withColumn("_ok", ok)
-        .withColumn("value", F.when(F.col("_ok"), F.try_variant_get(wrapped, "$[0]", "variant")))
-        .withColumn("root_kind", F.when(F.col("_ok"), json_text.kind_of_text(F.col(text))))
-        .withColumn("parse_error", F.when(~F.col("_ok"), error))
-        .drop("_ok")
+        df.withColumn("_wrapped", wrapped)
+        .withColumns({"_ok": ok, "_mark": json_text.first_mark(F.col(text))})
+        .withColumns(
+            {
+                "value": F.when(F.col("_ok"), F.try_variant_get("_wrapped", "$[0]", "variant")),
+                "root_kind": F.when(F.col("_ok"), json_text.kind_of_mark(F.col("_mark"))),
+                "parse_error": F.when(~F.col("_ok"), error),
+            }
+        )
+        .drop("_wrapped", "_ok", "_mark")
     )
 
 
