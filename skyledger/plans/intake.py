@@ -31,8 +31,14 @@ def instant(now: datetime | None) -> Column:
 
 
 def judge(candidates: DataFrame, now: datetime | None = None) -> DataFrame:
-    """Candidates with their verdict; see :func:`skyledger.operators.transform.judged`."""
-    return judged(validated(candidates, instant(now)))
+    """Candidates with their verdict; see :func:`skyledger.operators.transform.judged`.
+
+    The rows are written once to the shared folder and read back. Everything that
+    follows reads the few columns it needs from there, instead of parsing again, and
+    no later filter is pushed into the validation steps, where it would be computed
+    a second time.
+    """
+    return written(judged(validated(candidates, instant(now))), "judged")
 
 
 def run_intake(
@@ -44,13 +50,12 @@ def run_intake(
 ) -> DataFrame:
     """Store one set of deliveries and return their outcome rows.
 
-    The judged rows are written once to the shared folder and every output is
-    derived from there. Events are written before quarantine rows, so a run that
+    Events are written before quarantine rows, so a run that
     breaks in between leaves no rejected record without its accepted neighbours,
     and running it again finds the events in place.
     """
     at = instant(now)
-    rows = written(judge(candidates, now), "judged")
+    rows = judge(candidates, now)
     valid = rows.where("valid")
 
     # The accepted range of event times bounds the number of days.
