@@ -15,23 +15,21 @@ from skyledger.operators import accounting, analysis, dedupe, reads
 from skyledger.operators.transform import severity
 from skyledger.operators.validate import normalise_event_type
 from skyledger.plans.feed import (
-    FEED,
-    LATER,
     delivered_rows,
     events_table,
     feed,
     feed_candidates,
     record_text,
 )
-from skyledger.plans.intake import ingest_files, judge
-from skyledger.session import configure, scratch_path, spread
+from skyledger.plans.intake import judge, one_delivery, run_intake
+from skyledger.session import scratch_path, written
 from skyledger.sources.csv_rows import csv_candidates
-from skyledger.sources.json_docs import json_candidates, ndjson_candidates, documents
+from skyledger.sources.json_docs import json_candidates, ndjson_candidates
 from skyledger.sources.lines import sniffed_formats, text_lines
 from skyledger.sources.messages import classified, decoded_key, direct_candidates, notice_entries
-from skyledger.sources.payloads import as_batch, read_payloads
+from skyledger.sources.payloads import as_batch
 from skyledger.sources.tables import Tables
-from skyledger.streaming.intake_stream import file_stream, message_stream
+from skyledger.streaming.intake_stream import message_stream
 
 #: The clock of every registered query, so results do not depend on the day.
 NOW = dt.datetime(2026, 12, 1, tzinfo=dt.timezone.utc)
@@ -345,7 +343,7 @@ def q_error_share(spark, sf_dir):
 # --- files, messages and streams derived from the feed ------------------------------
 
 
-def _write_text(rows: DataFrame, head: str | None, name: str, folder_of: str = "files") -> str:
+def _write_text(rows: DataFrame, head: str | None, name: str) -> str:
     """Write ``(chunk, at, text)`` as one text file per chunk, in order of ``at``."""
     path = scratch_path(rows.sparkSession, name)
     if head is not None:
@@ -468,9 +466,10 @@ def _messages(spark, sf_dir) -> DataFrame:
         .when(F.col("seq") % 8 == 4, F.concat(record, F.lit("] trailing")))
         .otherwise(record)
     )
-    return feed(spark, sf_dir).select(
+    rows = feed(spark, sf_dir).select(
         F.concat(F.lit("m"), F.col("seq")).alias("message_id"), body.alias("body"), F.col("seq").alias("message_seq")
     )
+    return written(rows, "bodies")
 
 
 def q_messages(spark, sf_dir):
@@ -519,9 +518,7 @@ def q_intake_replay(spark, sf_dir):
 
 def _named(spark, tables, files, name):
     candidates = as_batch(ndjson_candidates(text_lines(spark, files)), name)
-    from skyledger.plans.intake import _one_delivery, run_intake
-
-    return run_intake(tables, candidates, _one_delivery(spark, name), name, NOW)
+    return run_intake(tables, candidates, one_delivery(spark, name), name, NOW)
 
 
 def q_stream_intake(spark, sf_dir):

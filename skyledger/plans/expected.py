@@ -182,16 +182,16 @@ def oracle_sql() -> dict[str, str]:
             count(*) filter (severity = 'error') as errors,
             round(count(*) filter (severity = 'error') / count(*), 6) as share from winners group by 1""",
         "q_csv_rows": f"""with {_FEED}, r as (select *, cast(floor(seq / 65536) as bigint) as chunk from feed)
-            select chunk, 1 + row_number() over w + coalesce(sum(case when seq % 17 = 0 and not broken then 1 else 0 end)
-                over (w rows between unbounded preceding and 1 preceding), 0) as line,
+            select chunk, cast(1 + row_number() over w + coalesce(sum(case when seq % 17 = 0 and not broken then 1 else 0 end)
+                over (w rows between unbounded preceding and 1 preceding), 0) as bigint) as line,
               case when not broken then drone_id end as drone_id,
               case when not broken then battery_pct end as battery_pct,
               case when not broken then {_CSV_NOTE} end as note,
               case when broken then 'malformed CSV row: expected 6 columns, found 2' end as parse_error
             from r window w as (partition by chunk order by seq)""",
         "q_ndjson_rows": f"""with {_FEED}, r as (select *, cast(floor(seq / 65536) as bigint) as chunk from feed)
-            select chunk, row_number() over w + sum(case when seq % 19 = 0 then 1 else 0 end)
-                over (w rows between unbounded preceding and current row) as line,
+            select chunk, cast(row_number() over w + sum(case when seq % 19 = 0 then 1 else 0 end)
+                over (w rows between unbounded preceding and current row) as bigint) as line,
               case when not broken then drone_id end as drone_id, broken as rejected
             from r window w as (partition by chunk order by seq)""",
         "q_json_rows": f"""with {_FEED} select 'doc-' || cast(floor(seq / 20) as bigint) || '#' ||
@@ -220,6 +220,6 @@ def oracle_sql() -> dict[str, str]:
               again as duplicates_in_batch, quarantined from c
             union all select 'load-2', received, valid, 0, valid, again, quarantined from c""",
         "q_stream_intake": f"""with {_WINNERS} select severity, count(*) as events, count(distinct event_id) as ids,
-            sum(coalesce(status_code, 0)) as status_sum from winners group by severity""",
+            cast(sum(coalesce(status_code, 0)) as bigint) as status_sum from winners group by severity""",
     }
     return {name: " ".join(text.split("\n")) for name, text in sql.items()}

@@ -79,7 +79,7 @@ def run_intake(
     return tables.outcomes().where(F.col("ingest_batch") == ingest_batch)
 
 
-def _one_delivery(spark: SparkSession, batch_id: str) -> DataFrame:
+def one_delivery(spark: SparkSession, batch_id: str) -> DataFrame:
     return spark.createDataFrame(
         [(batch_id, 0, "processed", None)],
         "batch_id string, batch_seq bigint, status string, error string",
@@ -103,7 +103,7 @@ def ingest_files(
     configure(spark)
     batch_id = batch_id or f"files-{uuid.uuid4().hex}"
     candidates = as_batch(read_payloads(spark, paths, max_records), batch_id)
-    return run_intake(tables, candidates, _one_delivery(spark, batch_id), batch_id, now)
+    return run_intake(tables, candidates, one_delivery(spark, batch_id), batch_id, now)
 
 
 def ingest_messages(

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from skyledger.functions.text import is_blank, trimmed
+from skyledger.functions.text import WHITE_SPACE_CLASS, trimmed
 from skyledger.session import written
 from skyledger.sources.lines import (
     STRETCH_KEY,
@@ -39,6 +39,10 @@ _CLOSED_FIELD = rf'{_LEAD}(?:{_QUOTED}"[^,]*+|(?!")[^,]*+)'
 ENDS_INSIDE = rf"^(?:{_CLOSED_FIELD},)*+{_LEAD}{_QUOTED}\z"
 #: One field with the comma before it.
 FIELD = rf',({_LEAD}(?:{_QUOTED}(?:"[^,]*+)?|[^,]*+))'
+#: A row of one cell that holds white space only.
+BLANK_ROW = (
+    rf'^(?:{_LEAD}"[{WHITE_SPACE_CLASS}]*+(?:"[{WHITE_SPACE_CLASS}]*+)?|[{WHITE_SPACE_CLASS}]*+)\z'
+)
 _QUOTED_PARTS = r'^\r*+"((?:[^"]++|"")*+)"?((?s:.*))$'
 
 
@@ -61,10 +65,6 @@ def cells_of(row: Column) -> Column:
     )
 
 
-def is_blank_row(cells: Column) -> Column:
-    return (F.size(cells) == 1) & is_blank(cells[0])
-
-
 def _with_effects(lines: DataFrame) -> DataFrame:
     """``opens``: ends inside quotes if started outside; ``stays``: if started inside."""
     quoted = F.contains(F.col("text"), F.lit('"'))
@@ -85,7 +85,7 @@ def _skeleton(lines: DataFrame) -> DataFrame:
     stretch, swapped by all its swaps. The list of swaps is bounded by the stretch.
     """
     opens, stays, at = F.col("opens"), F.col("stays"), F.col("at")
-    visible = ~is_blank(F.col("text")) & ~F.col("text").rlike(r'^\r*"[\t-\r ]*"\s*$')
+    visible = opens | ~F.col("text").rlike(BLANK_ROW)
     stats = stretch_stats(
         _with_effects(lines),
         F.max(F.when(opens == stays, at)).alias("set_at"),
@@ -276,8 +276,8 @@ def csv_candidates(lines: DataFrame, max_row_chars: int = MAX_ROW_CHARS) -> Data
     """Candidates of CSV text: one per row that is not blank."""
     rows = (
         logical_rows(lines, max_row_chars)
+        .where(F.col("part").isNotNull() | ~F.col("text").rlike(BLANK_ROW))
         .withColumn("cells", F.when(F.col("part").isNull(), cells_of(F.col("text"))))
-        .where(F.col("part").isNotNull() | ~is_blank_row(F.col("cells")))
     )
     ragged = F.size("cells") != F.size("header")
     error = F.when(
