@@ -194,20 +194,22 @@ def _member(value: Column, key: str) -> Column:
     return F.try_variant_get(value, f"$[{json.dumps(key)}]", "variant")
 
 
-def _contains(value: Column, wanted: Any, *, nested: bool = False) -> Column:
+def _some_item(items: Column, wanted: Any) -> Column:
+    return F.exists(items, lambda item: F.coalesce(_contains(item, wanted), F.lit(False)))
+
+
+def _contains(value: Column, wanted: Any) -> Column:
     kind = F.schema_of_variant(value)
     if isinstance(wanted, dict):
         test = kind.startswith("OBJECT")
         for key, inner in wanted.items():
-            test = test & F.coalesce(_contains(_member(value, key), inner, nested=True), F.lit(False))
+            test = test & F.coalesce(_contains(_member(value, key), inner), F.lit(False))
         return test
     if isinstance(wanted, (list, tuple)):
         items = F.try_variant_get(value, "$", "array<variant>")
         test = items.isNotNull()
         for inner in wanted:
-            test = test & F.exists(
-                items, lambda item, inner=inner: F.coalesce(_contains(item, inner), F.lit(False))
-            )
+            test = test & _some_item(items, inner)
         return test
     if wanted is None:
         return kind == "VOID"
