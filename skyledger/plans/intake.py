@@ -16,7 +16,7 @@ from skyledger.operators.accounting import DELIVERY, batch_counters, outcomes, s
 from skyledger.operators.dedupe import across_batches, known_ids
 from skyledger.operators.transform import judged
 from skyledger.operators.validate import validated
-from skyledger.session import configure, written
+from skyledger.session import configure, discard, written
 from skyledger.sources.messages import resolved
 from skyledger.sources.payloads import as_batch, read_payloads
 from skyledger.sources.tables import Tables
@@ -76,6 +76,7 @@ def run_intake(
     )
     result = outcomes(deliveries, batch_counters(rows), inserted, sample_errors(rows))
     tables.write_outcomes(result, ingest_batch, at)
+    discard(rows)
     return tables.outcomes().where(F.col("ingest_batch") == ingest_batch)
 
 
@@ -94,15 +95,17 @@ def ingest_files(
     batch_id: str | None = None,
     now: datetime | None = None,
     max_records: int | None = None,
+    scan: dict[str, str] | None = None,
 ) -> DataFrame:
     """Store every file under ``paths`` as one delivery.
 
-    Running it again over an archive, or over part of one, is a replay: what is
-    stored already counts as a duplicate and changes nothing.
+    Running it again over an archive is a replay: what is stored already counts as
+    a duplicate and changes nothing. ``scan`` narrows the files by the options of
+    Spark's file sources, such as ``modifiedAfter`` or ``pathGlobFilter``.
     """
     configure(spark)
     batch_id = batch_id or f"files-{uuid.uuid4().hex}"
-    candidates = as_batch(read_payloads(spark, paths, max_records), batch_id)
+    candidates = as_batch(read_payloads(spark, paths, max_records, scan), batch_id)
     return run_intake(tables, candidates, one_delivery(spark, batch_id), batch_id, now)
 
 

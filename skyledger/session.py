@@ -63,6 +63,16 @@ def written(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Remove what :func:`written` wrote, once nothing reads it any more."""
+    spark = df.sparkSession
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for folder in {path.rsplit("/", 1)[0] for path in df.inputFiles()}:
+        if "/skyledger/" in folder:
+            target = jvm.org.apache.hadoop.fs.Path(folder)
+            target.getFileSystem(conf).delete(target, True)
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Use all cores where the input comes in fewer splits than there are cores.
 

@@ -119,11 +119,16 @@ def json_candidates(documents: DataFrame) -> DataFrame:
 
 
 def documents(
-    spark: SparkSession, paths: str | Sequence[str], only_format: str | None = None
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    only_format: str | None = None,
+    scan: dict[str, str] | None = None,
 ) -> DataFrame:
     """Whole files as ``(file, text)``: one JSON document is one value."""
-    df = spark.read.option("recursiveFileLookup", "true").text(
-        paths if isinstance(paths, str) else list(paths), wholetext=True
+    df = (
+        spark.read.option("recursiveFileLookup", "true")
+        .options(**(scan or {}))
+        .text(paths if isinstance(paths, str) else list(paths), wholetext=True)
     )
     if only_format is not None:
         found = F.coalesce(format_of_name(F.col("_metadata.file_name")), F.lit("unknown"))

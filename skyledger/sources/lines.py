@@ -48,7 +48,10 @@ def literal_path(path: str) -> str:
 
 
 def text_lines(
-    spark: SparkSession, paths: str | Sequence[str], only_format: str | None = None
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    only_format: str | None = None,
+    scan: dict[str, str] | None = None,
 ) -> DataFrame:
     """Lines as ``(file, block, stretch, at, text)``; ``at`` orders lines of a stretch.
 
@@ -59,6 +62,7 @@ def text_lines(
     df = (
         spark.read.option("lineSep", "\n")
         .option("recursiveFileLookup", "true")
+        .options(**(scan or {}))
         .text(paths if isinstance(paths, str) else list(paths))
     )
     if only_format is not None:

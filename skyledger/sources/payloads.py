@@ -16,22 +16,26 @@ FORMATS = ("csv", "ndjson", "json")
 
 
 def read_payloads(
-    spark: SparkSession, paths: str | Sequence[str], max_records: int | None = None
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    max_records: int | None = None,
+    scan: dict[str, str] | None = None,
 ) -> DataFrame:
     """Candidates of every file under ``paths``; the format is found per file.
 
     The extension decides; content is looked at only where it says nothing. Each
     format is one branch over its own files.
     """
-    sniffed = written(sniffed_formats(text_lines(spark, paths, "unknown")), "sniffed")
+    sniffed = written(sniffed_formats(text_lines(spark, paths, "unknown", scan)), "sniffed")
     found = {row["format"] for row in sniffed.select("format").distinct().collect()}
 
     def of_format(form: str, read) -> DataFrame:
-        named = read(spark, paths, form)
+        named = read(spark, paths, form, scan)
         if form not in found:
             return named
         files = sniffed.where(F.col("format") == form).select("file")
-        return named.unionByName(read(spark, paths, "unknown").join(files, "file", "left_semi"))
+        others = read(spark, paths, "unknown", scan).join(files, "file", "left_semi")
+        return named.unionByName(others)
 
     branches = [
         csv_candidates(of_format("csv", text_lines)),

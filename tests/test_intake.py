@@ -58,7 +58,8 @@ def test_first_load_reload_and_other_format(spark, tmp_path, now):
 
     assert counts(ingest_files(spark, tables, str(tmp_path / "in"), now=now)) == (13, 6, 0, 1, 6)
     assert counts(ingest_files(spark, tables, str(tmp_path / "in"), now=now)) == (13, 0, 6, 1, 6)
-    assert counts(ingest_files(spark, tables, str(tmp_path / "nd"), now=now)) == (6, 0, 6, 0, 0)
+    replay = ingest_files(spark, tables, str(tmp_path), now=now, scan={"pathGlobFilter": "*.ndjson"})
+    assert counts(replay) == (6, 0, 6, 0, 0)
     assert tables.events().count() == 6
 
     reasons = {
