@@ -1,0 +1,62 @@
+import hashlib
+import random
+import re
+
+from skyledger.llm.secrets import checksum, find_secrets, mask_secrets, masked, op7_secret_scan, spans_of
+
+SCHEMA = "doc_id long, text string, spans int, kind string"
+
+
+def plain(text):
+    """The base spans straight from the patterns."""
+    out = []
+    for m in re.finditer(
+        r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
+        text or "",
+    ):
+        if len(m[2]) >= 12:
+            out.append((m.start(), 0, m.end(), "assign"))
+    out += [(m.start(), 1, m.end(), "access") for m in re.finditer("AKIA[A-Z0-9]+", text or "") if len(m[0]) >= 18]
+    out += [(m.start(), 2, m.end(), "hex") for m in re.finditer("[0-9a-f]+", text or "") if len(m[0]) >= 16]
+    return [(kind, start, end) for start, _, end, kind in sorted(out)]
+
+
+def test_spans_equal_the_patterns_on_random_texts():
+    rng = random.Random(5)
+    parts = ["password", "Passwd", "SECRET", "token", "api_key", "apiKey", "AKIA", "=", ":", " ", "  ", '"', "'", "0123456789abcdef", "abcdef", "ZZ0", "é", "ſecret", "Key", "x", "0" * 9, "Q" * 13, "\n", "."]
+    for _ in range(4000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randrange(14)))
+        assert [s for s in spans_of(text) if s[0] in ("assign", "access", "hex")] == plain(text), text
+
+
+def test_token_counts_only_with_its_checksum():
+    body = "A1b2" * 7 + "Zz"
+    good, bad = f"ghp_{body}{checksum(body)}", f"npm_{body}000000"
+    assert spans_of(f"é {good} {bad}") == [("github", 2, 2 + len(good))]
+
+
+def test_masking_merges_overlaps():
+    assert masked("abcdefgh", [("hex", 1, 4), ("assign", 3, 5), ("hex", 6, 7)], "#") == "a#f#h"
+    assert masked("abc", [("hex", 0, 3)], "#") == "#"
+
+
+def test_rows_nulls_repeats_and_clashing_columns(spark):
+    text = "token = abcdefabcdefabcdef9 AKIA" + "Z" * 14
+    rows = [(1, text, 7, "x"), (1, text, 7, "x"), (None, None, None, None), (2, "", 1, None), (3, "ab" * 200_000, 1, None)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    got = {(r.doc_id, tuple(tuple(s) for s in r.spans)) for r in find_secrets(docs).collect()}
+    assert got == {(1, tuple(spans_of(text))), (None, ()), (2, ()), (3, (("hex", 0, 400_000),))}
+    kept = mask_secrets(docs).collect()
+    assert len(kept) == 5 and kept[0].kind == "x" and kept[0].text.startswith("[SECRET]")
+    assert find_secrets(docs.limit(0)).count() == 0
+
+
+def test_query_against_plain_patterns(spark):
+    sf = "/root/testdata/sf0.001"
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    rows = op7_secret_scan(spark, sf).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        want = plain(texts[r.doc_id])
+        assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(s[0] == k for s in want) for k in ("assign", "access", "hex"))
+        assert r.base_sha256 == hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in want).encode()).hexdigest()
