@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from skyledger.llm.bpe import op9_bpe
+from skyledger.llm.fingerprint import op8_fingerprint
 from skyledger.llm.secrets import op7_secret_scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_secret_scan": op7_secret_scan,
+    "op8_fingerprint": op8_fingerprint,
     "op9_bpe": op9_bpe,
 }
 
