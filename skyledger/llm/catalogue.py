@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from skyledger.llm.bpe import op9_bpe
 from skyledger.llm.fingerprint import op8_fingerprint
+from skyledger.llm.mixing import op5_mixing
 from skyledger.llm.quality import op3_quality_classifier
 from skyledger.llm.secrets import op7_secret_scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_classifier": op3_quality_classifier,
+    "op5_mixing": op5_mixing,
     "op7_secret_scan": op7_secret_scan,
     "op8_fingerprint": op8_fingerprint,
     "op9_bpe": op9_bpe,
