@@ -11,9 +11,11 @@ from skyledger.llm.fingerprint import op8_fingerprint
 from skyledger.llm.mixing import op5_mixing
 from skyledger.llm.quality import op3_quality_classifier
 from skyledger.llm.secrets import op7_secret_scan
+from skyledger.llm.sharding import op4_sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_classifier": op3_quality_classifier,
+    "op4_sharding": op4_sharding,
     "op5_mixing": op5_mixing,
     "op7_secret_scan": op7_secret_scan,
     "op8_fingerprint": op8_fingerprint,
