@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from skyledger.llm.bpe import op9_bpe
 from skyledger.llm.fingerprint import op8_fingerprint
+from skyledger.llm.links import op1_url_filter
 from skyledger.llm.mixing import op5_mixing
 from skyledger.llm.quality import op3_quality_classifier
 from skyledger.llm.secrets import op7_secret_scan
 from skyledger.llm.sharding import op4_sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_url_filter": op1_url_filter,
     "op3_quality_classifier": op3_quality_classifier,
     "op4_sharding": op4_sharding,
     "op5_mixing": op5_mixing,
