@@ -10,6 +10,7 @@ from skyledger.llm.bpe import op9_bpe
 from skyledger.llm.fingerprint import op8_fingerprint
 from skyledger.llm.links import op1_url_filter
 from skyledger.llm.mixing import op5_mixing
+from skyledger.llm.neighbours import op6_nearest
 from skyledger.llm.quality import op3_quality_classifier
 from skyledger.llm.secrets import op7_secret_scan
 from skyledger.llm.sharding import op4_sharding
@@ -19,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_classifier": op3_quality_classifier,
     "op4_sharding": op4_sharding,
     "op5_mixing": op5_mixing,
+    "op6_nearest": op6_nearest,
     "op7_secret_scan": op7_secret_scan,
     "op8_fingerprint": op8_fingerprint,
     "op9_bpe": op9_bpe,
