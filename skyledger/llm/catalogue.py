@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from skyledger.llm.bpe import op9_bpe
 from skyledger.llm.fingerprint import op8_fingerprint
+from skyledger.llm.jaccard import op10_jaccard_join
 from skyledger.llm.links import op1_url_filter
 from skyledger.llm.mixing import op5_mixing
 from skyledger.llm.neighbours import op6_nearest
@@ -24,6 +25,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_secret_scan": op7_secret_scan,
     "op8_fingerprint": op8_fingerprint,
     "op9_bpe": op9_bpe,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 
 ORACLE_SQL: dict[str, str] = {}
