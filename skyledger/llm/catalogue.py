@@ -15,9 +15,11 @@ from skyledger.llm.neighbours import op6_nearest
 from skyledger.llm.quality import op3_quality_classifier
 from skyledger.llm.secrets import op7_secret_scan
 from skyledger.llm.sharding import op4_sharding
+from skyledger.llm.suffixes import op2_suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_quality_classifier": op3_quality_classifier,
     "op4_sharding": op4_sharding,
     "op5_mixing": op5_mixing,
