@@ -340,5 +340,22 @@ def jaccard_components(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFr
     return found.select("doc_id", "n_shingles", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
+def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """The row with the smallest id (nulls last) of each component; all columns stay.
+
+    Rows are told apart by a hash of id and text; of rows repeated in full, one stays.
+    """
+    keyed = docs.withColumn("row_key", F.xxhash64("doc_id", "text"))
+    found = jaccard_components(keyed.select(F.col("row_key").alias("doc_id"), "text"), n, percent)
+    ids = written(keyed.groupBy("row_key").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("times")), "jaccard-keys")
+    least = F.min(F.struct(F.col("ids.doc_id").isNull().alias("last"), F.col("ids.doc_id").alias("doc_id"), F.col("row_key").alias("row_key")))
+    chosen = found.select(F.col("doc_id").alias("row_key"), "component_id").join(ids.alias("ids"), "row_key")
+    chosen = written(chosen.groupBy("component_id").agg(least["row_key"].alias("kept_key")).select("kept_key"), "jaccard-kept")
+    kept = keyed.join(chosen, F.col("row_key") == F.col("kept_key"), "left_semi")
+    if not ids.where("times > 1").isEmpty():
+        kept = kept.dropDuplicates(["row_key"])
+    return kept.drop("row_key")
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
