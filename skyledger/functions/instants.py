@@ -19,12 +19,19 @@ ISO_TEXT = (
 PLAIN_ISO_TEXT = r"^\d{4}-\d{2}-(?:[01]\d|2[0-8])[T ]\d{2}:\d{2}:\d{2}(?:\.\d+)?Z?$"
 # The year 9999 in milliseconds; Spark's calendar functions end there.
 _LAST_EPOCH_MS = 253402300799999
+# The last instant an ECMAScript date can hold, in milliseconds.
+_LAST_DATE_MS = 8.64e15
 
 
 def from_epoch(number: Column) -> Column:
-    """TIMESTAMP from epoch seconds or milliseconds, cut to whole milliseconds."""
+    """TIMESTAMP from epoch seconds or milliseconds, cut to whole milliseconds.
+
+    What lies past the year 9999 is a date all the same, and too new for any range:
+    it comes out as the last instant Spark can write.
+    """
     ms = F.when(F.abs(number) < EPOCH_SECONDS_BELOW, number * 1000).otherwise(number)
-    return F.when(F.abs(ms) <= _LAST_EPOCH_MS, F.timestamp_millis(ms.cast("bigint")))
+    within = F.greatest(F.least(ms, F.lit(float(_LAST_EPOCH_MS))), F.lit(-float(_LAST_EPOCH_MS)))
+    return F.when(F.abs(ms) <= _LAST_DATE_MS, F.timestamp_millis(within.cast("bigint")))
 
 
 def from_iso_text(text: Column) -> Column:
@@ -39,7 +46,7 @@ def from_iso_text(text: Column) -> Column:
         "$1:00$2",
     )
     day = F.substring(text, 9, 2).try_cast("int")
-    rolled = F.concat(F.left(full, F.lit(8)), F.lit("01"), F.substring(full, 11, 64)).try_cast(
+    rolled = F.concat(F.left(full, F.lit(8)), F.lit("01"), F.substring(full, F.lit(11), F.length(full))).try_cast(
         "timestamp"
     ) + F.make_dt_interval(days=day - 1)
     instant = F.when(text.rlike(PLAIN_ISO_TEXT), text.try_cast("timestamp")).when(

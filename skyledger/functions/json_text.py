@@ -11,13 +11,19 @@ from skyledger.functions.text import WHITE_SPACE_CLASS
 PARSER_OPTIONS = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 
 _ESCAPED_SPACE = rf"(?:[{WHITE_SPACE_CLASS}]|\\[tnrf]|\\u000[bB])*+"
-#: A quoted value (never a key) that holds exactly a boolean or a plain number.
+#: A quoted value (never a key) that holds exactly a boolean or a plain number. With more digits
+#: before the point it is infinite as a DOUBLE, and stays text for the checks to see.
 QUOTED_SCALAR = (
     r'(?<=[:\[,])"' + _ESCAPED_SPACE
-    + r"(true|false|-?(?:0|[1-9]\d{0,400})(?:\.\d{1,400})?)"
+    + r"(true|false|-?(?:0|[1-9]\d{0,308})(?:\.\d++)?)"
     + _ESCAPED_SPACE + r'"(?=[,\]}])'
 )
 
+#: Such a number; ECMAScript writes it as null.
+_ENDLESS_SCALAR = (
+    r'(?<=[:\[,])"' + _ESCAPED_SPACE + r"-?[1-9]\d{309,}+(?:\.\d++)?" + _ESCAPED_SPACE + r'"(?=[,\]}])'
+)
+
 #: Text in which a number or an escape may be laid out differently from ECMAScript.
 _OTHER_LAYOUT = (
     r"[:\[,]-?(?:[0-9][0-9.]*E|[0-9.]{16,}|0\.000000|[0-9]+\.0[,\]}])|\\u00[01][0-9A-F]"
@@ -160,6 +166,7 @@ def canonical(sorted_text: Column) -> Column:
             .otherwise(token)
         )
 
+    sorted_text = F.regexp_replace(sorted_text, _ENDLESS_SCALAR, "null")
     tokens = F.regexp_extract_all(sorted_text, F.lit(_TOKEN), F.lit(0))
     return F.when(
         sorted_text.rlike(_OTHER_LAYOUT), F.array_join(F.transform(tokens, relaid), "")

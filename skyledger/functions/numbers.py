@@ -16,10 +16,13 @@ def number_from_text(text: Column) -> Column:
     """
     t = text
     prefix = F.lower(F.substring(t, 1, 2))
-    body = F.substring(t, 3, 64)
+    body = F.substring(t, F.lit(3), F.length(t))
 
-    def radix(mark: str, digits: str, base: int) -> Column:
-        return (prefix == mark) & body.rlike(f"^{digits}+$"), F.conv(body, base, 10).try_cast("double")
+    def radix(mark: str, digits: str, base: int) -> tuple[Column, Column]:
+        """Folded digit by digit, so that no length overflows; beyond a DOUBLE it is infinite."""
+        places = F.transform(F.split(F.lower(body), ""), lambda c: F.instr(F.lit("0123456789abcdef"), c) - 1)
+        value = F.aggregate(places, F.lit(0.0), lambda whole, digit: whole * base + digit)
+        return (prefix == mark) & body.rlike(f"^{digits}+$"), value
 
     (is_hex, hex_value), (is_oct, oct_value), (is_bin, bin_value) = (
         radix("0x", "[0-9a-fA-F]", 16),

@@ -9,9 +9,9 @@ from skyledger.operators.validate import ISSUES_TYPE
 
 #: A delivery: a message id, and its place in the order of arrival.
 DELIVERY = ("batch_id", "batch_seq")
-#: Attempts after which a message counts as dead.
+# Attempts after which a message counts as dead.
 MAX_ATTEMPTS = 3
-#: Alarm rules: window length, failures above which a window is bad, windows in a row.
+# Alarm rules: window length, failures above which a window is bad, windows in a row.
 ALARM_WINDOW = "300 seconds"
 ALARM_FAILURES = 5
 ALARM_WINDOWS = 2
@@ -54,15 +54,24 @@ def sample_errors(judged: DataFrame) -> DataFrame:
 
 
 def outcomes(
-    deliveries: DataFrame, counters: DataFrame, inserted: DataFrame, samples: DataFrame | None = None
+    deliveries: DataFrame,
+    counters: DataFrame,
+    inserted: DataFrame,
+    samples: DataFrame | None = None,
+    truncated: DataFrame | None = None,
 ) -> DataFrame:
     """One row per delivery ``(batch_id, batch_seq, status, error)`` with its counts.
 
     ``inserted`` is ``(batch_id, batch_seq, inserted)``; what was valid but not inserted had
-    been stored before.
+    been stored before. ``truncated`` is ``(batch_id, batch_seq, truncated)``: records that a
+    cap cut off unread, which ``received`` does not count.
     """
     key = list(DELIVERY)
     df = deliveries.join(counters, key, "left").join(inserted, key, "left")
+    if truncated is None:
+        df = df.withColumn("truncated", F.lit(0))
+    else:
+        df = df.join(truncated, key, "left")
     if samples is None:
         df = df.withColumn("sample_errors", F.lit(None).cast(ISSUES_TYPE))
     else:
@@ -81,6 +90,7 @@ def outcomes(
         (count("valid") - count("inserted")).alias("duplicates"),
         count("duplicates_in_batch").alias("duplicates_in_batch"),
         count("quarantined").alias("quarantined"),
+        count("truncated").alias("truncated"),
         F.coalesce("contract_smell", F.lit(False)).alias("contract_smell"),
         F.when(F.col("contract_smell"), F.col("sample_errors")).alias("sample_errors"),
         "error",

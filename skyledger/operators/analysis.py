@@ -57,6 +57,21 @@ def quarantine_rate(received: DataFrame, window: str = "5 minutes") -> DataFrame
     )
 
 
+def quarantine_rate_of_outcomes(outcomes: DataFrame, window: str = "5 minutes") -> DataFrame:
+    """Share of rejected records per time window of the stored outcomes."""
+    return (
+        outcomes.groupBy(F.window("finished_at", window).alias("w"))
+        .agg(F.sum("received").alias("received"), F.sum("quarantined").alias("quarantined"))
+        .where(F.col("received") > 0)
+        .select(
+            F.col("w.start").alias("window_start"),
+            "received",
+            "quarantined",
+            (F.col("quarantined") / F.col("received")).alias("rate"),
+        )
+    )
+
+
 def error_share(events: DataFrame) -> DataFrame:
     """Share of error events per day."""
     return (

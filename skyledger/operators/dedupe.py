@@ -34,8 +34,24 @@ def across_batches(rows: DataFrame) -> DataFrame:
 
     ``ord`` sorts by delivery first, so this alone also gives the winners inside
     each delivery; :func:`in_batch` need not run before it.
+
+    Ids and places alone are compared; the winners' other columns are fetched by
+    their place, so the wide rows of the losers are not sorted.
     """
-    return first_wins(rows, "event_id", "ord")
+    return winning_rows(rows, winners(rows))
+
+
+def winners(rows: DataFrame) -> DataFrame:
+    """``(event_id, ord)`` of the first row of every id."""
+    return rows.groupBy("event_id").agg(F.min("ord").alias("ord"))
+
+
+def winning_rows(rows: DataFrame, won: DataFrame) -> DataFrame:
+    """The rows at the places of :func:`winners`; a place holds one row."""
+    won = won.select(F.col("event_id").alias("_won_id"), F.col("ord").alias("_won_ord"))
+    return rows.join(
+        won, (F.col("event_id") == F.col("_won_id")) & (F.col("ord") == F.col("_won_ord")), "left_semi"
+    )
 
 
 def redeliveries(incoming: DataFrame, stored: DataFrame, **hints) -> DataFrame:
@@ -63,7 +79,8 @@ def known_ids(
 
     A derived id holds its event time, so a stored derived id can only match a
     derived one of the same event date. Callers who know the event ``days`` of
-    ``incoming``, and that it has no supplied ids, spare the scan of all others.
+    ``incoming``, and that it has no supplied ids, spare the scan of all others: both
+    conditions are on partition columns of the store.
     """
     ids = incoming.select("event_id")
     if days is None or any_supplied:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import base64
 import binascii
-import json
 import re
 from dataclasses import dataclass
 from datetime import datetime, timezone
@@ -27,6 +26,7 @@ READ_COLUMNS = (
     "source",
     "ingested_at",
 )
+# Page sizes.
 DEFAULT_PAGE = 50
 MAX_PAGE = 500
 _CURSOR_TIME = re.compile(r"\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(?:\.\d{1,6})?Z")
@@ -191,7 +191,8 @@ def contains(telemetry: Column, wanted: dict[str, Any]) -> Column:
 
 
 def _member(value: Column, key: str) -> Column:
-    return F.try_variant_get(value, f"$[{json.dumps(key)}]", "variant")
+    """By the key itself: in a path, quotes and other marks of a key would have a meaning."""
+    return F.try_element_at(F.try_variant_get(value, "$", "map<string,variant>"), F.lit(key))
 
 
 def _some_item(items: Column, wanted: Any) -> Column:
@@ -215,7 +216,14 @@ def _contains(value: Column, wanted: Any) -> Column:
         return kind == "VOID"
     if isinstance(wanted, bool):
         return (kind == "BOOLEAN") & (F.try_variant_get(value, "$", "boolean") == wanted)
-    if isinstance(wanted, (int, float)):
+    if isinstance(wanted, int):
+        # As decimals: large integers are distinct where doubles are not.
+        exact = F.try_variant_get(value, "$", "decimal(38,0)") == F.lit(str(wanted)).try_cast("decimal(38,0)")
+        real = F.try_variant_get(value, "$", "double")
+        return F.when(kind == "BIGINT", exact).when(
+            kind.startswith("DECIMAL"), exact & (real == F.rint(real))
+        ).otherwise(kind.isin("DOUBLE", "FLOAT") & (real == float(wanted)))
+    if isinstance(wanted, float):
         numeric = kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
         return numeric & (F.try_variant_get(value, "$", "double") == float(wanted))
     return (kind == "STRING") & (F.try_variant_get(value, "$", "string") == str(wanted))

@@ -192,7 +192,7 @@ def _field_rules(now: Column) -> list[tuple[Column, Column]]:
     """(broken, issue) per rule, in field order."""
     infinity = float("inf")
     drone, time, status = F.col("drone_id"), F.col("event_time"), F.col("_status")
-    whole = status == F.floor(status)
+    whole = status == F.rint(status)
 
     status_message = F.when(
         F.abs(status) > SAFE_INTEGER, "statusCode must be a whole number"
@@ -324,7 +324,7 @@ def validated(candidates: DataFrame, now: Column | None = None) -> DataFrame:
     df = df.withColumn(
         "status_code",
         F.when(
-            (F.col("_status") == F.floor("_status")) & F.col("_status").between(INT_MIN, INT_MAX),
+            (F.col("_status") == F.rint("_status")) & F.col("_status").between(INT_MIN, INT_MAX),
             F.col("_status").cast("int"),
         ),
     )

@@ -21,23 +21,23 @@ from skyledger.plans.feed import (
     feed_candidates,
     record_text,
 )
-from skyledger.plans.intake import judge, one_delivery, run_intake
-from skyledger.session import scratch_path, written
+from skyledger.plans.intake import ingest_files, ingest_messages, judge, one_delivery, run_intake
+from skyledger.session import configure, scratch_path, scratch_scope, written
 from skyledger.sources.csv_rows import csv_candidates
 from skyledger.sources.json_docs import json_candidates, ndjson_candidates
 from skyledger.sources.lines import sniffed_formats, text_lines
 from skyledger.sources.messages import classified, decoded_key, direct_candidates, notice_entries
 from skyledger.sources.payloads import as_batch
 from skyledger.sources.tables import Tables
-from skyledger.streaming.intake_stream import message_stream
+from skyledger.streaming.intake_stream import file_stream, message_stream
 
 #: The clock of every registered query, so results do not depend on the day.
 NOW = dt.datetime(2026, 12, 1, tzinfo=dt.timezone.utc)
 WINDOW = (dt.datetime(2024, 1, 10, tzinfo=dt.timezone.utc), dt.datetime(2024, 1, 20, tzinfo=dt.timezone.utc))
 DEVICE = "DRONE-042"
 PAGE_CURSOR = reads.Cursor(dt.datetime(2024, 1, 15, tzinfo=dt.timezone.utc), "~")
-#: Rows per derived file; it keeps files of one size whatever the table holds.
-FILE_ROWS = 65_536
+#: Rows per derived file: files of one size, and several of them, whatever the table holds.
+FILE_ROWS = 4096
 
 
 def _judged(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,8 +48,28 @@ def _valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(spark, sf_dir).where("valid").drop("issues", "valid")
 
 
+#: Where the feed of a folder is stored, for each application.
+_STORES: dict[tuple[str, str], Tables] = {}
+
+
+def _store(spark: SparkSession, sf_dir: str) -> Tables:
+    """The tables after an intake of all deliveries of the feed; made once for each application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STORES:
+        tables = Tables(spark, scratch_path(spark, "feed-store"))
+        candidates = feed_candidates(spark, sf_dir)
+        deliveries = delivered_rows(feed(spark, sf_dir)).select(*accounting.DELIVERY).distinct().select(
+            *accounting.DELIVERY, F.lit("processed").alias("status"), F.lit(None).cast("string").alias("error")
+        )
+        with scratch_scope(spark):
+            run_intake(tables, candidates, deliveries, "feed", NOW)
+        _STORES[key] = tables
+    return _STORES[key]
+
+
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedupe.across_batches(_valid(spark, sf_dir))
+    configure(spark)
+    return _store(spark, sf_dir).events()
 
 
 def _quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -184,7 +204,7 @@ def q_event_id(spark, sf_dir):
     return _shown(
         _valid(spark, sf_dir).select(
             "batch_id", F.col("ord.pos").alias("pos"), "event_id", "id_kind", "drone_id",
-            "event_time", "event_type", "status_code", "severity", "battery_pct", "telemetry",
+            "event_time", "event_type", "status_code", "severity", "battery_pct", "latitude", "longitude", "telemetry",
         )
     )
 
@@ -229,18 +249,9 @@ def q_batch_counters(spark, sf_dir):
 
 
 def _outcome_rows(spark, sf_dir):
-    """Outcome rows of the feed; deliveries with an odd number fail now and then."""
-    rows = _judged(spark, sf_dir)
-    winners = dedupe.across_batches(
-        rows.where("valid").select("event_id", "batch_id", "batch_seq", "ord")
-    )
-    inserted = winners.groupBy(*accounting.DELIVERY).agg(F.count(F.lit(1)).alias("inserted"))
-    deliveries = rows.select(*accounting.DELIVERY).distinct().select(
-        *accounting.DELIVERY,
-        F.lit("processed").alias("status"),
-        F.lit(None).cast("string").alias("error"),
-    )
-    return accounting.outcomes(deliveries, accounting.batch_counters(rows), inserted)
+    """Stored outcome rows of the feed."""
+    configure(spark)
+    return _store(spark, sf_dir).outcomes()
 
 
 def q_outcomes(spark, sf_dir):
@@ -251,7 +262,7 @@ def q_outcomes(spark, sf_dir):
 
 
 def _attempts(spark, sf_dir):
-    """Delivery attempts: one per event, a message being ten users' worth of events."""
+    """Delivery attempts: one per event, a message being four events in a row."""
     return events_table(spark, sf_dir).select(
         F.concat(F.lit("m"), F.floor(F.col("event_id") / 4)).alias("batch_id"),
         F.when(F.col("event_type").isin("error", "view"), "failed").otherwise("processed").alias("status"),
@@ -276,20 +287,20 @@ def q_dead_letter_alarm(spark, sf_dir):
 
 
 def q_device_events(spark, sf_dir):
-    return _shown(reads.device_events(_events(spark, sf_dir), DEVICE, limit=20)).drop("source")
+    return _shown(reads.device_events(_events(spark, sf_dir), DEVICE, limit=20)).drop("source", "ingested_at")
 
 
 def q_device_events_page2(spark, sf_dir):
     return _shown(
         reads.device_events(_events(spark, sf_dir), DEVICE, cursor=PAGE_CURSOR, limit=20)
-    ).drop("source")
+    ).drop("source", "ingested_at")
 
 
 def q_errors_window(spark, sf_dir):
     start, end = WINDOW
     return _shown(
         reads.errors_in_window(_events(spark, sf_dir), start=start, end=end, limit=100)
-    ).drop("source")
+    ).drop("source", "ingested_at")
 
 
 def q_cursors(spark, sf_dir):
@@ -304,7 +315,13 @@ def q_quarantine_latest(spark, sf_dir):
 
 def q_containment(spark, sf_dir):
     found = reads.containing(_events(spark, sf_dir), {"k": 7})
-    return found.select("event_id", "telemetry")
+    return found.select("event_id", F.to_json("telemetry").alias("telemetry"))
+
+
+def q_containment_nested(spark, sf_dir):
+    """Arrays match item by item in any order; keys may hold any character."""
+    wanted = {"motor": {"rpm": [None, 3, True], "é": "x"}}
+    return reads.containing(_events(spark, sf_dir), wanted).select("event_id", F.to_json("telemetry").alias("telemetry"))
 
 
 def q_event_count(spark, sf_dir):
@@ -321,8 +338,9 @@ def q_failing_fields(spark, sf_dir):
 def q_battery_altitude(spark, sf_dir):
     found = analysis.battery_by_altitude(_events(spark, sf_dir), "k")
     rounded = {c: F.round(c, 6) for c in ("correlation", "slope", "avg_battery")}
-    # A correlation over fewer than two distinct readings has no agreed value.
-    return found.where(F.col("readings") > 2).withColumns(rounded)
+    # Over so few readings engines do not agree on these two.
+    few = {c: F.when(F.col("readings") > 2, F.col(c)) for c in ("correlation", "slope")}
+    return found.withColumns(rounded).withColumns(few)
 
 
 def q_quarantine_rate(spark, sf_dir):
@@ -411,8 +429,8 @@ def q_ndjson_rows(spark, sf_dir):
 
 
 def _json_documents(rows: DataFrame) -> DataFrame:
-    """Documents of twenty records: an array each, spread over several lines."""
-    grouped = rows.where(~F.col("broken")).select(
+    """Documents of twenty records: an array each, spread over several lines; a broken record breaks its document."""
+    grouped = rows.select(
         F.floor(F.col("seq") / 20).alias("doc"), "seq", record_text().alias("record")
     )
     return grouped.groupBy("doc").agg(
@@ -427,7 +445,8 @@ def q_json_rows(spark, sf_dir):
         F.concat(F.lit("doc-"), F.col("doc")).alias("file"), "text"
     )
     return json_candidates(docs).select(
-        "source", F.try_variant_get("value", "$.droneId", "string").alias("drone_id"), "root_kind"
+        "source", F.try_variant_get("value", "$.droneId", "string").alias("drone_id"), "root_kind",
+        F.col("parse_error").isNotNull().alias("rejected"),
     )
 
 
@@ -525,7 +544,7 @@ def q_stream_intake(spark, sf_dir):
     """The feed as a stream of messages, some sent twice, stored once."""
     tables = Tables(spark, scratch_path(spark, "store"))
     path = scratch_path(spark, "message-drop")
-    sent = delivered_rows(feed(spark, sf_dir)).where(~F.col("broken")).select(
+    sent = delivered_rows(feed(spark, sf_dir)).select(
         F.concat("batch_id", F.lit("-"), "pos").alias("message_id"),
         record_text().alias("body"), F.col("pos").alias("message_seq"),
     )
@@ -540,6 +559,46 @@ def q_stream_intake(spark, sf_dir):
     return _stored_summary(tables)
 
 
+def q_file_stream(spark, sf_dir):
+    """The feed as files dropped into a folder, stored by a stream."""
+    tables = Tables(spark, scratch_path(spark, "store"))
+    files = _feed_files(spark, sf_dir)
+    query = (
+        file_stream(spark, files, tables, "files", scratch_path(spark, "stream"), clock=lambda: NOW)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return _stored_summary(tables)
+
+
+def q_redelivered_outcomes(spark, sf_dir):
+    """Every record a message; every third message is delivered twice at once."""
+    tables = Tables(spark, scratch_path(spark, "store"))
+    sent = feed(spark, sf_dir).select(
+        "seq", F.concat(F.lit("m"), F.col("seq")).alias("message_id"), record_text().alias("body")
+    )
+    sent = written(sent.unionByName(sent.where(F.col("seq") % 3 == 0)).drop("seq"), "redelivered")
+    out = ingest_messages(spark, tables, sent, ingest_batch="twice", now=NOW)
+    return out.select(
+        "batch_id", F.when(F.col("batch_seq") > 0, 1).otherwise(0).alias("delivery"), "received", "valid",
+        "inserted", "duplicates", "duplicates_in_batch", "quarantined",
+    )
+
+
+def q_record_cap(spark, sf_dir):
+    """A ceiling of records per file: what is cut is counted."""
+    tables = Tables(spark, scratch_path(spark, "store"))
+    files = _feed_files(spark, sf_dir)
+    out = ingest_files(spark, tables, files, batch_id="capped", now=NOW, max_records=1000)
+    return out.select("received", "truncated")
+
+
+def q_outcome_rate(spark, sf_dir):
+    rate = analysis.quarantine_rate_of_outcomes(_outcome_rows(spark, sf_dir), "1 day")
+    return _shown(rate.withColumn("rate", F.round("rate", 6)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: value for name, value in dict(globals()).items() if name.startswith("q_")
 }

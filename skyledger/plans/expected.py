@@ -42,10 +42,10 @@ def _judged(resent: bool = True) -> str:
       select *, 'm' || batch_seq as batch_id, 'sqs:m' || batch_seq || '#' || pos as source,
         {_TIME} as event_time, {_TYPE} as event_type,
         try_cast(nullif(status_text, '') as integer) as status_code,
-        '{{"batteryPct":' || {_NUMBER.format('battery_pct')} || ',"k":' || regexp_extract(props, '[0-9]+') || '}}'
-          as telemetry,
+        '{{"batteryPct":' || {_NUMBER.format('battery_pct')} || ',"k":' || regexp_extract(props, '[0-9]+') || ',"lat":'
+          || lat || ',"lon":' || lon || ',"motor":{{"rpm":[' || rpm || ',true,null],"é":"x"}}}}' as telemetry,
         not (broken or drone_id = '' or ({_TIME}) is null or trim(event_type_raw) = ''
-             or status_text = 'abc' or battery_pct > 100) as valid
+             or status_text = 'abc' or battery_pct > 100 or lat > 90 or lon < -180) as valid
       from sent),
     judged as (
       select *, {_SEVERITY} as severity,
@@ -73,11 +73,15 @@ _ISSUES = (
       union all select batch_id, pos, 'statusCode', 'invalid_type',
         'Invalid input: expected number, received string' from judged where not broken and status_text = 'abc'
       union all select batch_id, pos, 'telemetryData.batteryPct', 'too_big', 'batteryPct must be between 0 and 100'
-        from judged where not broken and battery_pct > 100)"""
+        from judged where not broken and battery_pct > 100
+      union all select batch_id, pos, 'telemetryData.lat', 'too_big', 'lat must be between -90 and 90'
+        from judged where not broken and lat > 90
+      union all select batch_id, pos, 'telemetryData.lon', 'too_small', 'Too small: expected number to be >=-180'
+        from judged where not broken and lon < -180)"""
 )
 _EVENT_COLUMNS = (
     f"event_id, drone_id, {_ISO.format('event_time')} as event_time, event_type, status_code, severity, "
-    "battery_pct, cast(null as double) as latitude, cast(null as double) as longitude, telemetry"
+    "battery_pct, cast(lat as double) as latitude, cast(lon as double) as longitude, telemetry"
 )
 _COUNTERS = (
     _J + """, counters as (
@@ -127,8 +131,8 @@ def oracle_sql() -> dict[str, str]:
         "q_validate_issues": f"with {_ISSUES} select * from issues",
         "q_event_id": f"""with {_J} select batch_id, pos, event_id,
             case when supplied_id is null then 'derived' else 'supplied' end as id_kind, drone_id,
-            {_ISO.format('event_time')} as event_time, event_type, status_code, severity, battery_pct, telemetry
-            from judged where valid""",
+            {_ISO.format('event_time')} as event_time, event_type, status_code, severity, battery_pct,
+            cast(lat as double) as latitude, cast(lon as double) as longitude, telemetry from judged where valid""",
         "q_dedup_in_batch": f"""with {_J} select batch_id, event_id, pos from judged where valid
             qualify row_number() over (partition by batch_id, event_id order by pos) = 1""",
         "q_first_wins": f"with {_WINNERS} select event_id, batch_id, source from winners",
@@ -168,20 +172,38 @@ def oracle_sql() -> dict[str, str]:
             order by {_CLOCK.replace('pos', 'j.pos')} desc, j.source desc limit 50""",
         "q_containment": f"""with {_WINNERS} select event_id, telemetry from winners
             where cast(json_extract(telemetry, '$.k') as bigint) = 7""",
+        "q_containment_nested": f"with {_WINNERS} select event_id, telemetry from winners where rpm = 3",
+        "q_redelivered_outcomes": f"""with {_judged(resent=False)}, twice as (
+              select 'm' || seq as message_id, 0 as again, * from judged
+              union all select 'm' || seq, 1, * from judged where seq % 3 = 0),
+            placed as (select *, valid and row_number() over (partition by event_id order by again, message_id) = 1 as won
+              from twice)
+            select message_id as batch_id, again as delivery, 1 as received, cast(valid as bigint) as valid,
+              cast(won as bigint) as inserted, cast(valid and not won as bigint) as duplicates,
+              0 as duplicates_in_batch, cast(not valid as bigint) as quarantined from placed""",
+        "q_record_cap": f"""with {_FEED}, f as (select cast(floor(seq / 4096) as bigint) as chunk, count(*) as n
+              from feed group by 1) select cast(sum(least(n, 1000)) as bigint) as received,
+              cast(sum(greatest(n - 1000, 0)) as bigint) as truncated from f""",
+        "q_file_stream": f"""with {_judged(resent=False)} select severity, count(distinct event_id) as events,
+            count(distinct event_id) as ids, cast(sum(coalesce(status_code, 0)) as bigint) as status_sum
+            from judged where valid group by severity""",
+        "q_outcome_rate": f"""with {_COUNTERS} select {_ISO.format("timestamp '2026-12-01'")} as window_start,
+            cast(sum(received) as bigint) as received, cast(sum(quarantined) as bigint) as quarantined,
+            round(sum(quarantined) / sum(received), 6) as rate from counters""",
         "q_event_count": f"with {_WINNERS} select count(*) as n from winners",
         "q_failing_fields": f"with {_ISSUES} select path, count(*) as n from issues group by path",
         "q_battery_altitude": f"""with {_WINNERS}, r as (select drone_id, battery_pct as b,
               cast(json_extract(telemetry, '$.k') as double) as a from winners)
-            select drone_id, count(*) as readings, round(corr(b, a), 6) as correlation,
-              round(regr_slope(b, a), 6) as slope, round(avg(b), 6) as avg_battery, min(b) as min_battery,
-              max(b) as max_battery from r group by drone_id having count(*) > 2""",
+            select drone_id, count(*) as readings, case when count(*) > 2 then round(corr(b, a), 6) end as correlation,
+              case when count(*) > 2 then round(regr_slope(b, a), 6) end as slope, round(avg(b), 6) as avg_battery,
+              min(b) as min_battery, max(b) as max_battery from r group by drone_id""",
         "q_quarantine_rate": f"""with {_J} select {_ISO.format(f"time_bucket(interval '5 minutes', {_CLOCK})")}
             as window_start, count(*) as received, count(*) filter (not valid) as quarantined,
             round(count(*) filter (not valid) / count(*), 6) as rate from judged group by 1""",
         "q_error_share": f"""with {_WINNERS} select strftime(event_time, '%Y-%m-%d') as day, count(*) as events,
             count(*) filter (severity = 'error') as errors,
             round(count(*) filter (severity = 'error') / count(*), 6) as share from winners group by 1""",
-        "q_csv_rows": f"""with {_FEED}, r as (select *, cast(floor(seq / 65536) as bigint) as chunk from feed)
+        "q_csv_rows": f"""with {_FEED}, r as (select *, cast(floor(seq / 4096) as bigint) as chunk from feed)
             select chunk, cast(1 + row_number() over w + coalesce(sum(case when seq % 17 = 0 and not broken then 1 else 0 end)
                 over (w rows between unbounded preceding and 1 preceding), 0) as bigint) as line,
               case when not broken then drone_id end as drone_id,
@@ -189,14 +211,16 @@ def oracle_sql() -> dict[str, str]:
               case when not broken then {_CSV_NOTE} end as note,
               case when broken then 'malformed CSV row: expected 6 columns, found 2' end as parse_error
             from r window w as (partition by chunk order by seq)""",
-        "q_ndjson_rows": f"""with {_FEED}, r as (select *, cast(floor(seq / 65536) as bigint) as chunk from feed)
+        "q_ndjson_rows": f"""with {_FEED}, r as (select *, cast(floor(seq / 4096) as bigint) as chunk from feed)
             select chunk, cast(row_number() over w + sum(case when seq % 19 = 0 then 1 else 0 end)
                 over (w rows between unbounded preceding and current row) as bigint) as line,
               case when not broken then drone_id end as drone_id, broken as rejected
             from r window w as (partition by chunk order by seq)""",
-        "q_json_rows": f"""with {_FEED} select 'doc-' || cast(floor(seq / 20) as bigint) || '#' ||
-            (row_number() over (partition by floor(seq / 20) order by seq) - 1) as source, drone_id,
-            'object' as root_kind from feed where not broken""",
+        "q_json_rows": f"""with {_FEED}, d as (select *, cast(floor(seq / 20) as bigint) as doc,
+              bool_or(broken) over (partition by floor(seq / 20)) as bad from feed)
+            select 'doc-' || doc || '#' || (row_number() over (partition by doc order by seq) - 1) as source, drone_id,
+              'object' as root_kind, false as rejected from d where not bad
+            union all select distinct 'doc-' || doc, cast(null as varchar), cast(null as varchar), true from d where bad""",
         "q_formats": """select 'f' || event_id as file, case event_id % 4 when 0 then 'ndjson' when 1 then 'json'
             when 2 then 'json' else 'csv' end as format from events""",
         "q_messages": f"""with {_BODIES}

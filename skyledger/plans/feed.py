@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.session import configure, spread
+from skyledger.session import configure
 from skyledger.sources.json_docs import NOT_JSON, with_parsed
 from skyledger.sources.payloads import delivered
 
@@ -30,7 +30,9 @@ select event_id as seq,
   case when event_id % 71 = 0 then 'abc' when event_id % 11 = 0 then ''
        when event_type = 'error' and event_id % 2 = 0 then '500' when event_type = 'error' then '503'
        when event_id % 13 = 0 then '404' else '200' end as status_text,
-  value as battery_pct, props, event_id % 101 = 0 as broken
+  value as battery_pct, props, event_id % 101 = 0 as broken, event_id % 5 = 0 as embedded,
+  case when event_id % 79 = 0 then 120 else event_id % 181 - 90 end as lat,
+  case when event_id % 83 = 0 then -300 else event_id % 361 - 180 end as lon, event_id % 7 as rpm
 from {events}
 """
 
@@ -45,17 +47,33 @@ def events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = spread(events_table(spark, sf_dir), "event_id")
-    return spark.sql(FEED, events=events)
+    # A small table comes in one split, and what is derived from it is many times its size.
+    return spark.sql(FEED, events=events_table(spark, sf_dir).repartition("event_id"))
 
 
 def record_text() -> Column:
-    """A feed row as the JSON text of a record; broken rows lack their end."""
+    """A feed row as the JSON text of a record; broken rows lack their end.
+
+    Some rows hold their telemetry as the JSON text of an object.
+    """
     quote = F.lit('"')
 
     def member(key: str, value: Column) -> Column:
         return F.concat(F.lit(f'"{key}":"'), value, quote, F.lit(","))
 
+    telemetry = F.concat(
+        F.lit('{"batteryPct":'),
+        F.col("battery_pct").cast("string"),
+        F.lit(',"lat":'),
+        F.col("lat"),
+        F.lit(',"lon":"'),
+        F.col("lon"),
+        F.lit('","motor":{"é":"x","rpm":['),
+        F.col("rpm"),
+        F.lit(",true,null]},"),
+        F.substring("props", F.lit(2), F.length("props")),
+    )
+    as_text = F.concat(quote, F.replace(telemetry, quote, F.lit('\\"')), quote)
     whole = F.concat(
         F.lit("{"),
         F.coalesce(member("eventId", F.col("supplied_id")), F.lit("")),
@@ -63,10 +81,8 @@ def record_text() -> Column:
         member("timestamp", F.col("timestamp_text")),
         member("eventType", F.col("event_type_raw")),
         member("statusCode", F.col("status_text")),
-        F.lit('"telemetryData":{"batteryPct":'),
-        F.col("battery_pct").cast("string"),
-        F.lit(","),
-        F.substring("props", 2, 1000),
+        F.lit('"telemetryData":'),
+        F.when(F.col("embedded"), as_text).otherwise(telemetry),
         F.lit("}"),
     )
     return F.when(F.col("broken"), F.left(whole, F.lit(20))).otherwise(whole)

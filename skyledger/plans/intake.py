@@ -13,10 +13,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.operators.accounting import DELIVERY, batch_counters, outcomes, sample_errors
-from skyledger.operators.dedupe import across_batches, known_ids
+from skyledger.operators.dedupe import known_ids, winners, winning_rows
 from skyledger.operators.transform import judged
 from skyledger.operators.validate import validated
-from skyledger.session import configure, discard, written
+from skyledger.session import configure, scratch_scope, written
 from skyledger.sources.messages import resolved
 from skyledger.sources.payloads import as_batch, read_payloads
 from skyledger.sources.tables import Tables
@@ -47,6 +47,7 @@ def run_intake(
     deliveries: DataFrame,
     ingest_batch: str,
     now: datetime | None = None,
+    truncated: DataFrame | None = None,
 ) -> DataFrame:
     """Store one set of deliveries and return their outcome rows.
 
@@ -63,9 +64,9 @@ def run_intake(
     any_supplied = not valid.where(F.col("id_kind") == "supplied").isEmpty()
     stored = tables.events().where(F.col("ingest_batch") != ingest_batch)
     known = known_ids(valid, stored, days=days, any_supplied=any_supplied)
-    candidates_in = valid.drop("valid", "issues").withColumnRenamed("payload", "raw")
-    fresh = across_batches(candidates_in).join(known, "event_id", "left_anti")
-    tables.write_events(fresh, ingest_batch, at)
+    fresh = winners(valid.select("event_id", "ord")).join(known, "event_id", "left_anti")
+    wide = valid.drop("valid", "issues").withColumnRenamed("payload", "raw")
+    tables.write_events(winning_rows(wide, fresh), ingest_batch, at)
     tables.write_quarantine(rows.where(~F.col("valid")), ingest_batch, at)
 
     inserted = (
@@ -74,9 +75,8 @@ def run_intake(
         .groupBy(*DELIVERY)
         .agg(F.count(F.lit(1)).alias("inserted"))
     )
-    result = outcomes(deliveries, batch_counters(rows), inserted, sample_errors(rows))
+    result = outcomes(deliveries, batch_counters(rows), inserted, sample_errors(rows), truncated)
     tables.write_outcomes(result, ingest_batch, at)
-    discard(rows)
     return tables.outcomes().where(F.col("ingest_batch") == ingest_batch)
 
 
@@ -105,8 +105,13 @@ def ingest_files(
     """
     configure(spark)
     batch_id = batch_id or f"files-{uuid.uuid4().hex}"
-    candidates = as_batch(read_payloads(spark, paths, max_records, scan), batch_id)
-    return run_intake(tables, candidates, one_delivery(spark, batch_id), batch_id, now)
+    with scratch_scope(spark):
+        files, cut = read_payloads(spark, paths, max_records, scan)
+        if cut is not None:
+            cut = cut.agg(F.sum("truncated").alias("truncated")).select(
+                F.lit(batch_id).alias("batch_id"), F.lit(0).cast("bigint").alias("batch_seq"), "truncated"
+            )
+        return run_intake(tables, as_batch(files, batch_id), one_delivery(spark, batch_id), batch_id, now, cut)
 
 
 def ingest_messages(
@@ -121,11 +126,13 @@ def ingest_messages(
 ) -> DataFrame:
     """Store the records of messages ``(message_id, body[, message_seq])``."""
     configure(spark)
-    found = resolved(spark, messages, template, max_records)
-    return run_intake(
-        tables,
-        found.candidates,
-        found.deliveries,
-        ingest_batch or f"messages-{uuid.uuid4().hex}",
-        now,
-    )
+    with scratch_scope(spark):
+        found = resolved(spark, messages, template, max_records)
+        return run_intake(
+            tables,
+            found.candidates,
+            found.deliveries,
+            ingest_batch or f"messages-{uuid.uuid4().hex}",
+            now,
+            found.truncated,
+        )

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,21 +37,49 @@ def get_session(app_name: str = "skyledger", **options: str) -> SparkSession:
     return configure(builder.getOrCreate())
 
 
+#: Scratch folders made since the innermost open :func:`scratch_scope`.
+_made: ContextVar[list[str] | None] = ContextVar("scratch folders", default=None)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (local tests) is one made, once per
-    application.
+    Only on a local master, where driver and executors are one process, is a folder made
+    if none is named, once per application.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        master = spark.sparkContext.master
+        if master.split("[")[0] != "local":
+            raise RuntimeError(
+                f"spark.checkpoint.dir must name a folder that the driver and all executors of {master} share"
+            )
         folder = tempfile.mkdtemp(prefix="skyledger-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/skyledger/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/skyledger/{name}-{uuid.uuid4().hex}"
+    made = _made.get()
+    if made is not None:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove the scratch folders made inside, also when the work in between fails."""
+    made: list[str] = []
+    token = _made.set(made)
+    try:
+        yield
+    finally:
+        _made.reset(token)
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for folder in made:
+            target = jvm.org.apache.hadoop.fs.Path(folder)
+            target.getFileSystem(conf).delete(target, True)
 
 
 def written(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
@@ -61,22 +92,3 @@ def written(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     path = path or scratch_path(spark, name)
     df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def discard(df: DataFrame) -> None:
-    """Remove what :func:`written` wrote, once nothing reads it any more."""
-    spark = df.sparkSession
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    for folder in {path.rsplit("/", 1)[0] for path in df.inputFiles()}:
-        if "/skyledger/" in folder:
-            target = jvm.org.apache.hadoop.fs.Path(folder)
-            target.getFileSystem(conf).delete(target, True)
-
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Use all cores where the input comes in fewer splits than there are cores.
-
-    A large input has enough splits and is left where it is read.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)

@@ -87,7 +87,7 @@ def _skeleton(lines: DataFrame) -> DataFrame:
     opens, stays, at = F.col("opens"), F.col("stays"), F.col("at")
     visible = opens | ~F.col("text").rlike(BLANK_ROW)
     stats = stretch_stats(
-        _with_effects(lines),
+        lines,
         F.max(F.when(opens == stays, at)).alias("set_at"),
         F.max(F.when((opens == stays) & opens, at)).alias("set_inside_at"),
         F.collect_list(F.when(opens & ~stays, at)).alias("swaps"),
@@ -146,7 +146,7 @@ def _assembled_rows(lines: DataFrame, skeleton: DataFrame, max_row_chars: int) -
     value comes out in ``part`` pieces, all of its text kept.
     """
     mixed = skeleton.where(~F.col("plain")).select(*STRETCH_KEY, "first_at", "base", "starts_inside")
-    lines = _with_effects(lines.join(mixed, list(STRETCH_KEY))).withColumn(
+    lines = lines.join(mixed, list(STRETCH_KEY)).withColumn(
         "line", F.col("base") + F.col("at") - F.col("first_at") + 1
     )
     w = Window.partitionBy(*STRETCH_KEY).orderBy("at")
@@ -185,6 +185,7 @@ def _assembled_rows(lines: DataFrame, skeleton: DataFrame, max_row_chars: int) -
     pieces = pieces.join(carried, list(STRETCH_KEY)).withColumn(
         "row_line", F.coalesce("row_line", "carry")
     )
+    pieces = written(pieces, "csv-pieces")
     row_key = ["file", "row_line"]
     sizes = pieces.groupBy(*row_key).agg(F.sum("chars").alias("chars"))
     oversize = sizes.where(F.col("chars") > max_row_chars).select(*row_key)
@@ -210,9 +211,10 @@ def _assembled_rows(lines: DataFrame, skeleton: DataFrame, max_row_chars: int) -
 def logical_rows(lines: DataFrame, max_row_chars: int = MAX_ROW_CHARS) -> DataFrame:
     """Data rows with their header: (file, block, stretch, line, text, part, header).
 
-    The first pass over the text writes the small skeleton; it decides whether a
-    second, row-assembling branch is needed at all.
+    The lines are written once with their places and effects. The skeleton, one row per
+    stretch, decides whether a row-assembling branch is needed at all.
     """
+    lines = written(_with_effects(lines), "csv-lines")
     skeleton = written(_skeleton(lines), "csv-skeleton")
     open_head = F.col("head.opens")
     some_mixed = not skeleton.where(~F.col("plain")).isEmpty()

@@ -5,6 +5,10 @@ Lines inside one split are read in order, though, which gives every line its pla
 inside a *stretch*: at most ``2**18`` consecutive lines of one split of one file. A
 small table with one row per stretch then turns places into line numbers. No step
 needs a whole file in one task.
+
+Where splits begin depends on the number of cores, which may change while a job runs.
+So lines are written once, together with their places, before anything counts them;
+all that follows reads the written places.
 """
 
 from __future__ import annotations
@@ -102,9 +106,10 @@ def with_base_line(stats: DataFrame) -> DataFrame:
 def numbered_lines(lines: DataFrame) -> DataFrame:
     """Add the physical ``line`` number, from 1, of every line in its file.
 
-    Reads the text twice: once to count, once to number. Nothing is shuffled but
-    the counts; the planner broadcasts them or not by their written size.
+    Nothing is shuffled but the counts; the planner broadcasts them or not by their
+    written size.
     """
+    lines = written(lines, "lines")
     bases = written(with_base_line(stretch_stats(lines)).drop("n_lines"), "line-bases")
     return lines.join(bases, list(STRETCH_KEY)).withColumn(
         "line", F.col("base") + F.col("at") - F.col("first_at") + 1

@@ -7,9 +7,11 @@ rejected record. Bodies are never read as CSV or NDJSON.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skyledger.functions import json_text
@@ -31,6 +33,8 @@ class Resolved:
     candidates: DataFrame
     #: (batch_id, batch_seq, status, error)
     deliveries: DataFrame
+    #: (batch_id, batch_seq, truncated) where ``max_records`` cut something off, or None
+    truncated: DataFrame | None = None
 
 
 def decoded_key(key: Column) -> Column:
@@ -38,10 +42,25 @@ def decoded_key(key: Column) -> Column:
     return F.try_url_decode(key)
 
 
+#: A delivery that repeats both id and number of another comes so much later.
+LATER_DELIVERY = 1 << 40
+
+
+def numbered_deliveries(messages: DataFrame) -> DataFrame:
+    """Make ``(message_id, message_seq)`` tell deliveries apart, also of a message sent twice.
+
+    The window runs over the deliveries of one message.
+    """
+    seq = F.col("message_seq").cast("bigint") if "message_seq" in messages.columns else F.lit(0).cast("bigint")
+    same = Window.partitionBy("message_id", "message_seq").orderBy("body")
+    return messages.withColumn("message_seq", seq).withColumn(
+        "message_seq", F.col("message_seq") + (F.row_number().over(same) - 1) * F.lit(LATER_DELIVERY)
+    )
+
+
 def classified(messages: DataFrame) -> DataFrame:
     """Add the parsed body and ``role``: rejected, test, notice or records."""
-    if "message_seq" not in messages.columns:
-        messages = messages.withColumn("message_seq", F.lit(0))
+    messages = numbered_deliveries(messages)
     df = with_parsed(messages, "body", NOT_JSON_BODY)
     value = F.col("value")
     is_object = F.col("root_kind") == "object"
@@ -139,16 +158,31 @@ def _path_key(path: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(path, "^s3[an]://", "s3://"), "^file:/+", "/")
 
 
-def missing_paths(spark: SparkSession, paths: list[str]) -> list[str]:
-    """The paths that do not exist, asked from the file system before the read."""
+#: Files that one set of messages may name; more are refused, as their names pass through the driver.
+MAX_FILES = 100_000
+#: File systems are asked about so many paths at once.
+PROBES = 32
+
+
+def unreadable_paths(spark: SparkSession, paths: list[str]) -> dict[str, str]:
+    """Why a path cannot be read, for those that cannot: each is opened once before the read."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    absent = []
-    for path in paths:
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        if not p.getFileSystem(conf).exists(p):
-            absent.append(path)
-    return absent
+
+    def trouble(path: str) -> str | None:
+        try:
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            files = p.getFileSystem(conf)
+            if not files.exists(p):
+                return "object not found: "
+            files.open(p).close()
+        except Py4JJavaError:
+            return "object cannot be read: "
+        return None
+
+    with ThreadPoolExecutor(PROBES) as pool:
+        found = dict(zip(paths, pool.map(trouble, paths), strict=True))
+    return {path: f"{why}{path}" for path, why in found.items() if why}
 
 
 def resolved(
@@ -160,8 +194,8 @@ def resolved(
     """Candidates of all messages, files included.
 
     ``messages`` is ``(message_id, body[, message_seq])``. A message naming a file
-    that is missing, or a key that cannot be decoded, fails as a whole and leaves
-    its neighbours alone. The driver handles the names of the files, as it does for
+    that is missing or cannot be opened, or a key that cannot be decoded, fails as a
+    whole and leaves its neighbours alone. The driver handles the names of the files, as it does for
     any read, never their content.
     """
     seen = written(classified(messages).drop("value"), "messages")
@@ -169,16 +203,17 @@ def resolved(
     whole = with_parsed(seen.drop("root_kind", "parse_error"), "body", NOT_JSON_BODY)
     direct = direct_candidates(whole)
     entries = written(notice_entries(seen, template), "notice-entries")
-    paths = [r["path"] for r in entries.select("path").where("path is not null").distinct().collect()]
-    absent = set(missing_paths(spark, paths))
-    readable = [p for p in paths if p not in absent]
-
-    trouble = F.when(F.col("key").isNull(), F.lit(BAD_KEY)).when(
-        F.col("path").isin(list(absent)) if absent else F.lit(False),
-        F.concat(F.lit("object not found: "), F.col("path")),
-    )
+    named = entries.select("path").where("path is not null").distinct().limit(MAX_FILES + 1)
+    paths = [r["path"] for r in named.collect()]
+    if len(paths) > MAX_FILES:
+        raise ValueError(f"the messages name more than {MAX_FILES} files; hand them over in smaller sets")
+    troubles = unreadable_paths(spark, paths)
+    readable = [p for p in paths if p not in troubles]
+
+    broken = spark.createDataFrame(list(troubles.items()), "path string, trouble string")
     failed = (
-        entries.withColumn("error", trouble)
+        entries.join(broken, "path", "left")
+        .withColumn("error", F.when(F.col("key").isNull(), F.lit(BAD_KEY)).otherwise(F.col("trouble")))
         .where(F.col("error").isNotNull())
         .groupBy("message_id", "message_seq")
         .agg(F.min_by("error", "entry_pos").alias("error"))
@@ -198,9 +233,13 @@ def resolved(
     usable = entries.join(failed, ["message_id", "message_seq"], "left_anti").withColumn(
         "path_key", _path_key(F.col("path"))
     )
-    files = read_payloads(spark, [literal_path(p) for p in readable], max_records).withColumn(
-        "path_key", _path_key(source_name(F.col("file")))
-    )
+    files, cut = read_payloads(spark, [literal_path(p) for p in readable], max_records)
+    files = files.withColumn("path_key", _path_key(source_name(F.col("file"))))
+    if cut is not None:
+        cut = cut.withColumn("path_key", _path_key(source_name(F.col("file")))).join(usable, "path_key")
+        cut = cut.groupBy(
+            F.col("message_id").alias("batch_id"), F.col("message_seq").cast("bigint").alias("batch_seq")
+        ).agg(F.sum("truncated").alias("truncated"))
     rows = files.join(usable, "path_key")
     suffix = F.substring(F.col("source"), F.char_length(source_name(F.col("file"))) + 1, 64)
     rows = rows.withColumn(
@@ -209,4 +248,4 @@ def resolved(
     from_files = delivered(
         rows, F.col("message_id"), F.col("message_seq"), F.format_string("%010d", F.col("entry_pos"))
     )
-    return Resolved(direct.unionByName(from_files), deliveries)
+    return Resolved(direct.unionByName(from_files), deliveries, cut)

@@ -20,9 +20,11 @@ def read_payloads(
     paths: str | Sequence[str],
     max_records: int | None = None,
     scan: dict[str, str] | None = None,
-) -> DataFrame:
+) -> tuple[DataFrame, DataFrame | None]:
     """Candidates of every file under ``paths``; the format is found per file.
 
+    Also ``(file, truncated)`` if ``max_records`` is given: how many it cut off.
+
     The extension decides; content is looked at only where it says nothing. Each
     format is one branch over its own files.
     """
@@ -43,7 +45,7 @@ def read_payloads(
         json_candidates(of_format("json", documents)),
     ]
     result = branches[0].unionByName(branches[1]).unionByName(branches[2])
-    return result if max_records is None else capped(result, max_records)[0]
+    return (result, None) if max_records is None else capped(result, max_records)
 
 
 def capped(candidates: DataFrame, max_records: int) -> tuple[DataFrame, DataFrame]:
@@ -53,6 +55,7 @@ def capped(candidates: DataFrame, max_records: int) -> tuple[DataFrame, DataFram
     asked. Counts per stretch locate the boundary, so only the one stretch that
     holds it is ranked row by row.
     """
+    candidates = written(candidates, "uncapped")
     counts = written(
         candidates.groupBy(*STRETCH_KEY)
         .agg(F.count(F.lit(1)).alias("n"))

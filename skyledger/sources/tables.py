@@ -12,19 +12,22 @@ from skyledger.operators.transform import SEVERITIES
 from skyledger.operators.validate import ISSUES_TYPE
 
 EVENT_SCHEMA = """
-    event_id string, id_kind string, drone_id string, event_time timestamp, event_type string,
+    event_id string, drone_id string, event_time timestamp, event_type string,
     status_code int, battery_pct decimal(5,2), latitude double, longitude double,
     telemetry variant, raw string, source string, batch_id string, batch_seq bigint,
-    ingested_at timestamp, event_date date, severity string, ingest_batch string
+    ingested_at timestamp, id_kind string, event_date date, severity string, ingest_batch string
 """
-EVENT_PARTITIONS = ("event_date", "severity", "ingest_batch")
+#: ``id_kind`` first: an id supplied by a device may come on any date, a derived one holds its date.
+EVENT_PARTITIONS = ("id_kind", "event_date", "severity", "ingest_batch")
 QUARANTINE_SCHEMA = f"""
     source string, raw_payload string, errors {ISSUES_TYPE}, batch_id string, batch_seq bigint,
-    failed_at timestamp, ingest_batch string
+    failed_at timestamp, failed_date date, ingest_batch string
 """
+QUARANTINE_PARTITIONS = ("failed_date", "ingest_batch")
+RETRY_SCHEMA = "message_id string, body string, message_seq bigint, attempts int, ingest_batch string"
 OUTCOME_SCHEMA = f"""
     batch_id string, batch_seq bigint, status string, received bigint, valid bigint,
-    inserted bigint, duplicates bigint, duplicates_in_batch bigint, quarantined bigint,
+    inserted bigint, duplicates bigint, duplicates_in_batch bigint, quarantined bigint, truncated bigint,
     contract_smell boolean, sample_errors {ISSUES_TYPE}, error string, finished_at timestamp,
     ingest_batch string
 """
@@ -85,6 +88,13 @@ class Tables:
     def outcomes(self) -> DataFrame:
         return self._read("ingest_outcomes", OUTCOME_SCHEMA)
 
+    def retries(self) -> DataFrame:
+        """Messages that failed and may be tried again, under the batch that failed them."""
+        return self._read("message_retries", RETRY_SCHEMA)
+
+    def write_retries(self, rows: DataFrame, ingest_batch: str) -> None:
+        self._write(rows.withColumn("ingest_batch", F.lit(ingest_batch)), "message_retries", "ingest_batch")
+
     def _write(self, df: DataFrame, name: str, *partitions: str) -> None:
         (
             df.write.mode("overwrite")
@@ -110,8 +120,8 @@ class Tables:
         ).select(*self.spark.createDataFrame([], EVENT_SCHEMA).columns)
         laid_out = (
             checked(shaped)
-            .hint("rebalance", "event_date", "severity")
-            .sortWithinPartitions("event_date", "severity", "drone_id", "event_time")
+            .hint("rebalance", "id_kind", "event_date", "severity")
+            .sortWithinPartitions("id_kind", "event_date", "severity", "drone_id", "event_time")
         )
         self._write(laid_out, "telemetry_events", *EVENT_PARTITIONS)
 
@@ -123,9 +133,10 @@ class Tables:
             "batch_id",
             "batch_seq",
             failed_at.alias("failed_at"),
+            F.to_date(failed_at).alias("failed_date"),
             F.lit(ingest_batch).alias("ingest_batch"),
         )
-        self._write(shaped, "telemetry_quarantine", "ingest_batch")
+        self._write(shaped, "telemetry_quarantine", *QUARANTINE_PARTITIONS)
 
     def write_outcomes(self, rows: DataFrame, ingest_batch: str, finished_at) -> None:
         shaped = rows.withColumns(

@@ -11,11 +11,14 @@ from datetime import datetime
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
+from skyledger.operators.accounting import MAX_ATTEMPTS
 from skyledger.plans.intake import ingest_files, ingest_messages
-from skyledger.session import configure
+from skyledger.session import configure, scratch_scope, written
 from skyledger.sources.lines import literal_path
+from skyledger.sources.messages import numbered_deliveries
 from skyledger.sources.tables import Tables
 
 Clock = Callable[[], datetime | None]
@@ -33,22 +36,41 @@ def message_stream(
     *,
     template: str = "s3a://{bucket}/{key}",
     clock: Clock = _no_clock,
+    max_attempts: int = MAX_ATTEMPTS,
 ) -> DataStreamWriter:
     """Writer for a stream of ``(message_id, body[, message_seq])``.
 
     A micro-batch run again after a failure carries the same batch number and so
-    replaces its own partitions.
+    replaces its own partitions. A message that fails, because its file is not there
+    yet or cannot be opened, is kept and tried again with the next micro-batch, up to
+    ``max_attempts`` times in all; its outcomes then make it a dead letter.
     """
 
     def store(batch: DataFrame, number: int) -> None:
-        ingest_messages(
-            batch.sparkSession,
-            tables,
-            batch,
-            ingest_batch=f"{name}-{number}",
-            now=clock(),
-            template=template,
-        )
+        spark = batch.sparkSession
+        ingest_batch = f"{name}-{number}"
+        with scratch_scope(spark):
+            waiting = tables.retries().where(F.col("ingest_batch") == f"{name}-{number - 1}").drop("ingest_batch")
+            if "message_seq" not in batch.columns:
+                batch = batch.withColumn("message_seq", F.lit(0).cast("bigint"))
+            fresh = batch.select("message_id", "body", "message_seq", F.lit(0).alias("attempts"))
+            tried = written(numbered_deliveries(fresh.unionByName(waiting)), "tried")
+            outcomes = ingest_messages(
+                spark,
+                tables,
+                tried.select("message_id", "body", "message_seq"),
+                ingest_batch=ingest_batch,
+                now=clock(),
+                template=template,
+            )
+            failed = outcomes.where("status = 'failed'").select(
+                F.col("batch_id").alias("message_id"), F.col("batch_seq").alias("message_seq")
+            )
+            again = tried.join(failed, ["message_id", "message_seq"], "left_semi").withColumn("attempts", F.col("attempts") + 1)
+            tables.write_retries(
+                again.where(F.col("attempts") < max_attempts).select("message_id", "body", "message_seq", "attempts"),
+                ingest_batch,
+            )
 
     return (
         messages.writeStream.queryName(name)

@@ -99,17 +99,17 @@ def test_messages(spark, tmp_path, now):
     tables = Tables(spark, str(tmp_path / "store"))
     raw = tmp_path / "raw"
     raw.mkdir()
-    (raw / "delivery batch [1].csv").write_text(
+    (raw / "night run [a].csv").write_text(
         "droneId,timestamp,eventType\nF1,2026-09-01T10:00:00Z,TAKEOFF\nF2,2026-09-01T10:00:00Z,TAKEOFF\n"
     )
-    (raw / "same.ndjson").write_text(json.dumps(RECORD) + "\n{oops\n")
+    (raw / "same.ndjson").write_text(json.dumps(RECORD) + "\n{\"open\":\n")
     bodies = {
         "record": json.dumps(RECORD),
         "array": json.dumps([{**RECORD, "droneId": "A1"}, {**RECORD, "droneId": "A2"}, 7]),
         "one": json.dumps([{**RECORD, "droneId": "A3"}]),
-        "text": "this is not json",
+        "text": "no braces here",
         "test": json.dumps({"Service": "Amazon S3", "Event": "s3:TestEvent", "Bucket": "raw"}),
-        "file": notice("delivery+batch+%5B1%5D.csv"),
+        "file": notice("night+run+%5Ba%5D.csv"),
         "twice": notice("same.ndjson", "same.ndjson"),
         "gone": notice("same.ndjson", "missing.csv"),
         "badkey": notice("%zz.csv"),
@@ -158,12 +158,12 @@ def test_messages(spark, tmp_path, now):
     sources = {r.source for r in tables.events().collect()}
     assert sources == {
         "sqs:record", "sqs:array#0", "sqs:array#1", "sqs:one",
-        "s3://raw/delivery batch [1].csv#L2", "s3://raw/delivery batch [1].csv#L3",
+        "s3://raw/night run [a].csv#L2", "s3://raw/night run [a].csv#L3",
     }
     bad = {r.source: r.raw_payload for r in tables.quarantine().collect() if r.source.startswith("sqs")}
-    assert bad["sqs:text"] == "this is not json"
+    assert bad["sqs:text"] == "no braces here"
     assert bad["sqs:array#2"] == "7"
-    assert {r.raw_payload for r in tables.quarantine().where("source like 's3://%'").collect()} == {"{oops"}
+    assert {r.raw_payload for r in tables.quarantine().where("source like 's3://%'").collect()} == {'{"open":'}
 
 
 def test_supplied_ids_match_on_any_day_and_kind(spark, tmp_path, now):
@@ -192,8 +192,65 @@ def test_stored_rows_are_checked(spark, tmp_path, now):
     for column, value in (
         ("battery_pct", F.lit(900).cast("decimal(5,2)")),
         ("latitude", F.lit(999.0)),
-        ("severity", F.lit("catastrophic")),
+        ("severity", F.lit("dreadful")),
         ("event_id", F.lit(None).cast("string")),
     ):
         with pytest.raises(Exception, match="stored event breaks"):
             checked(base.withColumn(column, value)).collect()
+
+
+def test_a_message_delivered_twice_at_once(spark, tmp_path, now):
+    tables = Tables(spark, str(tmp_path / "store"))
+    body = json.dumps(RECORD)
+    for columns, rows in (("message_id string, body string", [("a", body)] * 2), ("message_id string, body string, message_seq int", [("b", body, 4)] * 2)):
+        out = ingest_messages(spark, tables, spark.createDataFrame(rows, columns), ingest_batch=rows[0][0], now=now)
+        got = sorted((r.batch_seq, r.received, r.inserted, r.duplicates, r.duplicates_in_batch) for r in out.collect())
+        fresh = rows[0][0] == "a"
+        assert [g[1:] for g in got] == [(1, int(fresh), int(not fresh), 0), (1, 0, 1, 0)]
+    assert tables.events().count() == 1
+
+
+def test_hostile_values_leave_their_neighbours_alone(spark, tmp_path, now):
+    tables = Tables(spark, str(tmp_path / "store"))
+    hostile = [{"statusCode": "0x" + "F" * 40}, {"timestamp": 1e16}, {"telemetryData": {"lat": "9" * 500}}, {"statusCode": 1e300}]
+    bodies = [json.dumps({**RECORD, **h}) for h in hostile] + [json.dumps(RECORD)]
+    messages = spark.createDataFrame([(f"m{i}", b) for i, b in enumerate(bodies)], "message_id string, body string")
+    out = {r.batch_id: (r.inserted, r.quarantined) for r in ingest_messages(spark, tables, messages, now=now).collect()}
+    assert out == {"m0": (0, 1), "m1": (0, 1), "m2": (0, 1), "m3": (0, 1), "m4": (1, 0)}
+
+
+def test_what_a_cap_cuts_off_is_reported(spark, tmp_path, now):
+    tables = Tables(spark, str(tmp_path / "store"))
+    (tmp_path / "mixed.csv").write_text(mixed_csv())
+    row = ingest_files(spark, tables, str(tmp_path / "mixed.csv"), now=now, max_records=5).collect()[0]
+    assert (row.received, row.truncated) == (5, 8)
+    (tmp_path / "raw").mkdir()
+    (tmp_path / "raw" / "mixed.csv").write_text(mixed_csv())
+    sent = spark.createDataFrame([("n", notice("mixed.csv"))], "message_id string, body string")
+    row = ingest_messages(spark, tables, sent, now=now, template=f"{tmp_path}/{{bucket}}/{{key}}", max_records=4).collect()[0]
+    assert (row.status, row.received, row.truncated) == ("processed", 4, 9)
+
+
+def test_scratch_is_removed_also_after_a_failure(spark, tmp_path, now):
+    import glob
+
+    folder = spark.conf.get("spark.checkpoint.dir")
+    (tmp_path / "mixed.csv").write_text(mixed_csv())
+    before = set(glob.glob(f"{folder}/skyledger/*"))
+    ingest_files(spark, Tables(spark, str(tmp_path / "store")), str(tmp_path / "mixed.csv"), now=now)
+    with pytest.raises(Exception):
+        ingest_files(spark, Tables(spark, "nowhere://x"), str(tmp_path / "mixed.csv"), now=now)
+    assert set(glob.glob(f"{folder}/skyledger/*")) == before
+
+
+def test_known_ids_read_the_batch_dates_only(spark, tmp_path, now):
+    from skyledger.operators.dedupe import known_ids
+
+    tables = Tables(spark, str(tmp_path / "store"))
+    sent = spark.createDataFrame([("m", json.dumps(RECORD))], "message_id string, body string")
+    ingest_messages(spark, tables, sent, now=now)
+    days = [r[0] for r in tables.events().select("event_date").collect()]
+    known = known_ids(tables.events(), tables.events(), days=days, any_supplied=False)
+    plan = known._jdf.queryExecution().executedPlan().toString()
+    filters = [line for line in plan.splitlines() if "PartitionFilters" in line]
+    assert any("id_kind" in f.split("PartitionFilters")[1] and "event_date" in f.split("PartitionFilters")[1] for f in filters)

@@ -131,3 +131,42 @@ def test_empty_store_has_its_columns(spark, tmp_path):
     store = Tables(spark, str(tmp_path / "none"))
     assert store.events().columns == spark.createDataFrame([], EVENT_SCHEMA).columns
     assert analysis.failing_fields(store.quarantine().withColumnRenamed("raw_payload", "p")).count() == 0
+
+
+def test_containment_of_odd_keys_and_large_integers(spark):
+    rows = [
+        ('{"é":1}', {"é": 1}, True), ('{"a\\"b":[1]}', {'a"b': [1]}, True), ('{"$.x":{"[0]":null}}', {"$.x": {"[0]": None}}, True),
+        ('{"n":9007199254740993}', {"n": 9007199254740992}, False), ('{"n":9007199254740993}', {"n": 9007199254740993}, True),
+        ('{"n":2.0}', {"n": 2}, True), ('{"n":2.5}', {"n": 2}, False), ('{"n":true}', {"n": 1}, False), ('{"n":[1,{"m":false}]}', {"n": [{"m": False}, 1]}, True),
+    ]
+    for text, wanted, found in rows:
+        df = spark.createDataFrame([(text,)], "telemetry string")
+        assert (reads.containing(df, wanted).count() == 1) is found, (text, wanted)
+
+
+def test_a_failed_message_is_tried_again(spark, tmp_path, now):
+    """One file comes late, one never does."""
+    from skyledger.operators.accounting import dead_letters
+
+    store = Tables(spark, str(tmp_path / "store"))
+    record = {"droneId": "U1", "timestamp": "2026-09-01T10:00:00Z", "eventType": "TAKEOFF"}
+    notice = lambda key: json.dumps({"Records": [{"s3": {"bucket": {"name": "in"}, "object": {"key": key}}}]})
+    (tmp_path / "in").mkdir()
+    drop = str(tmp_path / "drop")
+    schema = "message_id string, body string"
+
+    def run(*messages):
+        spark.createDataFrame(messages, schema).write.mode("append").parquet(drop)
+        stream = spark.readStream.schema(schema).parquet(drop)
+        writer = message_stream(stream, store, "s", str(tmp_path / "ck"), template=f"{tmp_path}/{{bucket}}/{{key}}", clock=lambda: now)
+        writer.trigger(availableNow=True).start().awaitTermination()
+
+    run(("late", notice("late.ndjson")), ("never", notice("never.ndjson")))
+    assert store.events().count() == 0
+    (tmp_path / "in" / "late.ndjson").write_text(json.dumps(record) + "\n")
+    run(("x1", json.dumps({**record, "droneId": "U2"})))
+    assert store.events().count() == 2 and dead_letters(store.outcomes()).count() == 0
+    for i in (2, 3):
+        run((f"x{i}", json.dumps({**record, "droneId": f"V{i}"})))
+    assert [r.batch_id for r in dead_letters(store.outcomes()).collect()] == ["never"]
+    assert store.outcomes().where("batch_id = 'never'").count() == 3
