@@ -572,6 +572,47 @@ def q_file_stream(spark, sf_dir):
     return _stored_summary(tables)
 
 
+def q_stream_retry(spark, sf_dir):
+    """Notices of files, every second one of which comes later, and one of a file that never comes."""
+    tables = Tables(spark, scratch_path(spark, "store"))
+    folder, aside, drop = (scratch_path(spark, name) for name in ("early", "late", "notice-drop"))
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path
+    rows = feed(spark, sf_dir).select(_chunk().alias("chunk"), F.col("seq").alias("at"), record_text().alias("text"))
+    staged = path(_write_text(rows, None, "feed"))
+    files = staged.getFileSystem(conf)
+    files.rename(staged, path(folder))
+    keys = [
+        f"{part.getPath().getParent().getName()}/{part.getPath().getName()}"
+        for part in files.globStatus(path(f"{folder}/chunk=*/part-*"))
+    ]
+    late = [key for key in keys if int(key.split("/")[0].removeprefix("chunk=")) % 2 == 1]
+    for key in late:
+        files.mkdirs(path(f"{aside}/{key}").getParent())
+        files.rename(path(f"{folder}/{key}"), path(f"{aside}/{key}"))
+
+    def notice(key: str) -> str:
+        return f'{{"Records":[{{"s3":{{"bucket":{{"name":"drop"}},"object":{{"key":"{key}"}}}}}}]}}'
+
+    checkpoint, schema = scratch_path(spark, "stream"), "message_id string, body string"
+    sent = [[(key, notice(key)) for key in [*keys, "never"]], [("go-1", "[]")], [("go-2", "[]")]]
+    for turn, messages in enumerate(sent):
+        spark.createDataFrame(messages, schema).write.mode("append").parquet(drop)
+        stream = spark.readStream.schema(schema).parquet(drop)
+        writer = message_stream(stream, tables, "retry", checkpoint, template=f"{folder}/{{key}}", clock=lambda: NOW)
+        writer.trigger(availableNow=True).start().awaitTermination()
+        if turn == 0:
+            for key in late:
+                files.rename(path(f"{aside}/{key}"), path(f"{folder}/{key}"))
+    outcomes = tables.outcomes()
+    counts = outcomes.agg(
+        F.sum("received").alias("received"), F.sum("inserted").alias("inserted"),
+        F.count_if(F.col("status") == "failed").alias("failures"),
+    )
+    dead = accounting.dead_letters(outcomes).agg(F.count(F.lit(1)).alias("dead"))
+    return counts.join(dead).join(analysis.event_count(tables.events()).withColumnRenamed("n", "events"))
+
+
 def q_redelivered_outcomes(spark, sf_dir):
     """Every record a message; every third message is delivered twice at once."""
     tables = Tables(spark, scratch_path(spark, "store"))

@@ -181,6 +181,9 @@ def oracle_sql() -> dict[str, str]:
             select message_id as batch_id, again as delivery, 1 as received, cast(valid as bigint) as valid,
               cast(won as bigint) as inserted, cast(valid and not won as bigint) as duplicates,
               0 as duplicates_in_batch, cast(not valid as bigint) as quarantined from placed""",
+        "q_stream_retry": f"""with {_judged(resent=False)} select count(*) as received,
+            count(distinct event_id) as inserted, 3 + count(distinct floor(seq / 4096)) filter (floor(seq / 4096) % 2 = 1)
+            as failures, 1 as dead, count(distinct event_id) as events from judged""",
         "q_record_cap": f"""with {_FEED}, f as (select cast(floor(seq / 4096) as bigint) as chunk, count(*) as n
               from feed group by 1) select cast(sum(least(n, 1000)) as bigint) as received,
               cast(sum(greatest(n - 1000, 0)) as bigint) as truncated from f""",

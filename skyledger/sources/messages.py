@@ -7,6 +7,7 @@ rejected record. Bodies are never read as CSV or NDJSON.
 
 from __future__ import annotations
 
+import re
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -146,11 +147,9 @@ def notice_entries(classified_messages: DataFrame, template: str) -> DataFrame:
         F.try_variant_get("entry", "$.s3.bucket.name", "string").alias("bucket"),
         decoded_key(F.try_variant_get("entry", "$.s3.object.key", "string")).alias("key"),
     )
-    before, _, rest = template.partition("{bucket}")
-    between, _, after = rest.partition("{key}")
-    path = F.concat(
-        F.lit(before), F.col("bucket"), F.lit(between), F.col("key"), F.lit(after)
-    )
+    pieces = re.split(r"(\{bucket\}|\{key\})", template)
+    parts = {"{bucket}": F.col("bucket"), "{key}": F.col("key")}
+    path = F.concat(*[parts.get(piece, F.lit(piece)) for piece in pieces])
     return df.withColumn("path", path)
 
 

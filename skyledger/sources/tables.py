@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -143,3 +144,35 @@ class Tables:
             {"finished_at": finished_at, "ingest_batch": F.lit(ingest_batch)}
         )
         self._write(shaped, "ingest_outcomes", "ingest_batch")
+
+    def compact(self, before: date) -> None:
+        """Put the event files of the dates before ``before`` together, whatever batches they came with.
+
+        Ids, rows and the other partitions stay as they are; the rows now stand under the
+        batch ``compacted``. The new files are complete before an old one goes, and a call
+        that finds a complete set of an earlier call, which broke off, puts that in place
+        first. Like any write, it must be the only one at a time.
+        """
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        root = self.root.rstrip("/")
+        target, staged = f"{root}/telemetry_events", f"{root}/_compaction"
+        path = jvm.org.apache.hadoop.fs.Path
+        files = path(root).getFileSystem(conf)
+
+        def put_in_place() -> None:
+            # One folder for each kind, date and severity; none of them grows with the batches.
+            for found in files.globStatus(path(f"{staged}/id_kind=*/event_date=*/severity=*")):
+                place = found.getPath().toUri().getPath().rsplit("/_compaction/", 1)[1]
+                files.delete(path(f"{target}/{place}"), True)
+                files.mkdirs(path(f"{target}/{place}").getParent())
+                files.rename(found.getPath(), path(f"{target}/{place}"))
+            files.delete(path(staged), True)
+
+        if files.exists(path(f"{staged}/_SUCCESS")):
+            put_in_place()
+        old = self.events().where(F.col("event_date") < F.lit(before)).withColumn("ingest_batch", F.lit("compacted"))
+        laid_out = old.hint("rebalance", "id_kind", "event_date", "severity").sortWithinPartitions(
+            "id_kind", "event_date", "severity", "drone_id", "event_time"
+        )
+        laid_out.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*EVENT_PARTITIONS).parquet(staged)
+        put_in_place()

@@ -170,3 +170,22 @@ def test_a_failed_message_is_tried_again(spark, tmp_path, now):
         run((f"x{i}", json.dumps({**record, "droneId": f"V{i}"})))
     assert [r.batch_id for r in dead_letters(store.outcomes()).collect()] == ["never"]
     assert store.outcomes().where("batch_id = 'never'").count() == 3
+
+
+def test_compaction_keeps_ids_and_counts(spark, tmp_path):
+    store = Tables(spark, str(tmp_path / "store"))
+    for batch in range(4):
+        rows = spark.range(6).select(
+            F.concat(F.lit(f"e{batch}-"), F.col("id")).alias("event_id"), F.lit("derived").alias("id_kind"), F.lit("D").alias("drone_id"),
+            (F.lit(START) + F.make_dt_interval(days=(F.col("id") % 3).cast("int"))).alias("event_time"),
+            F.lit("TAKEOFF").alias("event_type"), F.lit(1).alias("status_code"), F.lit("info").alias("severity"),
+            F.lit(None).cast("decimal(5,2)").alias("battery_pct"), F.lit(None).cast("double").alias("latitude"), F.lit(None).cast("double").alias("longitude"),
+            F.lit("{}").alias("telemetry"), F.lit("{}").alias("raw"), F.lit("s").alias("source"), F.lit("b").alias("batch_id"), F.lit(0).cast("bigint").alias("batch_seq"),
+        )
+        store.write_events(rows, f"b{batch}", F.lit(START))
+    ids = sorted(r.event_id for r in store.events().select("event_id").collect())
+    for _ in range(2):
+        store.compact(dt.date(2026, 9, 3))
+        assert sorted(r.event_id for r in store.events().select("event_id").collect()) == ids
+        batches = {(str(r.event_date), r.ingest_batch) for r in store.events().select("event_date", "ingest_batch").distinct().collect()}
+        assert batches == {("2026-09-01", "compacted"), ("2026-09-02", "compacted")} | {("2026-09-03", f"b{i}") for i in range(4)}
