@@ -128,7 +128,7 @@ def _suffixes(length: int, anchor: int, size: int):
 
 
 #: What a task knows of a suffix after sorting: its stretch repeats; its anchor has other stretches (how many in all);
-#: it stands for the equal ones; open: the run of its g may go on in another task.
+#: it stands for the equal ones; open: it does so, and the run of its g may go on in another task.
 _SORTED = f"{_SUFFIX}, task int, repeats boolean, kinds long, first boolean, open boolean, count long"
 
 
@@ -147,7 +147,8 @@ def _sort_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     size_c = np.diff(np.append(runs_c, len(g)))
     kinds = np.add.reduceat(new_c.astype(np.int64), runs_g)
     of_g, of_c = np.cumsum(new_g) - 1, np.cumsum(new_c) - 1
-    opened = (g == g[0]) | (g == g[-1])
+    # The later rows of a run of equal stretches are decided: they repeat, and do not stand for the others.
+    opened = ((g == g[0]) | (g == g[-1])) & new_c
     keep = (size_c[of_c] > 1) | (kinds[of_g] > 1) | opened
     task = TaskContext.get().partitionId()
     rows = whole.take(pa.array(order[keep])).combine_chunks()
@@ -168,7 +169,7 @@ def _across(found: DataFrame) -> DataFrame:
     """The sorted suffixes, with the open ones decided by what all tasks together have of their tokens."""
     spark = found.sparkSession
     # Of each task, the stretches at the ends of its first and last run and the number of stretches in these runs: a few numbers.
-    ends = found.where("open and first").groupBy("task", "g").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.min_by("count", "c").alias("n0"), F.max_by("count", "c").alias("n1"), F.first("kinds").alias("kinds"))
+    ends = found.where("open").groupBy("task", "g").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.min_by("count", "c").alias("n0"), F.max_by("count", "c").alias("n1"), F.first("kinds").alias("kinds"))
     by_g: dict[int, list] = {}
     for r in ends.collect():
         by_g.setdefault(r.g, []).append(r)
