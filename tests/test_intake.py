@@ -254,3 +254,24 @@ def test_known_ids_read_the_batch_dates_only(spark, tmp_path, now):
     plan = known._jdf.queryExecution().executedPlan().toString()
     filters = [line for line in plan.splitlines() if "PartitionFilters" in line]
     assert any("id_kind" in f.split("PartitionFilters")[1] and "event_date" in f.split("PartitionFilters")[1] for f in filters)
+
+
+def test_an_unreadable_file_fails_its_own_message(spark, tmp_path, now, monkeypatch):
+    import skyledger.sources.messages as module
+
+    tables = Tables(spark, str(tmp_path / "store"))
+    raw = tmp_path / "raw"
+    (raw / "folder.ndjson").mkdir(parents=True)
+    (raw / "long.json").write_text(json.dumps([RECORD] * 40))
+    (raw / "good.ndjson").write_text(json.dumps(RECORD) + "\n")
+    monkeypatch.setattr(module, "MAX_DOCUMENT_BYTES", 1000)
+    sent = [(k, notice(f"{k}")) for k in ("folder.ndjson", "long.json", "good.ndjson")]
+    out = ingest_messages(
+        spark, tables, spark.createDataFrame(sent, "message_id string, body string"), now=now,
+        template=f"{tmp_path}/{{bucket}}/{{key}}",
+    )
+    got = {r.batch_id: (r.status, r.inserted, (r.error or "").split(":")[0]) for r in out.collect()}
+    assert got == {
+        "folder.ndjson": ("failed", 0, "object cannot be read"), "long.json": ("failed", 0, "JSON document is too large"),
+        "good.ndjson": ("processed", 1, ""),
+    }
