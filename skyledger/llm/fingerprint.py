@@ -106,39 +106,31 @@ _MADE_NAMES = [c.split()[0] for c in _MADE.split(", ")]
 _MADE_TYPES = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
 
 
-def _pairs(texts: list[str], after: list[str]) -> list[pa.Array]:
-    """The made columns for texts and the texts that follow them."""
-    both, spelt = digests([*texts, *after])
+def _made_columns(texts: list[str], after: list[str], codes: np.ndarray, spelt: list[str], after_codes: np.ndarray) -> list[pa.Array]:
+    """The made columns of texts with their digests, and the texts that follow them with theirs."""
     changed = [edited(t, u) for t, u in zip(texts, after, strict=True)]
-    raw = [t.encode("utf-8", "surrogatepass") for t in changed]
     other, other_spelt = digests(changed)
-    n = len(texts)
     values = (
         [len(t) for t in texts],
-        [hashlib.sha256(r).hexdigest() for r in raw],
-        spelt[:n],
+        [hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for t in changed],
+        spelt,
         other_spelt,
-        _likeness(both[:n], other),
-        _likeness(both[:n], both[n:]),
+        _likeness(codes, other),
+        _likeness(codes, after_codes),
     )
     return [pa.array(v, t) for v, t in zip(values, _MADE_TYPES, strict=True)]
 
 
+def _pairs(texts: list[str], after: list[str]) -> list[pa.Array]:
+    codes, spelt = digests([*texts, *after])
+    n = len(texts)
+    return _made_columns(texts, after, codes[:n], spelt[:n], codes[n:])
+
+
 def _sequence(texts: list[str]) -> list[pa.Array]:
     """The made columns of all texts but the last, each followed by the next."""
     codes, spelt = digests(texts)
-    changed = [edited(t, u) for t, u in zip(texts, texts[1:], strict=False)]
-    raw = [t.encode("utf-8", "surrogatepass") for t in changed]
-    other, other_spelt = digests(changed)
-    values = (
-        [len(t) for t in texts[:-1]],
-        [hashlib.sha256(r).hexdigest() for r in raw],
-        spelt[:-1],
-        other_spelt,
-        _likeness(codes[:-1], other),
-        _likeness(codes[:-1], codes[1:]),
-    )
-    return [pa.array(v, t) for v, t in zip(values, _MADE_TYPES, strict=True)]
+    return _made_columns(texts[:-1], texts[1:], codes[:-1], spelt[:-1], codes[1:])
 
 
 def _in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
