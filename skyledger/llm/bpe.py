@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from skyledger.llm.common import map_texts, small_batches, table
 
 #: Pieces whose ids a worker remembers; beyond that it starts to collect anew.
-MEMO_PIECES = 1 << 19
+MEMO_PIECES = 1 << 18
 #: Longer pieces are not remembered.
 MEMO_LENGTH = 64
 
@@ -75,7 +75,7 @@ class Bpe:
                 self.rank.setdefault(number, -1)
                 self.matches.add_word(raw(token).decode("latin-1"), (number, len(token)))
         self.matches.make_automaton()
-        self.fits = lru_cache(1 << 18)(self._fits)
+        self.fits = lru_cache(1 << 16)(self._fits)
         self.split = regex.compile(SPLIT).findall
         self.at_special = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         self.memo = _Memo(self)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -14,7 +15,7 @@ from skyledger.session import configure
 #: Rows of an Arrow batch sent to Python, so that a batch of long texts stays small.
 BATCH_ROWS = 1000
 #: A batch handed to an operator holds about so many bytes of text (one longer text alone may exceed it).
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 1 << 20
 
 MULTIPLIER = 0x9E3779B97F4A7C15 | 1
 #: White space of the word pattern ``[^\x20\x09-\x0D]+``.
@@ -28,9 +29,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Where Python workers find this package, if it is not installed for them.
+_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
 def small_batches(spark: SparkSession) -> None:
-    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") != str(BATCH_ROWS):
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    """Settings for the Python side: bounded batches, and the package's place for the workers."""
+    environment = spark.sparkContext.environment
+    if _ROOT not in environment.get("PYTHONPATH", "").split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [_ROOT, environment.get("PYTHONPATH")]))
+    for key, value in (("maxRecordsPerBatch", str(BATCH_ROWS)), ("maxBytesPerBatch", "8m")):
+        if spark.conf.get(f"spark.sql.execution.arrow.{key}") != value:
+            spark.conf.set(f"spark.sql.execution.arrow.{key}", value)
 
 
 def pieces(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
