@@ -1,4 +1,4 @@
-"""N-gram Jaccard join by parity sketches: documents whose shingle sets are similar, and their components.
+r"""N-gram Jaccard join by parity sketches: documents whose shingle sets are similar, and their components.
 
 Each token (hashed shingle) flips one bit of its document's sketch, so the Hamming distance of two sketches is at
 most the symmetric difference of the sets. Sets linked at ``percent`` differ in no more than
@@ -8,13 +8,13 @@ are ranges of the token hash, and are so sparse (2^64 places) that they are kept
 An empty part joins nothing: a document with fewer than ``spare`` empty parts keeps an agreeing part that is not
 empty. If it has more, it joins on its empty parts too, with others of that kind, so no link is lost.
 
-What agrees on a part is then filtered by a second, dense sketch (about one bit for each token, folded to equal
+What agrees on a part is then filtered by a second, dense sketch (two bits or more for each token, folded to equal
 widths): a Hamming distance above the slack rules a pair out. What is left is verified on the sets themselves.
 
 Nodes are distinct sets, so copies are one node; each map batch sends a part of a node once. Near copies of one text
 fall into the same groups again and again, so pairs are not listed at once: first each node is verified with the one
-partner it meets most often; then, in groups that still hold several components, each with its closest partner by the
-dense sketch; and then all pairs of different components that the sketches allow. Every linked pair is thus verified
+partner it meets most often; then, in a few of the groups that still hold several components, each with its closest
+partner by the dense sketch; and then, in all such groups, all pairs of different components that the sketches allow. Every linked pair is thus verified
 or already inside one component.
 
 Texts are ASCII lower-cased and cut into words ``[^\x20\x09-\x0D]+``; a set holds the distinct runs of ``n`` words, or
@@ -30,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skyledger.llm.common import lower_ascii, map_texts, mixed, pieces, prefix_hash, range_hash, small_batches, table, text_bytes, words
@@ -39,6 +39,8 @@ from skyledger.session import written
 
 #: Ids of documents to verify are broadcast up to so many (8 bytes each); beyond that the join shuffles.
 BROADCAST_IDS = 500_000
+#: Groups in which a node first looks for its closest partner.
+CLOSEST_GROUPS = 4
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], dtype=np.uint64)
 
 
@@ -119,8 +121,8 @@ def signatures(tokens: np.ndarray, bands: Bands) -> np.ndarray:
 
 
 def dense_sketch(tokens: np.ndarray) -> np.ndarray:
-    """Parities of the tokens over a power of two of bits, half the number of tokens or more."""
-    bits = max(256, 1 << max(0, (len(tokens) - 1).bit_length() - 1))
+    """Parities of the tokens over a power of two of bits, twice the number of tokens or more."""
+    bits = max(512, 1 << (len(tokens) - 1).bit_length() + 1)
     odd = np.bincount((tokens & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
 
@@ -168,77 +170,87 @@ def _signatures(docs: DataFrame, n: int, bands: Bands) -> DataFrame:
     return docs.select("text").mapInArrow(run, "sig long, node long")
 
 
-def _groups(batches: Iterator[pa.RecordBatch], columns: int) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
-    """A task's rows (its share of the signatures, a few numbers each) sorted by sig and node, each once, and the places where a sig begins."""
-    got = [b for b in batches if b.num_rows]
-    if not got:
-        return
-    whole = pa.Table.from_batches(got).combine_chunks()
-    arrays = [np.asarray(whole.column(i)) for i in range(columns)]
-    order = np.lexsort((arrays[1], arrays[0]))
-    sig, node = arrays[0][order], arrays[1][order]
-    fresh = np.ones(len(sig), dtype=bool)
-    fresh[1:] = (sig[1:] != sig[:-1]) | (node[1:] != node[:-1])
-    arrays = [a[order[fresh]] for a in arrays]
-    yield arrays, np.flatnonzero(np.diff(arrays[0], prepend=arrays[0][0] - 1 if arrays[0][0] > -(2**63) else arrays[0][0] + 1))
-
-
 def _meeting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(sig, node, least node of the group) of the signatures that several nodes have."""
-    for (sig, node), first in _groups(batches, 2):
-        sizes = np.diff(np.append(first, len(sig)))
-        keep = np.repeat(sizes > 1, sizes)
-        least = np.repeat(node[first], sizes)
-        yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (sig, node, least)], ["sig", "node", "least"])
-
+    """(sig, node, least node of the group) of the signatures that several nodes have, from rows sorted by sig and node.
 
-def _unsettled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(sig, node, root) of the groups that hold several components."""
-    for (sig, node, root), first in _groups(batches, 3):
+    Groups pass by: all that is kept of one is its last row, its least node, and whether it has several.
+    """
+    last, least_so_far, sent = None, 0, False
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        sig, node = np.asarray(batch.column(0)), np.asarray(batch.column(1))
+        if last is not None:
+            sig, node = np.append(last[0], sig), np.append(last[1], node)
+        fresh = np.append(True, (sig[1:] != sig[:-1]) | (node[1:] != node[:-1]))
+        sig, node = sig[fresh], node[fresh]
+        first = np.flatnonzero(np.append(True, sig[1:] != sig[:-1]))
         sizes = np.diff(np.append(first, len(sig)))
-        several = np.minimum.reduceat(root, first) != np.maximum.reduceat(root, first)
-        keep = np.repeat(several, sizes)
-        yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (sig, node, root)], ["sig", "node", "root"])
+        least, several = np.repeat(node[first], sizes), np.repeat(sizes > 1, sizes)
+        send = several.copy()
+        if last is not None:
+            least[: sizes[0]] = least_so_far
+            if sent:
+                several[: sizes[0]] = send[: sizes[0]] = True
+                send[0] = False
+        yield pa.RecordBatch.from_arrays([pa.array(x[send]) for x in (sig, node, least)], ["sig", "node", "least"])
+        last, least_so_far, sent = (sig[-1], node[-1]), least[-1], bool(several[-1])
+
+
+def _by_group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each signature, from rows sorted by it."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        sig = np.asarray(batch.column(0))
+        cuts = np.append(np.flatnonzero(np.append(not held or sig[0] != held[-1].column(0)[0].as_py(), sig[1:] != sig[:-1])), len(sig))
+        if held and cuts[0] != 0:
+            held.append(batch.slice(0, cuts[0]))
+        elif held:
+            yield pa.Table.from_batches(held)
+            held = []
+        for lo, hi in zip(cuts, cuts[1:], strict=False):
+            if held:
+                yield pa.Table.from_batches(held)
+            held = [batch.slice(lo, hi - lo)]
+    if held:
+        yield pa.Table.from_batches(held)
 
 
 def _allowed(bands: Bands, closest: bool):
     """Pairs of a group in different components that sizes and dense sketches allow; or each node's closest one."""
 
-    def of_group(rows: np.ndarray, node: np.ndarray, root: np.ndarray, size: np.ndarray, sketches: list[bytes]) -> Iterator[tuple[int, int]]:
-        views = [np.frombuffer(sketches[r], dtype=np.uint64) for r in rows]
+    def of_group(node: np.ndarray, root: np.ndarray, size: np.ndarray, sketches: list[bytes]) -> Iterator[tuple[int, int]]:
+        views = [np.frombuffer(s, dtype=np.uint64) for s in sketches]
         width = min(map(len, views))
         sketch = np.stack([_folded(v, width) for v in views])
-        own_node, own_root, own_size = node[rows], root[rows], size[rows]
-        for i in range(len(rows) if closest else len(rows) - 1):
-            others = np.arange(len(rows)) if closest else np.arange(i + 1, len(rows))
-            low, high = np.minimum(own_size[others], own_size[i]), np.maximum(own_size[others], own_size[i])
-            others = others[(own_root[others] != own_root[i]) & (100 * low >= bands.percent * high)]
+        # Who is in the largest component of the group is found by the others.
+        _, which, times = np.unique(root, return_inverse=True, return_counts=True)
+        small = np.flatnonzero(which != np.argmax(times))
+        for i in small if closest else range(len(node) - 1):
+            others = np.arange(len(node)) if closest else np.arange(i + 1, len(node))
+            low, high = np.minimum(size[others], size[i]), np.maximum(size[others], size[i])
+            others = others[(root[others] != root[i]) & (100 * low >= bands.percent * high)]
             if len(others):
                 apart = np.bitwise_count(sketch[others] ^ sketch[i]).sum(axis=1)
-                fits = apart <= bands.slack(own_size[others] + own_size[i])
+                fits = apart <= bands.slack(size[others] + size[i])
                 if closest and fits.any():
-                    at = others[fits][np.argmin(apart[fits])]
-                    yield (int(own_node[i]), int(own_node[at]))
+                    yield (int(node[i]), int(node[others[fits][np.argmin(apart[fits])]]))
                 elif fits.any():
                     for at in others[fits]:
-                        yield (int(own_node[i]), int(own_node[at]))
+                        yield (int(node[i]), int(node[at]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = [b for b in batches if b.num_rows]
-        if not got:
-            return
-        whole = pa.Table.from_batches(got).combine_chunks()
-        sig, node, root, size = (np.asarray(whole.column(i)) for i in range(4))
-        sketches = whole.column(4).to_pylist()
-        order = np.lexsort((node, sig))
-        cuts = np.flatnonzero(np.diff(sig[order])) + 1
         pairs: set[tuple[int, int]] = set()
-        for rows in np.split(order, cuts):
-            for a, b in of_group(rows, node, root, size, sketches):
+        for group in _by_group(batches):
+            group = group.combine_chunks()
+            node, root, size = (np.asarray(group.column(i)) for i in (1, 2, 3))
+            for a, b in of_group(node, root, size, group.column(4).to_pylist()):
                 pairs.add((min(a, b), max(a, b)))
-            if len(pairs) > 100_000:
-                yield _pairs(pairs)
-                pairs.clear()
+                if len(pairs) > 100_000:
+                    yield _pairs(pairs)
+                    pairs.clear()
         yield _pairs(pairs)
 
     return run
@@ -316,15 +328,21 @@ class _Join:
 
     def roots(self) -> DataFrame:
         """(node, root) of the nodes that are linked with others."""
-        sent = _signatures(self.docs, self.n, self.bands).repartition("sig")
+        sent = _signatures(self.docs, self.n, self.bands).repartition("sig").sortWithinPartitions("sig", "node")
         meeting = written(sent.mapInArrow(_meeting, "sig long, node long, least long"), "jaccard-meeting")
         links = self.linked(self.most_met(meeting))
         roots = written(components(links), "jaccard-roots")
         for closest in (True, False):
             placed = meeting.join(roots, "node", "left").select("sig", "node", F.coalesce("root", "node").alias("root"))
-            unsettled = written(placed.repartition("sig").mapInArrow(_unsettled, "sig long, node long, root long"), "jaccard-unsettled")
+            placed = written(placed, "jaccard-placed")
+            several = placed.groupBy("sig").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+            unsettled = placed.join(several.select("sig"), "sig", "left_semi")
+            if closest:
+                # A few groups of each node are enough to find it a partner; the last turn looks at all.
+                pick = Window.partitionBy("node").orderBy(F.xxhash64("sig"))
+                unsettled = unsettled.withColumn("nth", F.row_number().over(pick)).where(F.col("nth") <= CLOSEST_GROUPS).drop("nth")
             known = unsettled.join(self.nodes.select("node", "size", "sketch"), "node").select("sig", "node", "root", "size", "sketch")
-            pairs = known.repartition("sig").mapInArrow(_allowed(self.bands, closest), "a long, b long").distinct()
+            pairs = known.repartition("sig").sortWithinPartitions("sig").mapInArrow(_allowed(self.bands, closest), "a long, b long").distinct()
             links = links.unionByName(self.linked(pairs))
             roots = written(components(links), "jaccard-roots")
         return roots

@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 
 from skyledger.llm.components import components
-from skyledger.llm.jaccard import Bands, dense_sketch, jaccard_components, op10_jaccard_join, shingle_sets, signatures
+from skyledger.llm.jaccard import Bands, _by_group, _meeting, dense_sketch, jaccard_components, op10_jaccard_join, shingle_sets, signatures
 
 
 def plain_set(text, n):
@@ -95,6 +95,22 @@ def test_sets_equal_the_plain_ones():
     assert np.array_equal(sets[0], sets[1])
 
 
+def test_groups_across_batches():
+    rng = random.Random(9)
+    for _ in range(300):
+        rows = sorted((rng.randrange(6), rng.randrange(4)) for _ in range(rng.randrange(1, 30)))
+        cuts = sorted(rng.sample(range(len(rows) + 1), min(3, len(rows))))
+        parts = [rows[a:b] for a, b in zip([0, *cuts], [*cuts, len(rows)])]
+        batches = [pa.RecordBatch.from_arrays([pa.array([x for x, _ in p], pa.int64()), pa.array([y for _, y in p], pa.int64())], ["sig", "node"]) for p in parts]
+        got = [tuple(r.values()) for b in _meeting(iter(batches)) for r in b.to_pylist()]
+        nodes = defaultdict(set)
+        for x, y in rows:
+            nodes[x].add(y)
+        assert got == [(x, y, min(nodes[x])) for x in sorted(nodes) if len(nodes[x]) > 1 for y in sorted(nodes[x])]
+        whole = [[tuple(r.values()) for r in t.to_pylist()] for t in _by_group(iter(batches))]
+        assert whole == [[r for r in rows if r[0] == x] for x in sorted(nodes)]
+
+
 def test_components_of_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(1, 40)] + [(100, 100 + i) for i in range(1, 50)] + [(7, 7), (300, 200)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
