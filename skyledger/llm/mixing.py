@@ -30,7 +30,7 @@ from skyledger.session import written
 
 MOST_COPIES = 3
 NEWTON_STEPS = 60
-BUCKET_ROWS = 10_000
+BUCKET_ROWS = 1000
 #: Fixed value: a word.
 WORD = r"[^\x20\x09-\x0D]+"
 
