@@ -38,6 +38,8 @@ def equal_text_links(nodes: DataFrame) -> DataFrame:
     """(a, b) links between nodes (node, mark, text_key) of equal key: from each copy to the head of its sub-group."""
     keyed = nodes.where("text_key is not null").select("node", "mark", "text_key")
     groups = keyed.groupBy("text_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # Written, so that the join reads both sides anew and can broadcast the one or split a hot group of the other.
+    groups = written(groups, "shard-groups")
     members = keyed.join(groups, "text_key").withColumn("part", F.pmod("mark", F.ceil(F.col("n") / SUBGROUP)))
     members = written(members.select("node", "mark", "text_key", "part"), "shard-members")
     first = F.min(F.struct("mark", "node"))
