@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from skyledger.llm.common import map_texts, small_batches, table
 
-#: Pieces whose ids a worker remembers; beyond that it starts to collect anew.
+#: Pieces whose ids a worker remembers, in two generations.
 MEMO_PIECES = 1 << 18
 #: Longer pieces are not remembered.
 MEMO_LENGTH = 64
@@ -150,14 +150,20 @@ class Bpe:
 
 
 class _Memo(dict):
+    """Ids of pieces seen; when full it becomes the older generation, from which pieces that come again return."""
+
     def __init__(self, bpe: Bpe) -> None:
         super().__init__()
         self.bpe = bpe
+        self.older: dict[str, tuple[int, ...]] = {}
 
     def __missing__(self, piece: str) -> tuple[int, ...]:
-        ids = tuple(self.bpe.encode_piece(piece.encode()))
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = tuple(self.bpe.encode_piece(piece.encode()))
         if len(piece) <= MEMO_LENGTH:
-            if len(self) >= MEMO_PIECES:
+            if len(self) >= MEMO_PIECES // 2:
+                self.older = dict(self)
                 self.clear()
             self[piece] = ids
         return ids
