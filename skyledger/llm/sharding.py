@@ -9,9 +9,9 @@ would come, as large a share is let in, by hash, as there is room left below the
 within each shard, linked ones first. Who is numbered beyond the shard's quota (rows without links, as long as
 there are any) goes to the shards that have too few, behind their own rows. So the numbers stay gapless.
 
-Links of equal texts form a tree, not a clique: each copy is linked to the head of a sub-group of about
-``SUBGROUP`` copies, and the heads of a group to its first one. A group larger than a shard thus comes apart in
-sub-groups. All counts are aggregates that combine in the map tasks, and numbering sorts only within sub-buckets.
+Links of equal texts form a tree, not a clique: each copy is linked to the head of its sub-group, and the heads of
+a group to its first one. A group that fits into a shard is one sub-group; a larger one comes apart in sub-groups of
+about a shard at most. All counts are aggregates that combine in the map tasks, and numbering sorts only within sub-buckets.
 
 Sizes are the UTF-8 bytes of the text plus ``ROW_BYTES``. A null text has no bytes, CRC-32 zero and no links;
 empty texts are equal to each other. Rows repeated in full are nodes of their own (a copy each); a null id is an
@@ -30,17 +30,16 @@ from skyledger.session import written
 SHARDS = 24
 ROUNDS = 6
 ROW_BYTES = 8
-SUBGROUP = 500
 BUCKET_ROWS = 20_000
 
 
-def equal_text_links(nodes: DataFrame) -> DataFrame:
+def equal_text_links(nodes: DataFrame, quota: int) -> DataFrame:
     """(a, b) links between nodes (node, mark, text_key) of equal key: from each copy to the head of its sub-group."""
     keyed = nodes.where("text_key is not null").select("node", "mark", "text_key")
     groups = keyed.groupBy("text_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     # Written, so that the join reads both sides anew and can broadcast the one or split a hot group of the other.
     groups = written(groups, "shard-groups")
-    members = keyed.join(groups, "text_key").withColumn("part", F.pmod("mark", F.ceil(F.col("n") / SUBGROUP)))
+    members = keyed.join(groups, "text_key").withColumn("part", F.pmod("mark", F.ceil(F.col("n") / max(1, quota))))
     members = written(members.select("node", "mark", "text_key", "part"), "shard-members")
     first = F.min(F.struct("mark", "node"))
     heads = members.groupBy("text_key", "part").agg(first["node"].alias("head"), first["mark"].alias("head_mark"))
@@ -128,7 +127,7 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS)
     rows = rows.withColumn("mark", F.xxhash64("doc_id", "text_key")).withColumn("node", F.monotonically_increasing_id())
     nodes = written(rows, "shard-nodes")
     total = nodes.count()
-    labels = propagate(nodes.select("node", "mark"), equal_text_links(nodes), shards, total // shards, rounds)
+    labels = propagate(nodes.select("node", "mark"), equal_text_links(nodes, total // shards), shards, total // shards, rounds)
     placed = nodes.drop("text_key").join(labels, "node", "left")
     placed = placed.withColumn("linked", F.col("shard").isNotNull()).withColumn("shard", F.coalesce("shard", F.pmod("mark", shards).cast("int")))
     return number(written(placed, "shard-placed"), shards).select("doc_id", "size", "text_crc32", "shard", "slot")

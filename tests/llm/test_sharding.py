@@ -57,3 +57,15 @@ def test_query(spark):
     groups = [p for p in places.values() if sum(p.values()) > 1]
     assert sum(len(p) == 1 for p in groups) > 0.9 * len(groups)
     assert {(r.law, r.grown_shard) for r in rows} == {("rows", None)}
+
+
+def test_groups_below_the_quota_are_not_cut(spark):
+    """One part for a group that fits into a shard, however many copies it has."""
+    sizes = (501, 1_200, 3_000)
+    texts = [(i, f"text {i}") for i in range(12_000)]
+    texts += [(100_000 + 10_000 * g + i, f"hot {g}") for g, n in enumerate(sizes) for i in range(n)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    places = check(shard_documents(docs, shards=4).collect(), texts, 4)
+    groups = [p for p in places.values() if sum(p.values()) > 1]
+    assert sorted(sum(p.values()) for p in groups) == list(sizes)
+    assert all(max(p.values()) > 0.9 * sum(p.values()) for p in groups)
