@@ -1,17 +1,21 @@
-"""Balanced label propagation: linked documents move together, and every shard gets the same number of rows.
+"""Balanced label propagation: documents of equal text move together, and every shard gets the same number of rows.
 
 Law: ``rows``. The row counts of any two shards differ by one at most.
 
-Nodes start in shards by hash. In each round, a join over the links counts for every linked node how many of its
-neighbours are in which shard. A node moves where most are, if that is more than in its own shard, if its coin of
-the round allows (so that two neighbours do not swap for ever), and if the room of the shard allows: of those who
-would come, as large a share is let in, by hash, as there is room left below the quota. Then rows are numbered
-within each shard, linked ones first. Who is numbered beyond the shard's quota (rows without links, as long as
-there are any) goes to the shards that have too few, behind their own rows. So the numbers stay gapless.
+Rows start in shards by hash. Rows of equal text are linked all with all, which is stated through their text: a text
+takes the label that most of its rows have, and each row takes the label of its text. As a row has one text, no row
+wishes to move after that, however large its group is, and no rounds are needed.
 
-Links of equal texts form a tree, not a clique: each copy is linked to the head of its sub-group, and the heads of
-a group to its first one. A group that fits into a shard is one sub-group; a larger one comes apart in sub-groups of
-about a shard at most. All counts are aggregates that combine in the map tasks, and numbering sorts only within sub-buckets.
+Quotas are kept by moving whole groups. Groups of one label and size are counted, and ``pack`` says from those counts
+how many stay and how many go where, largest groups first. A group that fits into no shard's room any more comes apart
+(fewer groups than there are shards), as does one larger than a shard, over as few shards as the room allows. Rows
+without links take what room is left. Then rows are numbered within each shard, whole groups first, then parts, then
+rows without links. Who is numbered beyond the shard's quota goes to the shards that have too few, behind their own
+rows. So the numbers stay gapless, and no whole group is cut. Which groups fit whole is bin packing, so largest first
+need not find the very best choice.
+
+All counts are aggregates that combine in the map tasks, and ranks and numbers are sorted only within sub-buckets. The
+driver holds one number for each label and group size, at most about the square root of 2 x shards x rows.
 
 Sizes are the UTF-8 bytes of the text plus ``ROW_BYTES``. A null text has no bytes, CRC-32 zero and no links;
 empty texts are equal to each other. Rows repeated in full are nodes of their own (a copy each); a null id is an
@@ -28,49 +32,84 @@ from skyledger.llm.common import table
 from skyledger.session import written
 
 SHARDS = 24
-ROUNDS = 6
 ROW_BYTES = 8
 BUCKET_ROWS = 20_000
-
-
-def equal_text_links(nodes: DataFrame, quota: int) -> DataFrame:
-    """(a, b) links between nodes (node, mark, text_key) of equal key: from each copy to the head of its sub-group."""
-    keyed = nodes.where("text_key is not null").select("node", "mark", "text_key")
-    groups = keyed.groupBy("text_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    # Written, so that the join reads both sides anew and can broadcast the one or split a hot group of the other.
-    groups = written(groups, "shard-groups")
-    members = keyed.join(groups, "text_key").withColumn("part", F.pmod("mark", F.ceil(F.col("n") / max(1, quota))))
-    members = written(members.select("node", "mark", "text_key", "part"), "shard-members")
-    first = F.min(F.struct("mark", "node"))
-    heads = members.groupBy("text_key", "part").agg(first["node"].alias("head"), first["mark"].alias("head_mark"))
-    tops = heads.groupBy("text_key").agg(F.min(F.struct("head_mark", "head"))["head"].alias("top"))
-    below = members.join(heads, ["text_key", "part"]).where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b"))
-    above = heads.join(tops, "text_key").where("head <> top").select(F.col("head").alias("a"), F.col("top").alias("b"))
-    return below.unionByName(above)
-
-
-def propagate(nodes: DataFrame, links: DataFrame, shards: int, quota: int, rounds: int = ROUNDS) -> DataFrame:
-    """(node, shard) of the linked nodes after the rounds; ``nodes`` has (node, mark)."""
-    both = written(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), "shard-links")
-    linked = nodes.join(both.select(F.col("a").alias("node")).distinct(), "node")
-    now = written(linked.select("node", "mark", F.pmod("mark", shards).cast("int").alias("shard")), "shard-labels")
-    for turn in range(rounds):
-        seen = both.join(now.select(F.col("node").alias("b"), F.col("shard").alias("there")), "b")
-        votes = seen.groupBy("a", "there").agg(F.count(F.lit(1)).alias("n"))
-        votes = votes.join(now.select(F.col("node").alias("a"), "mark", "shard"), "a")
-        own = F.max(F.when(F.col("there") == F.col("shard"), F.col("n")).otherwise(0))
-        best = F.max(F.struct("n", F.xxhash64("there", F.lit(turn)).alias("tie"), "there"))
-        votes = votes.groupBy("a", "mark", "shard").agg(own.alias("own"), best.alias("best"))
-        coin = F.xxhash64("mark", F.lit(turn))
-        wishes = votes.where((F.col("best.n") > F.col("own")) & (F.pmod(coin, 2) == 0))
-        wishes = wishes.select(F.col("a").alias("node"), F.col("best.there").alias("there"), F.pmod(F.shiftright(coin, 8), 1 << 20).alias("ticket"))
-        # One row a shard: how many of those who wish to come may.
-        room = now.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).select(F.col("shard").alias("there"), "n")
-        asked = wishes.groupBy("there").agg(F.count(F.lit(1)).alias("asked"))
-        open_to = asked.join(room, "there", "left").select("there", ((quota - F.coalesce("n", F.lit(0))) * (1 << 20) / F.col("asked")).alias("below"))
-        moves = wishes.join(open_to, "there").where("ticket < below").select("node", "there")
-        now = written(now.join(moves, "node", "left").select("node", "mark", F.coalesce("there", "shard").alias("shard")), f"shard-labels-{turn}")
-    return now.select("node", "shard")
+#: Parts of a group are told apart by hash, in steps of so many.
+TICKETS = 1 << 20
+
+
+def propagate(nodes: DataFrame, shards: int) -> DataFrame:
+    """(text_key, n, label) of every text that several of the nodes (mark, text_key) have: their number and most frequent shard."""
+    keyed = nodes.where("text_key is not null").select("text_key", F.pmod("mark", shards).cast("int").alias("there"))
+    votes = keyed.groupBy("text_key", "there").agg(F.count(F.lit(1)).alias("n"))
+    best = F.max(F.struct("n", F.xxhash64("text_key", "there").alias("tie"), "there"))["there"]
+    return votes.groupBy("text_key").agg(F.sum("n").alias("n"), best.alias("label")).where("n > 1")
+
+
+def pack(sizes: list[tuple[int, int, int]], quotas: list[int]) -> list[tuple[int, int, int, int, list[tuple[int, int]]]]:
+    """Where groups go, from (label, n, groups): rows (label, n, first, last, pieces) for the groups ranked first to last - 1.
+
+    A piece (below, shard) takes the members whose ticket is below that number and that no piece before it took.
+    """
+    room, plan, apart = list(quotas), [], []
+
+    def cut(label: int, n: int, rank: int) -> None:
+        pieces, placed = [], 0
+        while placed < n:
+            there = max(range(len(room)), key=lambda s: (room[s], -s))
+            part = min(room[there], n - placed)
+            room[there] -= part
+            placed += part
+            pieces.append((TICKETS * placed // n, there))
+        plan.append((label, n, rank, rank + 1, pieces))
+
+    by_size: dict[int, list[tuple[int, int]]] = {}
+    for label, n, groups in sorted(sizes):
+        by_size.setdefault(n, []).append((label, groups))
+    for n in sorted(by_size, reverse=True):
+        moving = []
+        for label, groups in by_size[n]:
+            stay = min(groups, room[label] // n)
+            room[label] -= stay * n
+            if stay:
+                plan.append((label, n, 0, stay, [(TICKETS, label)]))
+            moving.append((label, stay, groups))
+        for label, first, last in moving:
+            while first < last and (fits := [s for s in range(len(room)) if room[s] >= n]):
+                there = min(fits, key=lambda s: (room[s], s))
+                some = min(last - first, room[there] // n)
+                room[there] -= some * n
+                plan.append((label, n, first, first + some, [(TICKETS, there)]))
+                first += some
+            for rank in range(first, last):
+                if n > max(quotas):
+                    cut(label, n, rank)
+                else:
+                    apart.append((label, n, rank))
+    for group in apart:
+        cut(*group)
+    return plan
+
+
+def place(groups: DataFrame, quotas: list[int]) -> DataFrame:
+    """(text_key, pieces) of the groups (text_key, n, label), see :func:`pack`."""
+    buckets = max(1, groups.count() // (len(quotas) * BUCKET_ROWS))
+    groups = groups.withColumn("bucket", F.pmod(F.xxhash64("text_key"), buckets).cast("int"))
+    key = ["label", "n", "bucket"]
+    counts = written(groups.groupBy(*key).agg(F.count(F.lit(1)).alias("groups")), "shard-sizes")
+    sizes = [tuple(r) for r in counts.groupBy("label", "n").agg(F.sum("groups")).collect()]
+    pieces = "array<struct<below: long, shard: int>>"
+    plan = groups.sparkSession.createDataFrame(pack(sizes, quotas), f"label int, n long, first long, last long, pieces {pieces}")
+    plan = written(plan, "shard-plan")
+    order = Window.partitionBy("label", "n").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(*key, F.coalesce(F.sum("groups").over(order), F.lit(0)).alias("before"))
+    turn = F.row_number().over(Window.partitionBy(*key).orderBy("text_key"))
+    ranked = groups.withColumn("turn", turn).join(starts, key).withColumn("rank", F.col("before") + F.col("turn") - 1)
+    return ranked.join(plan, ["label", "n"]).where("first <= rank and rank < last").select("text_key", "pieces")
+
+
+def quotas(total: int, shards: int) -> list[int]:
+    return [total // shards + (s < total % shards) for s in range(shards)]
 
 
 def number(placed: DataFrame, shards: int) -> DataFrame:
@@ -88,8 +127,7 @@ def number(placed: DataFrame, shards: int) -> DataFrame:
 
     # ``shards`` numbers: what each shard has, may have, and gives or takes.
     have = dict.fromkeys(range(shards), 0) | {r.shard: r.n for r in counts.groupBy("shard").agg(F.sum("n").alias("n")).collect()}
-    fullest = sorted(have, key=lambda s: (-have[s], s))
-    quota = {s: total // shards + (i < total % shards) for i, s in enumerate(fullest)}
+    quota = quotas(total, shards)
     given, gives, takers, begins, firsts = 0, [], [], [], []
     for s in range(shards):
         gives.append(given)
@@ -115,7 +153,7 @@ def number(placed: DataFrame, shards: int) -> DataFrame:
     )
 
 
-def shard_documents(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
+def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """(doc_id, size, text_crc32, shard, slot) of every row, equal texts together where the quotas allow."""
     key = F.unhex(F.sha2("text", 256))
     rows = docs.select(
@@ -124,12 +162,17 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS)
         F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
         key.alias("text_key"),
     )
-    rows = rows.withColumn("mark", F.xxhash64("doc_id", "text_key")).withColumn("node", F.monotonically_increasing_id())
-    nodes = written(rows, "shard-nodes")
+    nodes = written(rows.withColumn("mark", F.xxhash64("doc_id", "text_key")), "shard-nodes")
     total = nodes.count()
-    labels = propagate(nodes.select("node", "mark"), equal_text_links(nodes, total // shards), shards, total // shards, rounds)
-    placed = nodes.drop("text_key").join(labels, "node", "left")
-    placed = placed.withColumn("linked", F.col("shard").isNotNull()).withColumn("shard", F.coalesce("shard", F.pmod("mark", shards).cast("int")))
+    # Written, so that the joins read both sides anew and can broadcast the one or split a hot group of the other.
+    groups = written(propagate(nodes, shards), "shard-groups")
+    places = written(place(groups, quotas(total, shards)), "shard-places")
+    linked = nodes.where("text_key is not null").join(places, "text_key", "left")
+    placed = linked.unionByName(nodes.where("text_key is null"), allowMissingColumns=True)
+    ticket = F.pmod(F.shiftright(F.xxhash64("mark", F.lit(7)), 8), TICKETS)
+    shard = F.filter("pieces", lambda p: ticket < p["below"])[0]["shard"]
+    whole = F.when(F.size("pieces") == 1, 2).when(F.size("pieces") > 1, 1).otherwise(0)
+    placed = placed.select("doc_id", "size", "text_crc32", "mark", whole.alias("linked"), F.coalesce(shard, F.pmod("mark", shards).cast("int")).alias("shard"))
     return number(written(placed, "shard-placed"), shards).select("doc_id", "size", "text_crc32", "shard", "slot")
 
 

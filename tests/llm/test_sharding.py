@@ -1,7 +1,8 @@
+import random
 import zlib
 from collections import Counter, defaultdict
 
-from skyledger.llm.sharding import op4_sharding, shard_documents
+from skyledger.llm.sharding import TICKETS, op4_sharding, pack, shard_documents
 
 
 def check(rows, texts, shards):
@@ -69,3 +70,41 @@ def test_groups_below_the_quota_are_not_cut(spark):
     groups = [p for p in places.values() if sum(p.values()) > 1]
     assert sorted(sum(p.values()) for p in groups) == list(sizes)
     assert all(max(p.values()) > 0.9 * sum(p.values()) for p in groups)
+
+
+def test_copies_only_are_whole(spark):
+    """Shards are full of linked rows, so groups have to change places; all sizes divide the quota."""
+    texts = [(2 * i + j, f"pair {i}") for i in range(3_000) for j in range(2)]
+    texts += [(100_000 + 10 * i + j, f"ten {i}") for i in range(600) for j in range(10)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    places = check(shard_documents(docs, shards=6).collect(), texts, 6)
+    assert len(places) == 3_600 and all(len(p) == 1 for p in places.values())
+
+
+def test_only_what_fits_no_shard_comes_apart(spark):
+    texts = [(3 * i + j, f"three {i}") for i in range(100) for j in range(3)] + [(1000 + i, "large") for i in range(155)]
+    texts += [(2000 + i, f"half {i % 3}") for i in range(180)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    places = check(shard_documents(docs, shards=6).collect(), texts, 6)
+    apart = [sum(p.values()) for p in places.values() if len(p) > 1]
+    assert 155 in apart and len(apart) < 1 + 6
+
+
+def test_pack_fills_the_room_and_no_more():
+    rng = random.Random(1)
+    for _ in range(200):
+        quotas = [rng.randint(3, 40)] * rng.randint(1, 7)
+        sizes, left = [], sum(quotas)
+        for label in range(len(quotas)):
+            for n in sorted(rng.sample(range(2, 60), 3)):
+                if groups := min(rng.randint(0, 4), left // n):
+                    sizes.append((label, n, groups))
+                    left -= groups * n
+        plan, load, apart = pack(sizes, quotas), Counter(), 0
+        assert sorted((label, n, r) for label, n, a, b, _ in plan for r in range(a, b)) == sorted((label, n, r) for label, n, g in sizes for r in range(g))
+        for _, n, first, last, pieces in plan:
+            assert pieces[-1][0] == TICKETS
+            if len(pieces) == 1:
+                load[pieces[0][1]] += n * (last - first)
+            apart += len(pieces) > 1 and n <= quotas[0]
+        assert all(load[s] <= q for s, q in enumerate(quotas)) and apart < max(2, len(quotas))
