@@ -7,7 +7,10 @@ seeds. A host whose share of distrust in both is above the threshold is blocked.
 
 Only DataFrame functions are used. Links are read from the pages once; what is iterated over are distinct pairs of
 hosts. Every round is one join and one aggregate for both walks, written to the shared folder, and the rounds end
-when no score moves by more than ``SETTLED`` of the seeds, or after ``ROUNDS``.
+when no host's score moves by more than ``SETTLED`` of itself; a host just reached has not settled. So neither the
+number of other hosts nor the length of a chain of links matters. What is still to come to a host is then at most
+``SETTLED`` of its score for each step of the mean way to it. Walks not settled after ``ROUNDS`` raise an error. Scores
+below ``LEAST``, near the smallest double, are not waited for.
 
 Null urls and urls without ``://`` have an empty host and path, fit no rule and are allowed. Links within a host, relative ones included, move nothing. A null html has
 no links. Hosts that no walk reaches have no evidence against them and are allowed. Repeated rows are pages of their
@@ -22,11 +25,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.llm.common import table
-from skyledger.session import written
+from skyledger.session import scratch_path, written
 
 JUMP = 0.15
-ROUNDS = 30
+#: Only a guard: no score above LEAST can be unsettled for so long, unless jumps are rarer than 0.08.
+ROUNDS = 10_000
 SETTLED = 1e-6
+LEAST = 1e-300
 #: A host is blocked if distrust is more than this share of trust and distrust.
 BLOCK_ABOVE = 0.5
 
@@ -94,18 +99,22 @@ def host_scores(seeds: DataFrame, edges: DataFrame, jump: float = JUMP, rounds:
     steps = written(walks[0].unionByName(walks[1]), "link-steps")
     parts = [seeds.select(F.lit(k).alias("kind"), "host", F.col(k).cast("double").alias("seed")).where("seed > 0") for k in ("trust", "distrust")]
     base = written(parts[0].unionByName(parts[1]), "link-seeds")
-    total = base.agg(F.sum("seed")).first()[0] or 0.0
-    now = base.withColumnRenamed("seed", "score")
+    zero = F.lit(0.0)
+    back = base.select("kind", "host", (jump * F.col("seed")).alias("score"), zero.alias("before"))
+    # Rounds take turns in two folders, so that the disk they need does not grow with their number.
+    folders = [scratch_path(base.sparkSession, f"link-scores-{i}") for i in range(2)]
+    now = back
     for turn in range(rounds):
         moved = now.join(steps, (now["host"] == steps["at"]) & (now["kind"] == steps["kind"]))
-        moved = moved.select(steps["kind"], F.col("to").alias("host"), ((1 - jump) * F.col("score") * F.col("share")).alias("score"))
-        back = base.select("kind", "host", (jump * F.col("seed")).alias("score"))
-        new = written(moved.unionByName(back).groupBy("kind", "host").agg(F.sum("score").alias("score")), f"link-scores-{turn}")
-        old = now.select("kind", "host", F.col("score").alias("before"))
-        change = new.join(old, ["kind", "host"], "full").agg(F.max(F.abs(F.coalesce("score", F.lit(0.0)) - F.coalesce("before", F.lit(0.0))))).first()[0] or 0.0
-        now = new
-        if change <= SETTLED * total:
+        moved = moved.select(steps["kind"], F.col("to").alias("host"), ((1 - jump) * F.col("score") * F.col("share")).alias("score"), zero.alias("before"))
+        old = now.select("kind", "host", zero.alias("score"), F.col("score").alias("before"))
+        new = moved.unionByName(back).unionByName(old).groupBy("kind", "host").agg(F.sum("score").alias("score"), F.sum("before").alias("before"))
+        now = written(new, f"link-scores-{turn}", folders[turn % 2])
+        moving = (F.col("score") > LEAST) & (F.abs(F.col("score") - F.col("before")) > SETTLED * F.col("score"))
+        if now.where(moving).isEmpty():
             break
+    else:
+        raise RuntimeError(f"the walks did not settle in {rounds} rounds")
     pick = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("score"))), F.lit(0.0)).alias(kind)
     return now.groupBy("host").agg(pick("trust"), pick("distrust"))
 

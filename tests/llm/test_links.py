@@ -1,6 +1,8 @@
 import re
 from collections import Counter, defaultdict
 
+import pytest
+
 from skyledger.llm.links import BLOCK_ABOVE, JUMP, RULES, host_scores, judge, op1_url_filter
 
 SCHEMA = "page_id long, url string, html string, host string"
@@ -98,3 +100,32 @@ def test_query_against_a_loop(spark):
 def test_plan_runs_no_python(spark):
     plan = op1_url_filter(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "Join" in plan and not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_unrelated_hosts_and_long_chains_cut_no_walk(spark):
+    """A chain of links to a blocked host, among many seed hosts that nothing leads to."""
+    chain = 35
+    seeds = spark.createDataFrame([("h0", 0, 1)], "host string, trust long, distrust long")
+    others = spark.range(100_000).selectExpr("concat('other', id) as host", "20L as trust", "0L as distrust")
+    edges = spark.createDataFrame([(f"h{i + 1}", f"h{i}", 1) for i in range(chain)], "src string, dst string, weight long")
+    got = {r.host: r for r in host_scores(seeds.unionByName(others), edges).where("host like 'h%'").collect()}
+    assert set(got) == {f"h{i}" for i in range(chain + 1)}
+    for i in range(chain + 1):
+        want = JUMP * (1 - JUMP) ** i
+        assert got[f"h{i}"].trust == 0 and abs(got[f"h{i}"].distrust - want) < 1e-5 * want
+
+
+def test_small_scores_settle_as_well_as_large_ones(spark):
+    """Relative to each score, also behind a cycle and far below the seeds; not settled in time is an error."""
+    seeds = {"a": (1_000_000, 0), "b": (0, 1)}
+    edges = {("a", "c"): 1, ("c", "a"): 1, ("d", "b"): 1, ("d", "e"): 999, ("e", "d"): 1, ("e", "f"): 99, ("f", "e"): 1}
+    frames = (
+        spark.createDataFrame([(h, *s) for h, s in seeds.items()], "host string, trust long, distrust long"),
+        spark.createDataFrame([(*e, w) for e, w in edges.items()], "src string, dst string, weight long"),
+    )
+    trust, distrust = plain_scores(seeds, edges, 1000)
+    for r in host_scores(*frames).collect():
+        for got, want in ((r.trust, trust.get(r.host, 0)), (r.distrust, distrust.get(r.host, 0))):
+            assert abs(got - want) <= 1e-4 * want
+    with pytest.raises(RuntimeError):
+        host_scores(*frames, rounds=3)
