@@ -6,13 +6,14 @@ squared distance times a chi-square variable. A search takes the candidates in o
 leaf of a kd-tree, and verifies each in the original space. It stops when a candidate as near as the k-th best so far
 would, with probability ``CERTAINTY``, have had a smaller projected distance than all that is left.
 
-The top of the kd-tree is fitted on ``FIT_ROWS`` vectors at most, those whose ids hash lowest; its leaves are cells
+The top of the kd-tree is fitted on ``FIT_ROWS`` vectors at most, those whose rows hash lowest; its leaves are cells
 of about ``CELL_ROWS`` rows, dealt to tasks, each of which builds the rest of the tree for its cell. Every vector is
 indexed. A query first searches its own cell. With the k-th best found there, the same test tells which other cells
 it must visit; usually few.
 
 Vectors that are null, empty, zero, or hold null or non-finite components take no part, nor do rows without an id.
-Of several vectors with one id, the first in array order counts. Vectors of different lengths are never compared.
+Different vectors of one id are rows of their own, told apart by a hash of id and vector: each asks, and is a
+candidate for the others. Rows repeated in full count once. Vectors of different lengths are never compared.
 Of equal vectors only the k + 1 smallest ids can be among anyone's k nearest (ties go to smaller ids), so only these
 are candidates; all of them may ask. With fewer candidates than k, all are returned. Extra columns are not read; an
 empty table gives no rows.
@@ -121,8 +122,8 @@ def _matrix_of(column: pa.Array) -> np.ndarray:
     return values.reshape(len(column), -1)
 
 
-def search(query_ids: np.ndarray, queries: np.ndarray, bounds: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(query id, ids, scores) of each query's k best among the vectors; ``bounds`` holds k-th best scores known."""
+def search(query_ids: np.ndarray, query_rows: np.ndarray, queries: np.ndarray, bounds: np.ndarray, ids: np.ndarray, row_keys: np.ndarray, vectors: np.ndarray, k: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(query id and row key, ids, row keys, scores) of each query's k best among the vectors; ``bounds`` holds k-th best scores known."""
     matrix = _matrix(vectors.shape[1])
     units = _units(vectors)
     points = units @ matrix
@@ -134,7 +135,7 @@ def search(query_ids: np.ndarray, queries: np.ndarray, bounds: np.ndarray, ids:
     asked = _units(queries)
     reach = tree.reach(asked @ matrix, tight)
     turns = np.argsort(reach, axis=1, kind="stable")
-    for i, query_id in enumerate(query_ids):
+    for i, (query_id, query_row) in enumerate(zip(query_ids, query_rows, strict=True)):
         found, close, best = [], [], np.zeros(0)
         for turn in range(0, len(tight), STRIDE):
             kth = max(bounds[i], best[k - 1] if len(best) >= k else -np.inf)
@@ -142,7 +143,7 @@ def search(query_ids: np.ndarray, queries: np.ndarray, bounds: np.ndarray, ids:
             if np.isfinite(kth) and chi_square(far / max(2 - 2 * kth, 1e-300)) >= CERTAINTY and far > 0:
                 break
             rows = np.concatenate([order[starts[j] : starts[j + 1]] for j in turns[i, turn : turn + STRIDE]])
-            rows = rows[ids[rows] != query_id]
+            rows = rows[(ids[rows] != query_id) | (row_keys[rows] != query_row)]
             near = units[rows] @ asked[i]
             found.append(rows)
             close.append(near)
@@ -152,20 +153,20 @@ def search(query_ids: np.ndarray, queries: np.ndarray, bounds: np.ndarray, ids:
         rows, near = np.concatenate(found), np.concatenate(close)
         rows = rows[near >= best[-1] - 1e-9]
         score = cosines(queries[i], vectors[rows])
-        top = np.lexsort((ids[rows], -score))[:k]
-        yield int(query_id), ids[rows[top]], score[top]
+        top = np.lexsort((row_keys[rows], ids[rows], -score))[:k]
+        yield int(query_id), int(query_row), ids[rows[top]], row_keys[rows[top]], score[top]
 
 
 def _search_cell(k: int):
-    names = ["query_id", "vec_id", "score"]
-    kinds = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+    names = ["query_id", "query_row", "vec_id", "row", "score"]
+    kinds = pa.schema([*((name, pa.int64()) for name in names[:-1]), ("score", pa.float64())])
 
     def run(asking: pa.Table, held: pa.Table) -> pa.Table:
-        parts: list[list[np.ndarray]] = [[np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]]
+        parts: list[list[np.ndarray]] = [*([np.zeros(0, np.int64)] for _ in names[:-1]), [np.zeros(0)]]
         if asking.num_rows and held.num_rows:
-            args = (np.asarray(asking.column("vec_id")), _matrix_of(asking.column("embedding")), np.asarray(asking.column("bound")))
-            for query_id, ids, score in search(*args, np.asarray(held.column("vec_id")), _matrix_of(held.column("embedding")), k):
-                for part, values in zip(parts, (np.full(len(ids), query_id), ids, score), strict=True):
+            keys = lambda rows: (np.asarray(rows.column("vec_id")), np.asarray(rows.column("row")), _matrix_of(rows.column("embedding")))
+            for query_id, query_row, ids, rows, score in search(*keys(asking), np.asarray(asking.column("bound")), *keys(held), k):
+                for part, values in zip(parts, (np.full(len(ids), query_id), np.full(len(ids), query_row), ids, rows, score), strict=True):
                     part.append(values)
         return pa.Table.from_arrays([pa.array(np.concatenate(p), t) for p, t in zip(parts, kinds.types, strict=True)], names)
 
@@ -173,16 +174,16 @@ def _search_cell(k: int):
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """(vec_id, embedding) of the rows that take part, one for each id."""
+    """(vec_id, embedding, row) of the different rows that take part."""
     whole = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
     rows = rows.where(F.col("vec_id").isNotNull() & F.forall("embedding", whole) & F.exists("embedding", lambda x: x != 0))
-    return rows.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
+    return rows.distinct().withColumn("row", F.xxhash64("vec_id", "embedding"))
 
 
 def _trees(rows: DataFrame, total: int, fit_rows: int, cell_rows: int) -> dict[int, Tree]:
     """For each vector length in the bounded sample, the top of its tree."""
-    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(fit_rows).toArrow()
+    sample = rows.orderBy("row", "vec_id").limit(fit_rows).toArrow()
     vectors = sample.column("embedding").combine_chunks()
     length = pc.list_value_length(vectors)
     trees = {}
@@ -198,8 +199,8 @@ def nearest(vectors: DataFrame, k: int = 5, each: int = 50, fit_rows: int = FIT_
     small_batches(vectors.sparkSession)
     rows = written(usable(vectors), "ann-vectors")
     trees = _trees(rows, rows.count(), fit_rows, cell_rows)
-    schema = "dim int, cell int, vec_id long, embedding array<double>"
-    names = ["dim", "cell", "vec_id", "embedding"]
+    schema = "dim int, cell int, vec_id long, embedding array<double>, row long"
+    names = ["dim", "cell", "vec_id", "embedding", "row"]
 
     def by_length(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, pa.RecordBatch]]:
         length = pc.list_value_length(batch.column(column))
@@ -220,12 +221,12 @@ def nearest(vectors: DataFrame, k: int = 5, each: int = 50, fit_rows: int = FIT_
     held = written(held.withColumn("n", least()).where(F.col("n") <= k + 1).select(*names), "ann-candidates")
 
     asking = placed.where(F.col("vec_id") % each == 0)
-    result = "query_id long, vec_id long, score double"
+    result = "query_id long, query_row long, vec_id long, row long, score double"
     found = lambda queries: queries.groupBy("dim", "cell").cogroup(held.groupBy("dim", "cell")).applyInArrow(_search_cell(k), result)
     at_home = written(found(asking.withColumn("bound", F.lit(float("-inf")))), "ann-home")
-    kth = at_home.groupBy("query_id").agg(F.min("score").alias("worst"), F.count(F.lit(1)).alias("n"))
-    kth = kth.select(F.col("query_id").alias("vec_id"), F.when(F.col("n") >= k, F.col("worst")).alias("bound"))
-    asking = asking.join(kth, "vec_id", "left").select(*names, F.coalesce("bound", F.lit(float("-inf"))).alias("bound"))
+    kth = at_home.groupBy("query_id", "query_row").agg(F.min("score").alias("worst"), F.count(F.lit(1)).alias("n"))
+    kth = kth.select(F.col("query_id").alias("vec_id"), F.col("query_row").alias("row"), F.when(F.col("n") >= k, F.col("worst")).alias("bound"))
+    asking = asking.join(kth, ["vec_id", "row"], "left").select(*names, F.coalesce("bound", F.lit(float("-inf"))).alias("bound"))
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -233,7 +234,7 @@ def nearest(vectors: DataFrame, k: int = 5, each: int = 50, fit_rows: int = FIT_
                 if dim not in trees or len(trees[dim].boxes) < 2:
                     continue
                 reach = trees[dim].reach(_units(_matrix_of(part.column(3))) @ _matrix(dim))
-                kth = np.asarray(part.column(4))
+                kth = np.asarray(part.column(5))
                 limit = np.where(np.isfinite(kth), np.maximum(2 - 2 * kth, 1e-300), np.inf)
                 go = chi_square(reach / limit[:, None]) < CERTAINTY
                 go[np.arange(len(go)), np.asarray(part.column(1))] = False
@@ -243,7 +244,7 @@ def nearest(vectors: DataFrame, k: int = 5, each: int = 50, fit_rows: int = FIT_
                     yield pa.RecordBatch.from_arrays([some.column(0), pa.array(cell[lo : lo + 1000], pa.int32()), *some.columns[2:]], [*names, "bound"])
 
     elsewhere = found(asking.mapInArrow(visit, f"{schema}, bound double"))
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
+    rank = F.row_number().over(Window.partitionBy("query_id", "query_row").orderBy(F.col("score").desc(), "vec_id", "row"))
     return at_home.unionByName(elsewhere).withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 

@@ -57,3 +57,18 @@ def test_query_recall(spark, sf):
     table = spark.read.parquet(f"{path}/embeddings.parquet").select("vec_id", "embedding").toPandas()
     want = brute(table.vec_id.to_numpy(), np.stack(table.embedding.to_numpy()).astype(np.float64))
     assert compare(op6_nearest(spark, path).collect(), want, 0.9)
+
+
+def test_different_vectors_of_one_id_are_rows(spark):
+    rng = np.random.default_rng(5)
+    rows = [(int(i % 100), [float(x) for x in rng.standard_normal(4)]) for i in range(300)]
+    rows += [(7, [-x for x in rows[0][1]])]
+    got = nearest(spark.createDataFrame(rows + rows[:50], "vec_id long, embedding array<double>"), cell_rows=60).collect()
+    ids, vectors = np.array([i for i, _ in rows]), np.array([v for _, v in rows])
+    want = []
+    for i in np.flatnonzero(ids % 50 == 0):
+        score = cosines(vectors[i], vectors)
+        best = [j for j in np.lexsort((ids, -score)) if j != i][:5]
+        want += [(int(ids[i]), rank + 1, int(ids[j]), round(float(score[j]), 9)) for rank, j in enumerate(best)]
+    assert len(got) == len(want) == 6 * 5
+    assert len({(r.query_id, r.rank, r.vec_id, round(r.score, 9)) for r in got} & set(want)) >= 0.9 * len(want)
