@@ -16,6 +16,7 @@ from skyledger.llm.quality import op3_quality_classifier
 from skyledger.llm.secrets import op7_secret_scan
 from skyledger.llm.sharding import op4_sharding
 from skyledger.llm.suffixes import op2_suffix_dedup
+from skyledger.llm.token_counts import op11_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
@@ -28,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fingerprint": op8_fingerprint,
     "op9_bpe": op9_bpe,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_token_counts": op11_token_counts,
 }
 
 # Every string of 400 bytes by itself, in hexadecimal.
@@ -66,7 +68,7 @@ select s.doc_id, cast(len(s.shingles) as bigint) as n_shingles, min(o.doc_id) as
 from s join reach on reach.a = s.r join s o on o.r = reach.b group by s.r, s.doc_id, s.shingles
 """
 
-#: The other eight have no SQL: fitted models, byte hashes, rounding to copies, vocabularies, patterns with places.
+#: The others have no SQL: fitted models, byte hashes, rounding to copies, vocabularies, patterns with places.
 ORACLE_SQL: dict[str, str] = {
     "op2_suffix_dedup": " ".join(_REPEATS.split("\n")),
     "op10_jaccard_join": " ".join(_COMPONENTS.split("\n")),
