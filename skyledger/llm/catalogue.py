@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from skyledger.llm.alignment import op12_alignment
 from skyledger.llm.bpe import op9_bpe
 from skyledger.llm.fingerprint import op8_fingerprint
 from skyledger.llm.jaccard import op10_jaccard_join
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_bpe": op9_bpe,
     "op10_jaccard_join": op10_jaccard_join,
     "op11_token_counts": op11_token_counts,
+    "op12_alignment": op12_alignment,
 }
 
 # Every string of 400 bytes by itself, in hexadecimal.
