@@ -18,6 +18,7 @@ from skyledger.llm.secrets import op7_secret_scan
 from skyledger.llm.sharding import op4_sharding
 from skyledger.llm.suffixes import op2_suffix_dedup
 from skyledger.llm.token_counts import op11_token_counts
+from skyledger.llm.whitening import op13_whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_jaccard_join": op10_jaccard_join,
     "op11_token_counts": op11_token_counts,
     "op12_alignment": op12_alignment,
+    "op13_whitening": op13_whitening,
 }
 
 # Every string of 400 bytes by itself, in hexadecimal.
