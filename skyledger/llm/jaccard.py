@@ -11,6 +11,9 @@ empty. If it has more, it joins on its empty parts too, with others of that kind
 What agrees on a part is then filtered by a second, dense sketch (two bits or more for each token, folded to equal
 widths): a Hamming distance above the slack rules a pair out. What is left is verified on the sets themselves.
 
+Words are numbered by 64 bits of keyed BLAKE2b, so no rule of arithmetic leads from one word to another of the same number;
+a run of words is numbered by mixing in one word after the other, and a set by BLAKE2b of its sorted tokens.
+
 Nodes are distinct sets, so copies are one node; each map batch sends a part of a node once. Near copies of one text
 fall into the same groups again and again, so pairs are not listed at once: first each node is verified with the one
 partner it meets most often; then, in a few of the groups that still hold several components, each with its closest
@@ -25,6 +28,7 @@ read. An empty table gives no rows.
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 
@@ -33,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import lower_ascii, map_texts, mixed, pieces, prefix_hash, range_hash, small_batches, table, text_bytes, words
+from skyledger.llm.common import lower_ascii, map_texts, mixed, pieces, small_batches, table, text_bytes
 from skyledger.llm.components import components
 from skyledger.session import written
 
@@ -44,23 +48,49 @@ CLOSEST_GROUPS = 4
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], dtype=np.uint64)
 
 
+class _Words(dict):
+    """Numbers of words seen; when full it becomes the older generation, from which words that come again return."""
+
+    MOST = 1 << 18
+    KEY = b"words of a shingle"
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.older: dict[bytes, int] = {}
+
+    def __missing__(self, word: bytes) -> int:
+        number = self.older.get(word)
+        if number is None:
+            number = int.from_bytes(hashlib.blake2b(word, digest_size=8, key=self.KEY).digest(), "little")
+        if len(word) <= 64:
+            if len(self) >= self.MOST:
+                self.older = dict(self)
+                self.clear()
+            self[word] = number
+        return number
+
+
+_words = _Words()
+
+
 def shingle_sets(column: pa.Array, n: int) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each text."""
     data, offsets = text_bytes(column)
     if not len(data):
         return [np.zeros(0, dtype=np.uint64)] * len(column)
-    low = lower_ascii(data)
-    start, end, before = words(data, offsets)
-    word = range_hash(prefix_hash(low.astype(np.uint64) + np.uint64(1)), start, end)
+    low = lower_ascii(data).tobytes()
+    # Bytes are split at the six white characters of the word pattern.
+    texts = [low[a:b].split() for a, b in zip(offsets, offsets[1:], strict=False)]
+    before = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    word = np.fromiter((_words[w] for t in texts for w in t), dtype=np.uint64, count=before[-1])
     runs = max(0, len(word) - n + 1)
     total = np.zeros(runs, dtype=np.uint64)
     for i in range(n):
-        total = total * _ODD[0] + (word[i : i + runs] ^ _ODD[1 + i % 4])
-    shingle = mixed(total)
+        total = mixed(total * _ODD[0] + (word[i : i + runs] ^ _ODD[1 + i % 4]))
     out = []
     for a, b in zip(before, before[1:], strict=False):
         if b - a >= n:
-            out.append(np.unique(shingle[a : b - n + 1]))
+            out.append(np.unique(total[a : b - n + 1]))
         elif b > a:
             short = np.array([b - a], dtype=np.uint64)
             for w in word[a:b]:
@@ -73,9 +103,7 @@ def shingle_sets(column: pa.Array, n: int) -> list[np.ndarray]:
 
 def node_of(tokens: np.ndarray) -> int:
     """A set's own number (64 bits, signed)."""
-    spread = mixed(tokens ^ _ODD[3])
-    value = mixed(np.array([np.sum(spread, dtype=np.uint64) + _ODD[0] * np.bitwise_xor.reduce(spread) + np.uint64(len(tokens))], dtype=np.uint64))
-    return int(value.view(np.int64)[0])
+    return int.from_bytes(hashlib.blake2b(tokens.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
 class Bands:

@@ -148,3 +148,10 @@ def test_query_against_all_pairs(spark):
     sf = "/root/testdata/sf0.01"
     rows = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
     assert Counter(tuple(r) for r in op10_jaccard_join(spark, sf).collect()) == brute(rows)
+
+
+def test_words_of_equal_polynomials_are_different(spark):
+    one, other = "m" * 26, "onmnjokonpkmkonmppnlplmllm"
+    rows = [(1, f"{one} b c d"), (2, f"{other} b c d"), (3, one), (4, other), (5, f"{one} b c d")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in jaccard_components(docs).collect()} == {1: 1, 2: 2, 3: 3, 4: 4, 5: 1}
