@@ -5,7 +5,11 @@ least (the leftmost of equals). Equal strings have equal anchors at equal places
 anchors need sorting: about one for each 140 bytes. An anchor comes with its stretch, the bytes of all strings whose
 anchor it is.
 
-Sorting, first by two tokens: the hash of the anchor bytes and the hash of the stretch. Spark samples splitters and
+Where a document repeats itself with a period (a run of blanks, a dashed rule), one suffix after the other has the same
+anchor and stretch at even steps. Such suffixes, compared byte by byte, travel as one row with their number, and their strings
+are one span that repeats.
+
+Sorting, first by three tokens: the hash of the anchor bytes, and 128 bits of BLAKE2b of the stretch. Spark samples splitters and
 range-partitions the suffixes by these tokens; each task sorts its bucket and compares neighbours. Runs of equal tokens
 that may go on in another bucket are left open: each task reports its first and last run, and these few numbers, put
 together, decide the open rows. Two equal stretches repeat each other whole. An anchor with several stretches needs
@@ -20,8 +24,8 @@ another row is in the same block of the suffix order (common length LENGTH - a o
 string that repeats.
 
 An anchor with more than ``GROUP_ROWS`` different stretches (a passage in a large share of all documents, each time
-in other surroundings) is not gathered in one task: its strings are hashed one by one (128 bits), counted with an aggregate that
-combines in the map tasks, and joined back. Stretches equal by two 64-bit hashes count as equal.
+in other surroundings) is not gathered in one task: its strings are hashed one by one (128 bits of BLAKE2b), counted with an aggregate that
+combines in the map tasks, and joined back. Bytes are held equal by such a hash or by comparison, never by the hash that picks anchors.
 
 Matches never cross rows. A null text counts as empty; texts under LENGTH bytes lose nothing. Texts are cut into
 overlapping segments of ``SEGMENT`` bytes for the work on anchors, which does not change the result. Rows repeated in
@@ -31,6 +35,7 @@ are not read.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,7 +44,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import mixed, pieces, powers, prefix_hash, range_hash, small_batches, table, text_bytes
+from skyledger.llm.common import mixed, pieces, powers, prefix_hash, small_batches, table, text_bytes
 from skyledger.session import written
 
 LENGTH = 400
@@ -48,10 +53,10 @@ ANCHOR = 128
 GROUP_ROWS = 100_000
 SEGMENT = 1 << 20
 
-_NAMES = ["g", "c", "doc_id", "mark", "at", "low", "high"]
-#: Tokens g (anchor) and c (stretch); the row (doc_id, mark); the anchor's place, and of the first and last string.
-_SUFFIX = "g long, c long, doc_id long, mark int, at long, low long, high long"
-_SUFFIX_TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+_NAMES = ["g", "c", "d", "doc_id", "mark", "at", "low", "high", "times", "last"]
+#: Tokens g (anchor), c and d (stretch); the row (doc_id, mark); the anchor's place, and of the first and last string; how many
+#: such suffixes follow each other at even steps, and the last string of the last one.
+_SUFFIX = "g long, c long, d long, doc_id long, mark int, at long, low long, high long, times long, last long"
 
 
 def _least_in_windows(key: np.ndarray, width: int) -> np.ndarray:
@@ -66,11 +71,41 @@ def _least_in_windows(key: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(backward[:n], forward[width - 1 : width - 1 + n])
 
 
+def _stretch_tokens(raw: bytes, low: np.ndarray, end: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """Two 64-bit tokens for each stretch raw[low:end], told apart also by where its anchor stands in it."""
+    made = b"".join(
+        hashlib.blake2b(raw[a:b], digest_size=16, salt=n.to_bytes(16, "little")).digest()
+        for a, b, n in zip(low.tolist(), end.tolist(), before.tolist(), strict=True)
+    )
+    return np.frombuffer(made, dtype=np.int64).reshape(-1, 2)
+
+
+def _periods(data: np.ndarray, same: np.ndarray, low: np.ndarray, end: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """First rows, and numbers of rows, of suffixes that follow each other at even steps with equal stretches (to ``end``).
+
+    ``same`` tells whether a row may equal the one before it.
+    """
+    step = np.diff(low, prepend=0)
+    same = same & (step <= length)
+    # A row goes on with a period if it may equal the one before, at the same step as that (or as the first step).
+    goes_on = same & (np.append(False, ~same[:-1]) | np.append(False, step[1:] == step[:-1]))
+    first = np.flatnonzero(~goes_on)
+    times = np.diff(np.append(first, len(low)))
+    for at in np.flatnonzero(times > 1):
+        one, many = first[at], times[at]
+        t = low[one + 1] - low[one]
+        stop = end[one + many - 1]
+        if not np.array_equal(data[low[one] : stop - t], data[low[one] + t : stop]):
+            goes_on[one : one + many] = False
+    first = np.flatnonzero(~goes_on)
+    return first, np.diff(np.append(first, len(low)))
+
+
 def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, anchor: int = ANCHOR) -> tuple[np.ndarray, ...]:
-    """(segment, g, c, at, low, high) of all segments data[offsets[i]:offsets[i + 1]]; places count from the segment's start."""
+    """(segment, g, c, d, at, low, high, times, last) of all segments data[offsets[i]:offsets[i + 1]]; places count from the segment's start."""
+    none = np.zeros(0, dtype=np.int64)
     if len(data) < length:
-        none = np.zeros(0, dtype=np.int64)
-        return none, none.view(np.uint64), none.view(np.uint64), none, none, none
+        return (none,) * 9
     sums = prefix_hash(data.astype(np.uint64) + np.uint64(1))
     _, down = powers(len(data))
     grams = len(data) - anchor + 1
@@ -83,13 +118,17 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, anchor:
     inside = segment[: len(least)] == segment[length - 1 :]
     start, least = start[inside], least[inside]
     if not len(start):
-        return anchors(data[:0], offsets)
+        return (none,) * 9
     fresh = np.flatnonzero((np.diff(least, prepend=-1) != 0) | (np.diff(start, prepend=-2) != 1))
     low, high, at = start[fresh], np.append(start[fresh[1:] - 1], start[-1]), least[fresh]
-    whole = range_hash(sums, low, high + length)
-    own = segment[low]
+    g, own = gram[at].view(np.int64), segment[low]
+    same = np.append(False, (g[1:] == g[:-1]) & (own[1:] == own[:-1]) & (np.diff(at - low) == 0) & (np.diff(high - low) == 0))
+    first, times = _periods(data, same, low, high + length, length)
+    last = high[first + times - 1]
+    g, own, at, low, high = (x[first] for x in (g, own, at, low, high))
+    c = _stretch_tokens(data.tobytes(), low, high + length, at - low)
     base = offsets[own]
-    return own, gram[at], mixed(whole ^ mixed((at - low).astype(np.uint64))), at - base, low - base, high - base
+    return own, g, c[:, 0], c[:, 1], at - base, low - base, high - base, times, last - base
 
 
 def _segments(batch: pa.RecordBatch, length: int, size: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -118,10 +157,9 @@ def _suffixes(length: int, anchor: int, size: int):
         for batch in batches:
             for piece in pieces(batch, 2):
                 for data, offsets, row, shift in _segments(piece, length, size):
-                    segment, g, c, at, low, high = anchors(data, offsets, length, anchor)
+                    segment, g, c, d, at, low, high, times, last = anchors(data, offsets, length, anchor)
                     rows, move = pa.array(row[segment], pa.int64()), shift[segment]
-                    made = [g.view(np.int64), c.view(np.int64), None, None, at + move, low + move, high + move]
-                    made[2], made[3] = piece.column(0).take(rows), piece.column(1).take(rows)
+                    made = [g, c, d, piece.column(0).take(rows), piece.column(1).take(rows), at + move, low + move, high + move, times, last + move]
                     yield pa.RecordBatch.from_arrays([pa.array(m) if isinstance(m, np.ndarray) else m for m in made], _NAMES)
 
     return run
@@ -138,13 +176,14 @@ def _sort_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     if not got:
         return
     whole = pa.Table.from_batches(got).combine_chunks()
-    g, c = np.asarray(whole.column(0)), np.asarray(whole.column(1))
-    order = np.lexsort((c, g))
-    g, c = g[order], c[order]
+    g, c, d = (np.asarray(whole.column(i)) for i in range(3))
+    times = np.asarray(whole.column("times"))
+    order = np.lexsort((d, c, g))
+    g, c, d, times = g[order], c[order], d[order], times[order]
     new_g = np.append(True, g[1:] != g[:-1])
-    new_c = new_g | np.append(True, c[1:] != c[:-1])
+    new_c = new_g | np.append(True, (c[1:] != c[:-1]) | (d[1:] != d[:-1]))
     runs_g, runs_c = np.flatnonzero(new_g), np.flatnonzero(new_c)
-    size_c = np.diff(np.append(runs_c, len(g)))
+    size_c = np.add.reduceat(times, runs_c)
     kinds = np.add.reduceat(new_c.astype(np.int64), runs_g)
     of_g, of_c = np.cumsum(new_g) - 1, np.cumsum(new_c) - 1
     # The later rows of a run of equal stretches are decided: they repeat, and do not stand for the others.
@@ -169,23 +208,24 @@ def _across(found: DataFrame) -> DataFrame:
     """The sorted suffixes, with the open ones decided by what all tasks together have of their tokens."""
     spark = found.sparkSession
     # Of each task, the stretches at the ends of its first and last run and the number of stretches in these runs: a few numbers.
-    ends = found.where("open").groupBy("task", "g").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.min_by("count", "c").alias("n0"), F.max_by("count", "c").alias("n1"), F.first("kinds").alias("kinds"))
+    stretch = F.struct("c", "d")
+    ends = found.where("open").groupBy("task", "g").agg(F.min(stretch).alias("c0"), F.max(stretch).alias("c1"), F.min_by("count", stretch).alias("n0"), F.max_by("count", stretch).alias("n1"), F.first("kinds").alias("kinds"))
     by_g: dict[int, list] = {}
     for r in ends.collect():
         by_g.setdefault(r.g, []).append(r)
     kinds_of, repeated = [], []
     for g, parts in by_g.items():
-        times: dict[int, int] = {}
+        times: dict[tuple[int, int], int] = {}
         for r in parts:
             for c, n in {(r.c0, r.n0), (r.c1, r.n1)}:
                 times[c] = times.get(c, 0) + n
         # A stretch at the border of several tasks was counted by each.
         double = sum(sum(c in (r.c0, r.c1) for r in parts) - 1 for c in times)
         kinds_of.append((g, sum(r.kinds for r in parts) - double))
-        repeated += [(g, c) for c, n in times.items() if n > 1]
+        repeated += [(g, *c) for c, n in times.items() if n > 1]
     kinds = spark.createDataFrame(kinds_of, "g long, all_kinds long")
-    again = spark.createDataFrame(repeated, "g long, c long").withColumn("again", F.lit(True))
-    opened = found.where("open").join(kinds, "g").join(again, ["g", "c"], "left")
+    again = spark.createDataFrame(repeated, "g long, c long, d long").withColumn("again", F.lit(True))
+    opened = found.where("open").join(kinds, "g").join(again, ["g", "c", "d"], "left")
     opened = opened.withColumn("repeats", F.col("repeats") | F.coalesce("again", F.lit(False))).withColumn("kinds", F.col("all_kinds")).drop("all_kinds", "again")
     both = found.where("not open").unionByName(opened)
     return both.where("repeats or kinds > 1")
@@ -290,9 +330,8 @@ def _strings(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, raw in enumerate(batch.column(batch.schema.names.index("stretch")).to_pylist()):
-                data = np.frombuffer(raw, dtype=np.uint8).astype(np.uint64) + np.uint64(1)
-                start = np.arange(len(data) - length + 1)
-                hashes = [range_hash(prefix_hash(d), start, start + length).view(np.int64) for d in (data, mixed(data))]
+                start = np.arange(len(raw) - length + 1)
+                hashes = _stretch_tokens(raw, start, start + length, start * 0).T
                 rows = pa.array(np.full(len(start), i))
                 low = batch.column(batch.schema.names.index("low"))[i].as_py()
                 yield pa.RecordBatch.from_arrays([pa.array(hashes[0]), pa.array(hashes[1]), batch.column(0).take(rows), batch.column(1).take(rows), pa.array(low + start)], ["h", "k", "doc_id", "mark", "begin"])
@@ -303,9 +342,9 @@ def _strings(length: int):
 def repeated_spans(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, group_rows: int = GROUP_ROWS, segment: int = SEGMENT) -> DataFrame:
     """(doc_id, mark, begin, end) of bytes to remove, for rows (doc_id, mark, text); spans of a row may overlap."""
     suffixes = written(docs.select("doc_id", "mark", "text").mapInArrow(_suffixes(length, anchor, segment), _SUFFIX), "suffixes")
-    bucketed = suffixes.repartitionByRange("g", "c", "doc_id")
+    bucketed = suffixes.repartitionByRange("g", "c", "d", "doc_id")
     found = written(_across(written(bucketed.mapInArrow(_sort_bucket, _SORTED), "suffixes-sorted")), "suffixes-met")
-    whole = found.where("repeats").select("doc_id", "mark", F.col("low").alias("begin"), (F.col("high") + length).alias("end"))
+    whole = found.where("repeats").select("doc_id", "mark", F.col("low").alias("begin"), (F.col("last") + length).alias("end"))
 
     # One stretch of each kind fetches its bytes; a document's list is as long as its text allows.
     asked = found.where("kinds > 1 and first").groupBy("doc_id", "mark").agg(F.collect_list(F.struct("g", "at", "low", "high", "repeats", (F.col("kinds") > group_rows).alias("hot"))).alias("asked"))

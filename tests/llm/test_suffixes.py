@@ -34,7 +34,8 @@ def test_anchors_depend_on_the_string_alone():
     body = rng.integers(97, 100, 60).astype(np.uint8)
     a = np.concatenate([rng.integers(0, 255, 50).astype(np.uint8), body, rng.integers(0, 255, 20).astype(np.uint8)])
     data, offsets = np.concatenate([a, body]), np.array([0, len(a), len(a) + len(body)])
-    segment, g, c, at, low, high = anchors(data, offsets, 40, 12)
+    segment, g, _, _, at, low, high, times, _ = anchors(data, offsets, 40, 12)
+    assert set(times) == {1}
     for start in range(21):  # strings of the body, in both segments
         one = next((int(x), int(p) - 50 - start) for s, x, p, lo, hi in zip(segment, g, at, low, high) if s == 0 and lo <= 50 + start <= hi)
         two = next((int(x), int(p) - start) for s, x, p, lo, hi in zip(segment, g, at, low, high) if s == 1 and lo <= start <= hi)
@@ -105,6 +106,41 @@ def test_segments_do_not_matter(spark, segment):
     assert digest(remove_repeats(docs, 40, 12, segment=segment).collect()) == brute(rows, 40)
 
 
+def test_words_of_equal_polynomials_are_different(spark):
+    """Both words have one value under the polynomial that picks anchors; before the same letters only the latter repeat."""
+    one, other = "m" * 26, "onmnjokonpkmkonmppnlplmllm"
+    rng = random.Random(9)
+    tail = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(480))
+    rows = [(1, one + tail), (2, other + tail)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = digest(remove_repeats(docs).collect())
+    assert got == brute(rows, 400)
+    assert {r[2] for r in got} == {481}  # both words end in the same letter
+
+
+@pytest.mark.parametrize("group_rows", [100_000, 1])
+@pytest.mark.parametrize("segment", [1 << 20, 97])
+def test_runs_against_every_string(spark, group_rows, segment):
+    rng = random.Random(11)
+    text = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    rows = [(1, "a" * 700), (2, "ab" * 300 + "c" + "ab" * 30), (3, text(50) + "-=" * 90 + text(50)), (4, "-----+" * 60), (5, text(30) + "a" * 39), (6, "a" * 40 + text(30))]
+    rows += [(7, "x" * 39 + "y" + "x" * 45), (8, text(20) + "-----+" * 8 + text(20)), (9, " " * 41), (10, text(40) + " " * 60 + text(5)), (11, "b" * 40), (12, ("q" * 45 + text(3)) * 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert digest(remove_repeats(docs, 40, 12, group_rows, segment).collect()) == brute(rows, 40)
+    for i in range(len(rows)):  # one run alone repeats itself
+        alone = spark.createDataFrame(rows[i : i + 1], docs.schema)
+        if i in (0, 3, 8, 10):
+            assert digest(remove_repeats(alone, 40, 12, group_rows, segment).collect()) == brute(rows[i : i + 1], 40)
+
+
+def test_a_run_is_few_suffixes():
+    for unit in (b" ", b"ab", b"-" * 79 + b"\n"):
+        data = np.frombuffer(unit * (1_000_000 // len(unit)), dtype=np.uint8)
+        *_, low, _, times, last = anchors(data, np.array([0, len(data)]))
+        assert len(low) <= 8
+        assert low[0] == 0 and last[-1] == len(data) - 400
+
+
 def test_query_against_every_string(spark):
     sf = "/root/testdata/sf0.001"
     rows = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
