@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.operators.accounting import DELIVERY, batch_counters, outcomes, sample_errors
-from skyledger.operators.dedupe import known_ids, winners, winning_rows
+from skyledger.operators.dedupe import winners, winning_rows
 from skyledger.operators.transform import judged
 from skyledger.operators.validate import validated
 from skyledger.session import configure, scratch_scope, written
@@ -53,20 +53,23 @@ def run_intake(
 
     Events are written before quarantine rows, so a run that
     breaks in between leaves no rejected record without its accepted neighbours,
-    and running it again finds the events in place.
+    and running it again finds the events in place. Known ids come from the index of
+    ids, which is written right after the events; a batch that breaks in between is
+    indexed before the next one is judged.
     """
     at = instant(now)
     rows = judge(candidates, now)
     valid = rows.where("valid")
 
+    tables.heal(ingest_batch)
     # The accepted range of event times bounds the number of days.
     days = [r[0] for r in valid.select(F.to_date("event_time")).distinct().collect()]
-    any_supplied = not valid.where(F.col("id_kind") == "supplied").isEmpty()
-    stored = tables.events().where(F.col("ingest_batch") != ingest_batch)
-    known = known_ids(valid, stored, days=days, any_supplied=any_supplied)
+    known = tables.ids().known(valid.select("event_id", "id_kind"), ingest_batch, days)
     fresh = winners(valid.select("event_id", "ord")).join(known, "event_id", "left_anti")
     wide = valid.drop("valid", "issues").withColumnRenamed("payload", "raw")
+    tables.announce(ingest_batch)
     tables.write_events(winning_rows(wide, fresh), ingest_batch, at)
+    tables.index_batch(ingest_batch)
     tables.write_quarantine(rows.where(~F.col("valid")), ingest_batch, at)
 
     inserted = (

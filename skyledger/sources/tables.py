@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from datetime import date
+from urllib.parse import quote, unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +13,9 @@ from pyspark.sql import functions as F
 
 from skyledger.operators.transform import SEVERITIES
 from skyledger.operators.validate import ISSUES_TYPE
+from skyledger.sources.folders import Folders
+from skyledger.sources.id_index import IdIndex
+from skyledger.sources.lines import literal_path
 
 EVENT_SCHEMA = """
     event_id string, drone_id string, event_time timestamp, event_type string,
@@ -34,6 +39,10 @@ OUTCOME_SCHEMA = f"""
 """
 
 
+#: Folders of work in progress: batches whose ids are not in the index yet, and staged compactions.
+_UNINDEXED, _COMPACTION = "_unindexed", "_compaction"
+
+
 def checked(events: DataFrame) -> DataFrame:
     """Fail the write on a row no stored event may have, as a second defence."""
 
@@ -145,34 +154,93 @@ class Tables:
         )
         self._write(shaped, "ingest_outcomes", "ingest_batch")
 
+    # --- the index of ids ------------------------------------------------------
+
+    def ids(self) -> IdIndex:
+        return IdIndex(self.spark, self.root)
+
+    def heal(self, ingest_batch: str | None = None) -> None:
+        """Finish what broke off before: a compaction in place, batches whose events stand without their ids.
+
+        Batches other than ``ingest_batch``, which is about to be written anyway. Every write begins with this.
+        """
+        self.finish_compaction()
+        index = self.ids()
+        if index.new and self._folders().exists("telemetry_events"):
+            index.put(self._id_rows(self.events()))
+        for path in self._folders().children(_UNINDEXED):
+            name = unquote(path.rsplit("/", 1)[1])
+            if name != ingest_batch and not name.endswith(".part"):
+                self.index_batch(name)
+
+    def announce(self, ingest_batch: str) -> None:
+        """Note that events of this batch are about to be written, until :meth:`index_batch` has their ids."""
+        self._folders().write_lines(f"{_UNINDEXED}/{quote(ingest_batch, safe='')}", [])
+
+    def index_batch(self, ingest_batch: str) -> None:
+        """Put the ids of the stored events of one batch in the index."""
+        self.ids().put(self._id_rows(self.events().where(F.col("ingest_batch") == ingest_batch)))
+        self._folders().delete(f"{_UNINDEXED}/{quote(ingest_batch, safe='')}")
+
+    @staticmethod
+    def _id_rows(events: DataFrame) -> DataFrame:
+        return events.select("event_id", "id_kind", "event_date", "ingest_batch")
+
+    def _folders(self) -> Folders:
+        return Folders(self.spark, self.root)
+
+    # --- compaction --------------------------------------------------------------
+
     def compact(self, before: date) -> None:
         """Put the event files of the dates before ``before`` together, whatever batches they came with.
 
-        Ids, rows and the other partitions stay as they are; the rows now stand under the
-        batch ``compacted``. The new files are complete before an old one goes, and a call
-        that finds a complete set of an earlier call, which broke off, puts that in place
-        first. Like any write, it must be the only one at a time.
+        Ids, rows and the other partitions stay as they are; the rows now stand under a batch named
+        ``compacted-...``. Only folders of a date and severity that hold several batches are touched.
+
+        The new files are staged first, with a list of exactly the files they stand for. Putting them in place moves
+        them in and then deletes the listed files, and nothing else. A call that broke off is finished by the next one,
+        or by the next write of a batch; if any listed file is no longer there (a batch was written again), a staged
+        set of which nothing was moved is thrown away. Like any write, it must be the only one at a time.
         """
-        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
-        root = self.root.rstrip("/")
-        target, staged = f"{root}/telemetry_events", f"{root}/_compaction"
-        path = jvm.org.apache.hadoop.fs.Path
-        files = path(root).getFileSystem(conf)
-
-        def put_in_place() -> None:
-            # One folder for each kind, date and severity; none of them grows with the batches.
-            for found in files.globStatus(path(f"{staged}/id_kind=*/event_date=*/severity=*")):
-                place = found.getPath().toUri().getPath().rsplit("/_compaction/", 1)[1]
-                files.delete(path(f"{target}/{place}"), True)
-                files.mkdirs(path(f"{target}/{place}").getParent())
-                files.rename(found.getPath(), path(f"{target}/{place}"))
-            files.delete(path(staged), True)
-
-        if files.exists(path(f"{staged}/_SUCCESS")):
-            put_in_place()
-        old = self.events().where(F.col("event_date") < F.lit(before)).withColumn("ingest_batch", F.lit("compacted"))
-        laid_out = old.hint("rebalance", "id_kind", "event_date", "severity").sortWithinPartitions(
-            "id_kind", "event_date", "severity", "drone_id", "event_time"
-        )
-        laid_out.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*EVENT_PARTITIONS).parquet(staged)
-        put_in_place()
+        self.finish_compaction()
+        files, name = self._folders(), f"compacted-{uuid.uuid4().hex}"
+        by_place: dict[str, list[str]] = {}
+        for folder in files.glob("telemetry_events/id_kind=*/event_date=*/severity=*/ingest_batch=*"):
+            if folder.split("event_date=", 1)[1].split("/", 1)[0] < before.isoformat():
+                by_place.setdefault(folder.rsplit("/", 1)[0], []).append(folder)
+        old = [folder for group in by_place.values() if len(group) > 1 for folder in group]
+        if old:
+            replaced = [path for folder in old for path in files.children(folder)]
+            reader = self.spark.read.schema(EVENT_SCHEMA).option("basePath", f"{files.root}/telemetry_events")
+            rows = reader.parquet(*[literal_path(f"{files.root}/{folder}") for folder in old]).withColumn("ingest_batch", F.lit(name))
+            laid_out = rows.hint("rebalance", "id_kind", "event_date", "severity").sortWithinPartitions(
+                "id_kind", "event_date", "severity", "drone_id", "event_time"
+            )
+            staged = laid_out.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*EVENT_PARTITIONS)
+            staged.parquet(f"{files.root}/{_COMPACTION}/{name}/events")
+            files.write_lines(f"{_COMPACTION}/{name}/replaces", replaced)
+            self.finish_compaction()
+        self.ids().compact(before, name)
+
+    def finish_compaction(self) -> None:
+        files = self._folders()
+        for folder in files.children(_COMPACTION):
+            name = folder.rsplit("/", 1)[1]
+            if not files.exists(f"{folder}/replaces"):
+                files.delete(folder)  # broke off before it was whole
+                continue
+            replaced = files.read_lines(f"{folder}/replaces")
+            if not files.exists(f"{folder}/moving"):
+                if not all(map(files.exists, replaced)):
+                    files.delete(folder)
+                    continue
+                files.write_lines(f"{folder}/moving", [])
+            for part in files.glob(f"{folder}/events/id_kind=*/event_date=*/severity=*/ingest_batch=*"):
+                files.move(part, f"telemetry_events/{part.split('/events/', 1)[1]}")
+            self.index_batch(name)
+            for path in replaced:
+                files.delete(path)
+            for place in sorted({path.rsplit("/", 1)[0] for path in replaced}):
+                if not files.children(place):
+                    files.delete(place)
+            files.delete(folder)

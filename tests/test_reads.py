@@ -172,20 +172,179 @@ def test_a_failed_message_is_tried_again(spark, tmp_path, now):
     assert store.outcomes().where("batch_id = 'never'").count() == 3
 
 
+def put(store, batch, rows=6, days=3):
+    """Write events of a batch, as an intake does."""
+    made = store.spark.range(rows).select(
+        F.concat(F.lit(f"e{batch}-"), F.col("id")).alias("event_id"), F.lit("derived").alias("id_kind"), F.lit("D").alias("drone_id"),
+        (F.lit(START) + F.make_dt_interval(days=(F.col("id") % days).cast("int"))).alias("event_time"),
+        F.lit("TAKEOFF").alias("event_type"), F.lit(1).alias("status_code"), F.lit("info").alias("severity"),
+        F.lit(None).cast("decimal(5,2)").alias("battery_pct"), F.lit(None).cast("double").alias("latitude"), F.lit(None).cast("double").alias("longitude"),
+        F.lit("{}").alias("telemetry"), F.lit("{}").alias("raw"), F.lit("s").alias("source"), F.lit("b").alias("batch_id"), F.lit(0).cast("bigint").alias("batch_seq"),
+    )
+    store.heal(batch)
+    store.announce(batch)
+    store.write_events(made, batch, F.lit(START))
+    store.index_batch(batch)
+
+
+def event_ids(store):
+    return sorted(r.event_id for r in store.events().select("event_id").collect())
+
+
+def indexed_ids(store):
+    return sorted({r.event_id for r in store.ids().rows().select("event_id").collect()})
+
+
 def test_compaction_keeps_ids_and_counts(spark, tmp_path):
     store = Tables(spark, str(tmp_path / "store"))
     for batch in range(4):
-        rows = spark.range(6).select(
-            F.concat(F.lit(f"e{batch}-"), F.col("id")).alias("event_id"), F.lit("derived").alias("id_kind"), F.lit("D").alias("drone_id"),
-            (F.lit(START) + F.make_dt_interval(days=(F.col("id") % 3).cast("int"))).alias("event_time"),
-            F.lit("TAKEOFF").alias("event_type"), F.lit(1).alias("status_code"), F.lit("info").alias("severity"),
-            F.lit(None).cast("decimal(5,2)").alias("battery_pct"), F.lit(None).cast("double").alias("latitude"), F.lit(None).cast("double").alias("longitude"),
-            F.lit("{}").alias("telemetry"), F.lit("{}").alias("raw"), F.lit("s").alias("source"), F.lit("b").alias("batch_id"), F.lit(0).cast("bigint").alias("batch_seq"),
-        )
-        store.write_events(rows, f"b{batch}", F.lit(START))
+        put(store, f"b{batch}")
     ids = sorted(r.event_id for r in store.events().select("event_id").collect())
     for _ in range(2):
         store.compact(dt.date(2026, 9, 3))
         assert sorted(r.event_id for r in store.events().select("event_id").collect()) == ids
-        batches = {(str(r.event_date), r.ingest_batch) for r in store.events().select("event_date", "ingest_batch").distinct().collect()}
+        batches = {(str(r.event_date), r.ingest_batch.split("-")[0]) for r in store.events().select("event_date", "ingest_batch").distinct().collect()}
         assert batches == {("2026-09-01", "compacted"), ("2026-09-02", "compacted")} | {("2026-09-03", f"b{i}") for i in range(4)}
+
+
+class Broken(Exception):
+    pass
+
+
+@pytest.mark.parametrize("step", ["written", "listed", "first move", "moved", "indexed", "first delete", "deleted"])
+def test_a_compaction_that_breaks_off_loses_nothing(spark, tmp_path, monkeypatch, step):
+    """Break off at each step, store late events of the same dates, and go on."""
+    from skyledger.sources.folders import Folders
+
+    store = Tables(spark, str(tmp_path / "store"))
+    put(store, "b0")
+    put(store, "b1")
+    wanted = event_ids(store)
+    real = {name: getattr(Folders, name) for name in ("write_lines", "move", "delete")}
+    seen = {"moves": 0, "deletes": 0}
+
+    def write_lines(self, path, lines):
+        if step == "written" and path.endswith("/replaces"):
+            raise Broken
+        real["write_lines"](self, path, lines)
+        if step == "listed" and path.endswith("/replaces"):
+            raise Broken
+
+    def move(self, source, target):
+        real["move"](self, source, target)
+        if target.startswith("telemetry_events/"):
+            seen["moves"] += 1
+            if step == "first move" or step == "moved" and seen["moves"] == 2:
+                raise Broken
+
+    def delete(self, path):
+        if step == "indexed" and path.startswith("_unindexed/"):
+            raise Broken
+        real["delete"](self, path)
+        if path.startswith("telemetry_events/") and "part-" in path:
+            seen["deletes"] += 1
+            if step == "first delete" or step == "deleted" and seen["deletes"] == 4:
+                raise Broken
+
+    for name, value in (("write_lines", write_lines), ("move", move), ("delete", delete)):
+        monkeypatch.setattr(Folders, name, value)
+    with pytest.raises(Broken):
+        store.compact(dt.date(2026, 9, 3))
+    monkeypatch.undo()
+    put(store, "late")
+    wanted = sorted(wanted + [f"elate-{i}" for i in range(6)])
+    assert event_ids(store) == wanted
+    store.compact(dt.date(2026, 9, 3))
+    assert event_ids(store) == indexed_ids(store) == wanted
+    per_place = store.events().where("event_date < '2026-09-03'").groupBy("event_date").agg(F.countDistinct("ingest_batch").alias("n"))
+    assert {r.n for r in per_place.collect()} == {1}
+    assert not (tmp_path / "store" / "_compaction").exists() or not list((tmp_path / "store" / "_compaction").iterdir())
+
+
+def test_a_staged_set_whose_batch_was_written_again_is_thrown_away(spark, tmp_path, monkeypatch):
+    from skyledger.sources.folders import Folders
+
+    store = Tables(spark, str(tmp_path / "store"))
+    put(store, "b0")
+    put(store, "b1")
+    real = Folders.write_lines
+
+    def write_lines(self, path, lines):
+        real(self, path, lines)
+        if path.endswith("/replaces"):
+            raise Broken
+
+    monkeypatch.setattr(Folders, "write_lines", write_lines)
+    with pytest.raises(Broken):
+        store.compact(dt.date(2026, 9, 3))
+    monkeypatch.undo()
+    monkeypatch.setattr(Tables, "heal", lambda *_: None)
+    put(store, "b1", rows=9)  # with another writer's rows in its place
+    wanted = event_ids(store)
+    monkeypatch.undo()
+    store.compact(dt.date(2026, 9, 3))
+    assert event_ids(store) == wanted and len(wanted) == 15
+
+
+def test_known_ids_come_from_the_index(spark, tmp_path):
+    store = Tables(spark, str(tmp_path / "store"))
+    for batch in ("b0", "b1"):
+        put(store, batch, rows=40)
+    incoming = spark.createDataFrame(
+        [("eb0-1", "derived"), ("eb0-2", "supplied"), ("eb1-3", "supplied"), ("new", "supplied"), ("new2", "derived")], "event_id string, id_kind string"
+    )
+    days = [dt.date(2026, 9, 1)]
+    assert {r.event_id for r in store.ids().known(incoming, "x", days).collect()} == {"eb0-1", "eb0-2", "eb1-3"}
+    assert {r.event_id for r in store.ids().known(incoming, "b1", days).collect()} == {"eb0-1", "eb0-2"}
+    assert {r.event_id for r in store.ids().known(incoming, "x", []).collect()} == {"eb0-2", "eb1-3"}
+
+
+def test_known_ids_shuffle_no_stored_row(spark, tmp_path, monkeypatch):
+    import skyledger.sources.id_index as module
+
+    store = Tables(spark, str(tmp_path / "store"))
+    put(store, "b0", rows=400)
+    incoming = spark.range(400).select(F.concat(F.lit("eb0-"), "id").alias("event_id"), F.when(F.col("id") % 2 == 0, "supplied").otherwise("derived").alias("id_kind"))
+    monkeypatch.setattr(module, "NAMED_IDS", 10)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        known = store.ids().known(incoming, "x", [dt.date(2026, 9, 1)])
+        plan = known._jdf.queryExecution().executedPlan().toString()
+        assert known.distinct().count() == 400
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("Bucketed: true") == 2
+    lines = plan.splitlines()
+    depth = lambda line: len(line) - len(line.lstrip(" :+-*()0123456789"))
+    for at, line in enumerate(lines):
+        if "FileScan parquet" in line:  # no exchange between a join and its scan of the index
+            above = next(i for i in range(at, -1, -1) if "Join" in lines[i] and depth(lines[i]) < depth(line))
+            assert not any("Exchange" in x for x in lines[above:at])
+    # A few supplied ids are looked up in their buckets only.
+    some = store.ids().rows().where(F.col("event_id").isin(["eb0-1", "eb0-2"]))
+    read = {p.rsplit("_", 1)[1].split(".")[0] for p in some.select(F.input_file_name().alias("f")).distinct().toPandas().f}
+    assert len(read) <= 2 and some.count() == 2
+    scan = some._jdf.queryExecution().executedPlan().toString()
+    assert "In(event_id" in scan
+
+
+def test_batches_without_ids_are_indexed_before_the_next_write(spark, tmp_path, now):
+    """A batch that broke off between its events and their ids, and a store from before there was an index."""
+    from skyledger.sources.folders import Folders
+
+    store = Tables(spark, str(tmp_path / "store"))
+    put(store, "b0")
+    real, store_index = Tables.index_batch, Tables.index_batch
+    Tables.index_batch = lambda *_: None
+    try:
+        put(store, "broken")
+    finally:
+        Tables.index_batch = store_index
+    assert real is store_index and "ebroken-1" not in indexed_ids(store)
+    put(store, "b2")
+    assert indexed_ids(store) == event_ids(store)
+    files = Folders(spark, store.root)
+    files.delete(files.glob("event_ids_b*")[0])
+    put(store, "b3")
+    assert indexed_ids(store) == event_ids(store)
