@@ -123,8 +123,13 @@ def documents(
     paths: str | Sequence[str],
     only_format: str | None = None,
     scan: dict[str, str] | None = None,
+    max_bytes: int | None = None,
+    min_bytes: int | None = None,
 ) -> DataFrame:
-    """Whole files as ``(file, text)``: one JSON document is one value."""
+    """Whole files as ``(file, text)``: one JSON document is one value.
+
+    Files of more than ``max_bytes``, or of ``min_bytes`` and less, are not opened.
+    """
     df = (
         spark.read.option("recursiveFileLookup", "true")
         .options(**(scan or {}))
@@ -133,6 +138,10 @@ def documents(
     if only_format is not None:
         found = F.coalesce(format_of_name(F.col("_metadata.file_name")), F.lit("unknown"))
         df = df.where(found == only_format)
+    if max_bytes is not None:
+        df = df.where(F.col("_metadata.file_size") <= max_bytes)
+    if min_bytes is not None:
+        df = df.where(F.col("_metadata.file_size") > min_bytes)
     return df.select(
         F.col("_metadata.file_path").alias("file"), F.make_valid_utf8("value").alias("text")
     )
@@ -140,7 +149,3 @@ def documents(
 
 def read_ndjson(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     return ndjson_candidates(text_lines(spark, paths))
-
-
-def read_json(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    return json_candidates(documents(spark, paths))

@@ -161,8 +161,6 @@ def _path_key(path: Column) -> Column:
 MAX_FILES = 100_000
 #: File systems are asked about so many paths at once.
 PROBES = 32
-#: One JSON document is one value; a longer one cannot be held.
-MAX_DOCUMENT_BYTES = 2**31 - 1
 
 
 def unreadable_paths(spark: SparkSession, paths: list[str]) -> dict[str, str]:
@@ -176,8 +174,6 @@ def unreadable_paths(spark: SparkSession, paths: list[str]) -> dict[str, str]:
             files = p.getFileSystem(conf)
             if not files.exists(p):
                 return "object not found: "
-            if path.lower().endswith(".json") and files.getFileStatus(p).getLen() > MAX_DOCUMENT_BYTES:
-                return "JSON document is too large: "
             files.open(p).close()
         except Py4JJavaError:
             return "object cannot be read: "

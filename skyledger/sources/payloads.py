@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from skyledger.session import written
 from skyledger.sources.csv_rows import csv_candidates
-from skyledger.sources.json_docs import documents, json_candidates, ndjson_candidates
+from skyledger.sources.json_docs import ndjson_candidates
+from skyledger.sources.json_parts import json_files
 from skyledger.sources.lines import STRETCH_KEY, sniffed_formats, stretch_order, text_lines
 
 FORMATS = ("csv", "ndjson", "json")
@@ -39,10 +40,17 @@ def read_payloads(
         others = read(spark, paths, "unknown", scan).join(files, "file", "left_semi")
         return named.unionByName(others)
 
+    def json_of() -> DataFrame:
+        named = json_files(spark, paths, "json", scan)
+        if "json" not in found:
+            return named
+        files = sniffed.where(F.col("format") == "json").select("file")
+        return named.unionByName(json_files(spark, paths, "unknown", scan, files))
+
     branches = [
         csv_candidates(of_format("csv", text_lines)),
         ndjson_candidates(of_format("ndjson", text_lines)),
-        json_candidates(of_format("json", documents)),
+        json_of(),
     ]
     result = branches[0].unionByName(branches[1]).unionByName(branches[2])
     return (result, None) if max_records is None else capped(result, max_records)

@@ -257,14 +257,14 @@ def test_known_ids_read_the_batch_dates_only(spark, tmp_path, now):
 
 
 def test_an_unreadable_file_fails_its_own_message(spark, tmp_path, now, monkeypatch):
-    import skyledger.sources.messages as module
+    import skyledger.sources.json_parts as module
 
     tables = Tables(spark, str(tmp_path / "store"))
     raw = tmp_path / "raw"
     (raw / "folder.ndjson").mkdir(parents=True)
-    (raw / "long.json").write_text(json.dumps([RECORD] * 40))
+    (raw / "long.json").write_text(json.dumps([{**RECORD, "droneId": f"L{i}"} for i in range(40)]))
     (raw / "good.ndjson").write_text(json.dumps(RECORD) + "\n")
-    monkeypatch.setattr(module, "MAX_DOCUMENT_BYTES", 1000)
+    monkeypatch.setattr(module, "SPLIT_ABOVE", 1000)
     sent = [(k, notice(f"{k}")) for k in ("folder.ndjson", "long.json", "good.ndjson")]
     out = ingest_messages(
         spark, tables, spark.createDataFrame(sent, "message_id string, body string"), now=now,
@@ -272,6 +272,6 @@ def test_an_unreadable_file_fails_its_own_message(spark, tmp_path, now, monkeypa
     )
     got = {r.batch_id: (r.status, r.inserted, (r.error or "").split(":")[0]) for r in out.collect()}
     assert got == {
-        "folder.ndjson": ("failed", 0, "object cannot be read"), "long.json": ("failed", 0, "JSON document is too large"),
+        "folder.ndjson": ("failed", 0, "object cannot be read"), "long.json": ("processed", 40, ""),
         "good.ndjson": ("processed", 1, ""),
     }
