@@ -4,9 +4,9 @@ A text becomes its *content*, which the tokenizer cannot tell from the text, and
 becomes its *version*: the SHA-256 of its file, of the library's name and version, and of the settings used. The cache
 is a Parquet folder with one row per content and version. A run
 1. writes the digests of all rows (a few bytes a row),
-2. takes the distinct digests and anti-joins those stored for this version: the misses,
+2. joins the distinct digests to the counts stored for this version; those without one are the misses,
 3. fetches one content for each miss, encodes it, and appends the counts to the cache,
-4. joins all rows to the cache by digest.
+4. joins all rows to stored and new counts by digest (one row a digest, so that hot digests of rows can be split).
 Few misses (by their counted size) are broadcast, so no text is shuffled. Otherwise contents are grouped by digest: each
 task first reduces its copies to one, and one content per digest and task is shuffled.
 
@@ -157,42 +157,36 @@ def _encoded(contents: DataFrame, path: str, version: str) -> DataFrame:
     return map_texts(contents.select("digest", "content"), 1, work, "digest binary, n_tokens long")
 
 
-def count_misses(rows: DataFrame, keys: DataFrame, text: str, tokenizer: str, cache: str) -> int:
-    """Encode the distinct contents of ``rows`` whose digests (in ``keys``) are not stored; returns how many."""
-    spark, counter = rows.sparkSession, load(tokenizer)
-    known = stored(spark, cache, counter.version)
-    misses = keys.select("digest").distinct()
-    if known is not None:
-        misses = misses.join(known, "digest", "left_anti")
-    misses = written(misses, "token-misses")
+def counts_of(rows: DataFrame, digests: DataFrame, text: str, tokenizer: str, cache: str) -> DataFrame:
+    """One row with its count for each distinct digest of ``rows``; those not stored are encoded and appended."""
+    counter = load(tokenizer)
+    known = stored(rows.sparkSession, cache, counter.version)
+    asked = digests.distinct()
+    asked = written(asked.withColumn("n_tokens", F.lit(None).cast("long")) if known is None else asked.join(known, "digest", "left"), "token-known")
+    misses = asked.where(F.col("n_tokens").isNull()).select("digest")
     wanted = misses.count()
     if not wanted:
-        return 0
+        return asked
     contents = rows.select(content(F.col(text), counter.folds).alias("content")).select(digest(F.col("content")).alias("digest"), "content")
     if wanted <= FEW_MISSES:
         contents = contents.join(F.broadcast(misses), "digest", "left_semi")
     contents = contents.groupBy("digest").agg(F.first("content").alias("content"))
     if wanted > FEW_MISSES and known is not None:
         contents = contents.join(misses, "digest", "left_semi")
-    _encoded(contents, tokenizer, counter.version).hint("rebalance").write.mode("append").parquet(f"{cache}/version={counter.version}")
-    return wanted
+    encoded = written(_encoded(contents, tokenizer, counter.version), "token-encoded")
+    encoded.hint("rebalance").write.mode("append").parquet(f"{cache}/version={counter.version}")
+    return asked.where(F.col("n_tokens").isNotNull()).union(encoded)
 
 
 def token_counts(docs: DataFrame, tokenizer: str, cache: str, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
     """The ``keep`` columns, ``n_bytes`` (UTF-8) and ``n_tokens`` of every row; ``cache`` gains what it lacked."""
-    spark = docs.sparkSession
-    small_batches(spark)
-    counter = load(tokenizer)
+    small_batches(docs.sparkSession)
     # Columns are renamed while they travel, so that they cannot clash with the operator's own.
-    rows = docs.select(*[F.col(c).alias(f"_{i}") for i, c in enumerate(keep)], F.col(text).alias("text"))
     kept = [f"_{i}" for i in range(len(keep))]
+    rows = docs.select(*[F.col(c).alias(k) for c, k in zip(keep, kept, strict=True)], F.col(text).alias("text"))
     size = F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes")
-    keys = written(rows.select(*kept, size, digest(content(F.col("text"), counter.folds)).alias("digest")), "token-keys")
-    count_misses(rows, keys, "text", tokenizer, cache)
-    counts = stored(spark, cache, counter.version)
-    if counts is None:  # no rows at all
-        counts = spark.createDataFrame([], "digest binary, n_tokens long")
-    found = keys.join(counts, "digest")
+    keys = written(rows.select(*kept, size, digest(content(F.col("text"), load(tokenizer).folds)).alias("digest")), "token-keys")
+    found = keys.join(counts_of(rows, keys.select("digest"), "text", tokenizer, cache), "digest")
     return found.select(*[F.col(k).alias(c) for k, c in zip(kept, keep, strict=True)], "n_bytes", "n_tokens")
 
 
