@@ -30,6 +30,9 @@ class Folders:
     def children(self, path: str) -> list[str]:
         return [self._relative(s) for s in self._files.listStatus(self._at(path))] if self.exists(path) else []
 
+    def make(self, path: str) -> None:
+        self._files.mkdirs(self._at(path))
+
     def delete(self, path: str) -> None:
         self._files.delete(self._at(path), True)
 

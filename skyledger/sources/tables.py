@@ -102,6 +102,11 @@ class Tables:
         """Messages that failed and may be tried again, under the batch that failed them."""
         return self._read("message_retries", RETRY_SCHEMA)
 
+    def retry_stream(self) -> DataFrame:
+        """The same as a stream of what is added."""
+        self._folders().make("message_retries")
+        return self.spark.readStream.schema(RETRY_SCHEMA).parquet(f"{self.root.rstrip('/')}/message_retries")
+
     def write_retries(self, rows: DataFrame, ingest_batch: str) -> None:
         self._write(rows.withColumn("ingest_batch", F.lit(ingest_batch)), "message_retries", "ingest_batch")
 

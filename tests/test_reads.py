@@ -348,3 +348,48 @@ def test_batches_without_ids_are_indexed_before_the_next_write(spark, tmp_path,
     files.delete(files.glob("event_ids_b*")[0])
     put(store, "b3")
     assert indexed_ids(store) == event_ids(store)
+
+
+def test_a_failed_message_is_tried_again_after_a_time(spark, tmp_path, now):
+    """On a stream that stays quiet after its first messages."""
+    import time
+
+    from skyledger.operators.accounting import dead_letters
+    from skyledger.streaming.intake_stream import message_stream
+
+    store, drop, raw = Tables(spark, str(tmp_path / "store")), str(tmp_path / "drop"), tmp_path / "raw"
+    raw.mkdir()
+    record = json.dumps({"droneId": "D1", "timestamp": "2026-09-01T10:00:00Z", "eventType": "TAKEOFF", "telemetryData": {}})
+    (raw / "soon.ndjson").write_text(record + "\n")
+
+    def notice(key):
+        return json.dumps({"Records": [{"s3": {"bucket": {"name": "b"}, "object": {"key": key}}}]})
+
+    schema = "message_id string, body string"
+    spark.createDataFrame([(k, notice(k)) for k in ("soon.ndjson", "late.ndjson", "never.ndjson")], schema).write.parquet(drop)
+    stream = spark.readStream.schema(schema).parquet(drop)
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    writer = message_stream(stream, store, "timed", str(tmp_path / "check"), template=f"{raw}/{{key}}", clock=lambda: now, retry_after=dt.timedelta(seconds=2))
+    query = writer.trigger(processingTime="1 second").start()
+    try:
+        end = time.time() + 150
+        while time.time() < end and query.exception() is None:
+            rows = store.outcomes().groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"), F.max("inserted").alias("inserted")).collect()
+            found = {r.batch_id: (r.n, r.inserted) for r in rows}
+            if found.get("late.ndjson") == (1, 0):
+                (raw / "late.ndjson").write_text(record.replace("D1", "D2") + "\n")
+            if found.get("never.ndjson", (0,))[0] == 3:
+                break
+            time.sleep(0.5)
+        time.sleep(3)  # nothing more comes
+        assert query.exception() is None
+    finally:
+        query.stop()
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    rows = store.outcomes().groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"), F.max("inserted").alias("inserted")).collect()
+    found = {r.batch_id: (r.n, r.inserted) for r in rows}
+    assert found["soon.ndjson"] == (1, 1) and found["never.ndjson"] == (3, 0)
+    assert found["late.ndjson"][0] in (2, 3) and found["late.ndjson"][1] == 1
+    assert [r.batch_id for r in dead_letters(store.outcomes()).collect()] == ["never.ndjson"]
+    assert store.events().count() == 2
