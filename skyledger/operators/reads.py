@@ -5,8 +5,9 @@ from __future__ import annotations
 import base64
 import binascii
 import re
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Row
@@ -118,6 +119,21 @@ def newest(df: DataFrame, limit: int) -> DataFrame:
     return df.orderBy(F.desc("event_time"), F.desc("event_id")).limit(limit)
 
 
+def newest_dates(rows: DataFrame, column: str, dates: Sequence[date], limit: int) -> DataFrame:
+    """``rows`` of the newest ``dates`` only, of as many as hold ``limit`` rows.
+
+    ``dates`` are those of the table's partitions. They are opened newest first, twice as many at a time, counting
+    rows, until ``limit`` are found: a page is read from a handful of dates, whatever the table holds before them.
+    """
+    dates = sorted(dates, reverse=True)
+    at, step, missing = 0, 1, limit
+    while at < len(dates) and missing > 0:
+        some = dates[at : at + step]
+        missing -= rows.where(F.col(column).between(F.lit(some[-1]), F.lit(some[0]))).select(F.lit(1)).limit(missing).count()
+        at, step = at + len(some), 2 * step
+    return rows if at >= len(dates) else rows.where(F.col(column) >= F.lit(dates[at - 1]))
+
+
 def _read_columns(df: DataFrame) -> DataFrame:
     present = [c for c in READ_COLUMNS if c in df.columns]
     df = df.select(*present)
@@ -137,10 +153,11 @@ def device_events(
     end: datetime | None = None,
     cursor: Cursor | None = None,
     limit: int = DEFAULT_PAGE,
+    dates: Sequence[date] | None = None,
 ) -> DataFrame:
-    """Events of one device, newest first."""
+    """Events of one device, newest first; ``dates`` as for :func:`newest_dates`."""
     found = in_window(events.where(F.col("drone_id") == drone_id), start, end)
-    return _read_columns(newest(after_cursor(found, cursor), limit))
+    return _newest_page(after_cursor(found, cursor), limit, dates, start, end, cursor)
 
 
 def errors_in_window(
@@ -150,14 +167,33 @@ def errors_in_window(
     end: datetime | None = None,
     cursor: Cursor | None = None,
     limit: int = DEFAULT_PAGE,
+    dates: Sequence[date] | None = None,
 ) -> DataFrame:
-    """Error events in a time window, newest first."""
+    """Error events in a time window, newest first; ``dates`` as for :func:`newest_dates`."""
     found = in_window(events.where(F.col("severity") == "error"), start, end)
-    return _read_columns(newest(after_cursor(found, cursor), limit))
+    return _newest_page(after_cursor(found, cursor), limit, dates, start, end, cursor)
 
 
-def latest_quarantine(quarantine: DataFrame, limit: int = DEFAULT_PAGE) -> DataFrame:
-    """The rejected records seen last."""
+def _newest_page(
+    found: DataFrame,
+    limit: int,
+    dates: Sequence[date] | None,
+    start: datetime | None,
+    end: datetime | None,
+    cursor: Cursor | None,
+) -> DataFrame:
+    if dates is not None:
+        # Dates that the window or the cursor rules out need not be opened to be counted.
+        latest = min((_utc_date(t) for t in (end, cursor and cursor.event_time) if t), default=date.max)
+        earliest = _utc_date(start) if start else date.min
+        found = newest_dates(found, "event_date", [d for d in dates if earliest <= d <= latest], limit)
+    return _read_columns(newest(found, limit))
+
+
+def latest_quarantine(quarantine: DataFrame, limit: int = DEFAULT_PAGE, dates: Sequence[date] | None = None) -> DataFrame:
+    """The rejected records seen last; ``dates`` as for :func:`newest_dates`."""
+    if dates is not None:
+        quarantine = newest_dates(quarantine, "failed_date", dates, limit)
     return (
         quarantine.select("source", "raw_payload", "errors", "failed_at")
         .orderBy(F.desc("failed_at"), F.desc("source"), F.desc("raw_payload"))
@@ -181,6 +217,17 @@ def page(read, events: DataFrame, *args, limit: int = DEFAULT_PAGE, cursor: str
     return Page(plain, items[-1]["_cursor"] if more and items else None)
 
 
+def pages(read, events: DataFrame, *args, limit: int = DEFAULT_PAGE, **kwargs) -> Iterator[Page]:
+    """All pages of a read, one after the other."""
+    cursor = None
+    while True:
+        found = page(read, events, *args, limit=limit, cursor=cursor, **kwargs)
+        yield found
+        cursor = found.next_cursor
+        if cursor is None:
+            return
+
+
 def contains(telemetry: Column, wanted: dict[str, Any]) -> Column:
     """JSON containment: every member of ``wanted`` occurs in the VARIANT ``telemetry``.
 

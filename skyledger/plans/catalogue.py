@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,7 +25,9 @@ from skyledger.plans.feed import (
 from skyledger.plans.intake import ingest_files, ingest_messages, judge, one_delivery, run_intake
 from skyledger.session import configure, scratch_path, scratch_scope, written
 from skyledger.sources.csv_rows import csv_candidates
+from skyledger.sources.folders import Folders
 from skyledger.sources.json_docs import json_candidates, ndjson_candidates
+from skyledger.sources.json_parts import json_files
 from skyledger.sources.lines import sniffed_formats, text_lines
 from skyledger.sources.messages import classified, decoded_key, direct_candidates, notice_entries
 from skyledger.sources.payloads import as_batch
@@ -55,7 +58,7 @@ _STORES: dict[tuple[str, str], Tables] = {}
 def _store(spark: SparkSession, sf_dir: str) -> Tables:
     """The tables after an intake of all deliveries of the feed; made once for each application."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _STORES:
+    if key not in _STORES or not Folders(spark, _STORES[key].root).exists("ingest_outcomes"):
         tables = Tables(spark, scratch_path(spark, "feed-store"))
         candidates = feed_candidates(spark, sf_dir)
         deliveries = delivered_rows(feed(spark, sf_dir)).select(*accounting.DELIVERY).distinct().select(
@@ -313,6 +316,40 @@ def q_quarantine_latest(spark, sf_dir):
     return _shown(latest.select("source", "failed_at", F.size("errors").alias("n_errors")))
 
 
+def q_device_dates(spark, sf_dir):
+    """The device page read from the newest dates that fill it."""
+    tables = _store(spark, sf_dir)
+    found = reads.device_events(tables.events(), DEVICE, limit=20, dates=tables.event_dates())
+    return _shown(found).drop("source", "ingested_at")
+
+
+def q_device_walk(spark, sf_dir):
+    """All pages of one device, one after the other."""
+    tables = _store(spark, sf_dir)
+    dates, walked = tables.event_dates(), []
+    for number, page in enumerate(reads.pages(reads.device_events, tables.events(), DEVICE, limit=100, dates=dates)):
+        walked += [(number, at, item["event_id"]) for at, item in enumerate(page.items)]
+    return spark.createDataFrame(walked, "page int, place int, event_id string")
+
+
+def q_quarantine_stored(spark, sf_dir):
+    """The latest rejected rows as they are stored, with the text that was received."""
+    tables = _store(spark, sf_dir)
+    latest = reads.latest_quarantine(tables.quarantine(), 200, tables.quarantine_dates())
+    return latest.select("source", "raw_payload", F.size("errors").alias("n_errors"))
+
+
+def q_sample_errors(spark, sf_dir):
+    """The issues kept as a sample of deliveries in which nothing was valid; here each event is a delivery."""
+    configure(spark)
+    candidates = feed_candidates(spark, sf_dir)
+    alone = F.concat(F.lit("e"), F.col("ord.pos"))
+    rows = judge(candidates, NOW).withColumn("batch_id", alone)
+    smelly = accounting.batch_counters(rows).where("contract_smell").select(*accounting.DELIVERY)
+    found = accounting.sample_errors(rows).join(smelly, list(accounting.DELIVERY))
+    return found.select("batch_id", F.array_join(F.transform("sample_errors", lambda e: F.concat(e["path"], F.lit(":"), e["code"])), ",").alias("sample"))
+
+
 def q_containment(spark, sf_dir):
     found = reads.containing(_events(spark, sf_dir), {"k": 7})
     return found.select("event_id", F.to_json("telemetry").alias("telemetry"))
@@ -450,6 +487,20 @@ def q_json_rows(spark, sf_dir):
     )
 
 
+def q_json_pieces(spark, sf_dir):
+    """Arrays of thousands of records on one line each, read in pieces and cut into their items."""
+    rows = feed(spark, sf_dir).where("not broken").select(_chunk().alias("chunk"), "seq", record_text().alias("record"))
+    arrays = rows.groupBy("chunk").agg(
+        F.concat(F.lit("["), F.expr("listagg(record, ',') within group (order by seq)"), F.lit("]")).alias("text")
+    )
+    files = _write_text(arrays.withColumn("at", F.lit(0)), None, "json")
+    found = json_files(spark, files, split_above=1 << 10)
+    return found.select(
+        _chunk_of("file").alias("chunk"), "pos", F.try_variant_get("value", "$.droneId", "string").alias("drone_id"),
+        F.try_variant_get("value", "$.statusCode", "string").alias("status_text"), "root_kind",
+    )
+
+
 def q_formats(spark, sf_dir):
     """Format by content, of files whose names tell nothing."""
     shape = F.col("seq") % 4
@@ -540,6 +591,45 @@ def _named(spark, tables, files, name):
     return run_intake(tables, candidates, one_delivery(spark, name), name, NOW)
 
 
+def q_insert_supplied(spark, sf_dir):
+    """Ids found in the index of ids: the records of every second device are stored, then all of them are sent."""
+    tables = Tables(spark, scratch_path(spark, "store"))
+    candidates = written(feed_candidates(spark, sf_dir), "candidates")
+    device = F.try_variant_get("value", "$.droneId", "string")
+    even = F.substring(device, 7, 3).try_cast("int") % 2 == 0
+    for name, rows in (("half", candidates.where(even)), ("all", candidates)):
+        with scratch_scope(spark):
+            run_intake(tables, rows, one_delivery(spark, name), name, NOW)
+    return tables.events().groupBy("ingest_batch", "id_kind").agg(
+        F.count(F.lit(1)).alias("events"), F.countDistinct("event_id").alias("ids")
+    )
+
+
+class _Breaking(Tables):
+    """Tables whose batch breaks off between its events and its rejected rows."""
+
+    def write_quarantine(self, *_) -> None:
+        raise InterruptedError
+
+
+def q_batch_breaks(spark, sf_dir):
+    """A batch that breaks off after its events, and the same batch run again."""
+    root = scratch_path(spark, "store")
+    tables, states = Tables(spark, root), []
+    candidates = written(feed_candidates(spark, sf_dir), "candidates")
+    for name, target in (("broken", _Breaking(spark, root)), ("again", tables)):
+        try:
+            with scratch_scope(spark):
+                run_intake(target, candidates, one_delivery(spark, "b"), "b", NOW)
+        except InterruptedError:
+            pass
+        counts = tables.events().agg(F.count(F.lit(1)).alias("events")).join(
+            tables.quarantine().agg(F.count(F.lit(1)).alias("quarantined"))
+        )
+        states.append(written(counts.withColumn("state", F.lit(name)), "state"))
+    return states[0].unionByName(states[1])
+
+
 def q_stream_intake(spark, sf_dir):
     """The feed as a stream of messages, some sent twice, stored once."""
     tables = Tables(spark, scratch_path(spark, "store"))
@@ -613,6 +703,53 @@ def q_stream_retry(spark, sf_dir):
     return counts.join(dead).join(analysis.event_count(tables.events()).withColumnRenamed("n", "events"))
 
 
+def q_timed_retry(spark, sf_dir):
+    """Notices that each name three files; a file of every second notice comes late, one never, and no message follows."""
+    tables = Tables(spark, scratch_path(spark, "store"))
+    folder, aside, drop = (scratch_path(spark, name) for name in ("early", "late", "notice-drop"))
+    rows = feed(spark, sf_dir).select((F.col("seq") % 12).alias("chunk"), F.col("seq").alias("at"), record_text().alias("text"))
+    made = Folders(spark, _write_text(rows, None, "feed"))
+    parts = made.glob("chunk=*/part-*")
+    names = {part.split("/")[0].removeprefix("chunk="): part for part in parts}
+    early, late = Folders(spark, folder), Folders(spark, aside)
+    groups = [sorted(names, key=int)[i : i + 3] for i in range(0, len(names), 3)]
+    delayed = [group[-1] for group in groups[1::2]]
+    for key, part in names.items():
+        made.copy(part, (late if key in delayed else early).root + f"/{key}.ndjson")
+
+    def notice(keys: list[str]) -> str:
+        named = ",".join(f'{{"s3":{{"bucket":{{"name":"drop"}},"object":{{"key":"{key}.ndjson"}}}}}}' for key in keys)
+        return f'{{"Records":[{named}]}}'
+
+    schema = "message_id string, body string"
+    sent = [(f"n{i}", notice(group)) for i, group in enumerate(groups)] + [("never", notice(["never"]))]
+    spark.createDataFrame(sent, schema).write.parquet(drop)
+    stream = spark.readStream.schema(schema).parquet(drop)
+    writer = message_stream(
+        stream, tables, "timed", scratch_path(spark, "stream"), template=f"{folder}/{{key}}", clock=lambda: NOW, retry_after=dt.timedelta(seconds=1)
+    )
+    query = writer.trigger(processingTime="500 milliseconds").start()
+    try:
+        moved = False
+        while query.isActive:
+            failures = {r.batch_id: r.n for r in tables.outcomes().where("status = 'failed'").groupBy("batch_id").agg(F.count(F.lit(1)).alias("n")).collect()}
+            if failures and not moved:
+                for key in delayed:
+                    late.copy(f"{key}.ndjson", f"{folder}/{key}.ndjson")
+                moved = True
+            if failures.get("never") == accounting.MAX_ATTEMPTS:
+                break
+            time.sleep(0.3)
+        if query.exception():
+            raise query.exception()
+    finally:
+        query.stop()
+    outcomes = tables.outcomes()
+    done = outcomes.where("status = 'processed'").agg(F.count(F.lit(1)).alias("notices"), F.sum("received").alias("received"), F.sum("inserted").alias("inserted"))
+    dead = accounting.dead_letters(outcomes).agg(F.count(F.lit(1)).alias("dead"))
+    return done.join(dead).join(analysis.event_count(tables.events()).withColumnRenamed("n", "events"))
+
+
 def q_redelivered_outcomes(spark, sf_dir):
     """Every record a message; every third message is delivered twice at once."""
     tables = Tables(spark, scratch_path(spark, "store"))

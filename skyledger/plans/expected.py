@@ -104,6 +104,16 @@ _DEAD = (
     _ATTEMPTS + ", dead as (select batch_id, count(*) filter (failed) as failures, max(ts) as last_attempt "
     "from attempts group by batch_id having count(*) filter (failed) >= 3 and bool_and(failed))"
 )
+#: The text of a record as received.
+_TELEMETRY_TEXT = (
+    "'{\"batteryPct\":' || cast(battery_pct as varchar) || ',\"lat\":' || lat || ',\"lon\":\"' || lon || "
+    "'\",\"motor\":{\"é\":\"x\",\"rpm\":[' || rpm || ',true,null]},' || substring(props, 2)"
+)
+_PAYLOAD = (
+    "'{' || coalesce('\"eventId\":\"' || supplied_id || '\",', '') || '\"droneId\":\"' || drone_id || '\",\"timestamp\":\"' || timestamp_text "
+    "|| '\",\"eventType\":\"' || event_type_raw || '\",\"statusCode\":\"' || status_text || '\",\"telemetryData\":' "
+    f"|| case when embedded then '\"' || replace({_TELEMETRY_TEXT}, '\"', '\\\"') || '\"' else {_TELEMETRY_TEXT} end || '}}'"
+)
 _BODIES = _FEED + ", bodies as (select *, 'm' || seq as message_id, seq % 8 as shape from feed)"
 
 
@@ -246,6 +256,28 @@ def oracle_sql() -> dict[str, str]:
             select 'load-1' as batch_id, received, valid, valid as inserted, 0 as duplicates,
               again as duplicates_in_batch, quarantined from c
             union all select 'load-2', received, valid, 0, valid, again, quarantined from c""",
+        "q_device_dates": f"""with {_WINNERS} select {_EVENT_COLUMNS} from winners where drone_id = 'DRONE-042'
+            order by winners.event_time desc, event_id desc limit 20""",
+        "q_device_walk": f"""with {_WINNERS}, w as (select event_id, cast(row_number() over (order by event_time desc, event_id desc) - 1
+              as integer) as n from winners where drone_id = 'DRONE-042')
+            select n // 100 as page, n % 100 as place, event_id from w""",
+        "q_quarantine_stored": f"""with {_J}, i as ({_ISSUES.removeprefix(_J).removeprefix(', issues as (').rstrip()[:-1]}),
+            n as (select batch_id, pos, count(*) as n_errors from i group by batch_id, pos), p as (select *, {_PAYLOAD} as whole from judged where not valid)
+            select source, case when broken then left(whole, 20) else whole end as raw_payload, cast(n_errors as integer) as n_errors
+            from p join n using (batch_id, pos) order by source desc, raw_payload desc limit 200""",
+        "q_sample_errors": f"""with {_ISSUES}, o as (select pos, path || ':' || code as line,
+              case path when 'droneId' then 1 when 'timestamp' then 2 when 'eventType' then 3 when 'statusCode' then 4
+                when 'telemetryData.batteryPct' then 5 when 'telemetryData.lat' then 6 when 'telemetryData.lon' then 7 else 0 end as place from issues)
+            select 'e' || pos as batch_id, string_agg(line, ',' order by place) as sample from o group by pos""",
+        "q_json_pieces": f"""with {_FEED}, r as (select *, cast(floor(seq / 4096) as bigint) as chunk from feed where not broken)
+            select chunk, row_number() over (partition by chunk order by seq) - 1 as pos, drone_id, status_text, 'object' as root_kind from r""",
+        "q_insert_supplied": f"""with {_WINNERS}, m as (select event_id, case when supplied_id is null then 'derived' else 'supplied' end as id_kind,
+              case when try_cast(substring(drone_id, 7, 3) as integer) % 2 = 0 then 'half' else 'all' end as ingest_batch from winners)
+            select ingest_batch, id_kind, count(*) as events, count(distinct event_id) as ids from m group by ingest_batch, id_kind""",
+        "q_batch_breaks": f"""with {_J}, c as (select count(distinct event_id) as events, count(*) filter (not valid) as quarantined from judged)
+            select 'broken' as state, events, 0 as quarantined from c union all select 'again', events, quarantined from c""",
+        "q_timed_retry": f"""with {_judged(resent=False)} select cast(ceil(count(distinct seq % 12) / 3) as bigint) as notices, count(*) as received,
+            count(distinct event_id) as inserted, 1 as dead, count(distinct event_id) as events from judged""",
         "q_stream_intake": f"""with {_WINNERS} select severity, count(*) as events, count(distinct event_id) as ids,
             cast(sum(coalesce(status_code, 0)) as bigint) as status_sum from winners group by severity""",
     }

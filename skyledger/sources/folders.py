@@ -41,6 +41,13 @@ class Folders:
         if not self._files.rename(self._at(source), self._at(target)):
             raise OSError(f"{self.root}/{source} cannot be moved to {target}")
 
+    def copy(self, source: str, target: str) -> None:
+        """Copy a file to the path ``target``, which appears when it is whole."""
+        part = self._path(f"{target}.part")
+        conf = self._files.getConf()
+        self._jvm.org.apache.hadoop.fs.FileUtil.copy(self._files, self._at(source), self._files, part, False, conf)
+        self._files.rename(part, self._path(target))
+
     def write_lines(self, path: str, lines: list[str]) -> None:
         """Write a small file; it appears under its name only when it is whole."""
         part = self._at(f"{path}.part")

@@ -38,14 +38,14 @@ _SPACE = f"[{WHITE_SPACE_CLASS}]*"
 _PLACE = ("block", "at")
 
 
-def _scan(spark: SparkSession, paths: str | Sequence[str], only_format: str | None, scan: dict[str, str] | None) -> DataFrame:
+def _scan(spark: SparkSession, paths: str | Sequence[str], only_format: str | None, scan: dict[str, str] | None, above: int) -> DataFrame:
     """The pieces of large files as ``(file, block, at, text)``; smaller files are not opened."""
     df = (
         spark.read.option("lineSep", "}")
         .option("recursiveFileLookup", "true")
         .options(**(scan or {}))
         .text(paths if isinstance(paths, str) else list(paths))
-        .where(F.col("_metadata.file_size") > SPLIT_ABOVE)
+        .where(F.col("_metadata.file_size") > above)
     )
     if only_format is not None:
         df = df.where(F.coalesce(format_of_name(F.col("_metadata.file_name")), F.lit("unknown")) == only_format)
@@ -175,14 +175,19 @@ def json_files(
     only_format: str | None = None,
     scan: dict[str, str] | None = None,
     files: DataFrame | None = None,
+    split_above: int | None = None,
 ) -> DataFrame:
-    """Candidates of JSON files of any size, of the ``files`` ``(file)`` only if given."""
+    """Candidates of JSON files of any size, of the ``files`` ``(file)`` only if given.
+
+    Files of more than ``split_above`` bytes are read in pieces.
+    """
+    above = SPLIT_ABOVE if split_above is None else split_above
 
     def wanted(df: DataFrame) -> DataFrame:
         return df if files is None else df.join(files, "file", "left_semi")
 
-    small = json_candidates(wanted(documents(spark, paths, only_format, scan, max_bytes=SPLIT_ABOVE)))
-    large = _scan(spark, paths, only_format, scan)
+    small = json_candidates(wanted(documents(spark, paths, only_format, scan, max_bytes=above)))
+    large = _scan(spark, paths, only_format, scan, above)
     if large.limit(1).isEmpty():
         return small
     pieces = written(wanted(large).withColumn("stretch", F.shiftright("at", STRETCH_BITS)), "json-pieces")
@@ -193,7 +198,7 @@ def json_files(
     result = small.unionByName(arrays).unionByName(_rejected(whole.where(F.col("file_size") > MAX_VALUE_BYTES).select("file", F.col("text").alias("raw_text")), TOO_LARGE))
     # One value that is no array cannot be cut; it is read whole if it fits.
     others = [literal for (literal,) in whole.where(F.col("file_size") <= MAX_VALUE_BYTES).select("file").collect()]
-    return result if not others else result.unionByName(json_candidates(documents(spark, paths, only_format, scan, min_bytes=SPLIT_ABOVE).where(F.col("file").isin(others))))
+    return result if not others else result.unionByName(json_candidates(documents(spark, paths, only_format, scan, min_bytes=above).where(F.col("file").isin(others))))
 
 
 def read_json(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:

@@ -95,6 +95,16 @@ class Tables:
     def quarantine(self) -> DataFrame:
         return self._read("telemetry_quarantine", QUARANTINE_SCHEMA)
 
+    def event_dates(self) -> list[date]:
+        """The dates of stored events, from the names of the partitions."""
+        return self._dates("telemetry_events/id_kind=*/event_date=*")
+
+    def quarantine_dates(self) -> list[date]:
+        return self._dates("telemetry_quarantine/failed_date=*")
+
+    def _dates(self, pattern: str) -> list[date]:
+        return sorted({date.fromisoformat(p.rsplit("=", 1)[1]) for p in self._folders().glob(pattern)})
+
     def outcomes(self) -> DataFrame:
         return self._read("ingest_outcomes", OUTCOME_SCHEMA)
 
