@@ -32,6 +32,7 @@ from skyledger.sources.lines import sniffed_formats, text_lines
 from skyledger.sources.messages import classified, decoded_key, direct_candidates, notice_entries
 from skyledger.sources.payloads import as_batch
 from skyledger.sources.tables import Tables
+from skyledger.streaming.alarm_stream import alarm_stream
 from skyledger.streaming.intake_stream import file_stream, message_stream
 
 #: The clock of every registered query, so results do not depend on the day.
@@ -281,6 +282,18 @@ def q_alarm_windows(spark, sf_dir):
     return _shown(accounting.failure_alarms(_attempts(spark, sf_dir), "1 hour", 5, 2))
 
 
+def q_alarm_stream(spark, sf_dir):
+    """Alarms of a stream of outcomes that comes in parts: one for each run of bad hours."""
+    configure(spark)
+    tables, drop = Tables(spark, scratch_path(spark, "store")), scratch_path(spark, "outcome-drop")
+    rows = _attempts(spark, sf_dir).select("status", "finished_at")
+    rows.repartitionByRange(3, "finished_at").write.parquet(drop)
+    stream = spark.readStream.schema("status string, finished_at timestamp").option("maxFilesPerTrigger", "1").parquet(drop)
+    writer = alarm_stream(stream, tables, "alarms", scratch_path(spark, "stream"), window="1 hour", late="3650 days")
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return _shown(tables.alarms().select("run_start", "window_start"))
+
+
 def q_dead_letter_alarm(spark, sf_dir):
     dead = accounting.dead_letters(_attempts(spark, sf_dir), 3)
     return _shown(accounting.dead_letter_alarm(dead, "1 hour"))

@@ -256,6 +256,11 @@ def oracle_sql() -> dict[str, str]:
             select 'load-1' as batch_id, received, valid, valid as inserted, 0 as duplicates,
               again as duplicates_in_batch, quarantined from c
             union all select 'load-2', received, valid, 0, valid, again, quarantined from c""",
+        "q_alarm_stream": f"""with {_ATTEMPTS}, w as (select time_bucket(interval '1 hour', ts) as t from attempts group by 1
+              having count(*) filter (failed) > 5),
+            r as (select t, t - row_number() over (order by t) * interval '1 hour' as run from w),
+            g as (select min(t) as t from r group by run having count(*) >= 2)
+            select {_ISO.format('t')} as run_start, {_ISO.format("t + interval '1 hour'")} as window_start from g""",
         "q_device_dates": f"""with {_WINNERS} select {_EVENT_COLUMNS} from winners where drone_id = 'DRONE-042'
             order by winners.event_time desc, event_id desc limit 20""",
         "q_device_walk": f"""with {_WINNERS}, w as (select event_id, cast(row_number() over (order by event_time desc, event_id desc) - 1

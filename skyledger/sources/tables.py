@@ -39,6 +39,8 @@ OUTCOME_SCHEMA = f"""
 """
 
 
+WINDOW_SCHEMA = "window_start timestamp, failures bigint, stream string, window_date date, version bigint"
+ALARM_SCHEMA = "window_start timestamp, run_start timestamp, stream string, version bigint"
 #: Folders of work in progress: batches whose ids are not in the index yet, and staged compactions.
 _UNINDEXED, _COMPACTION = "_unindexed", "_compaction"
 
@@ -120,6 +122,21 @@ class Tables:
     def write_retries(self, rows: DataFrame, ingest_batch: str) -> None:
         self._write(rows.withColumn("ingest_batch", F.lit(ingest_batch)), "message_retries", "ingest_batch")
 
+    def failure_windows(self) -> DataFrame:
+        """Counts of failures per window, one row for each micro-batch that changed one."""
+        return self._read("failure_windows", WINDOW_SCHEMA)
+
+    def write_failure_windows(self, rows: DataFrame, stream: str, version: int) -> None:
+        rows = rows.select("window_start", "failures", F.lit(stream).alias("stream"), "window_date", F.lit(version).cast("long").alias("version"))
+        self._write(rows, "failure_windows", "stream", "window_date", "version")
+
+    def alarms(self) -> DataFrame:
+        return self._read("failure_alarms", ALARM_SCHEMA)
+
+    def write_alarms(self, rows: DataFrame, stream: str, version: int) -> None:
+        rows = rows.select("window_start", "run_start", F.lit(stream).alias("stream"), F.lit(version).cast("long").alias("version"))
+        self._write(rows, "failure_alarms", "stream", "version")
+
     def _write(self, df: DataFrame, name: str, *partitions: str) -> None:
         (
             df.write.mode("overwrite")

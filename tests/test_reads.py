@@ -393,3 +393,52 @@ def test_a_failed_message_is_tried_again_after_a_time(spark, tmp_path, now):
     assert found["late.ndjson"][0] in (2, 3) and found["late.ndjson"][1] == 1
     assert [r.batch_id for r in dead_letters(store.outcomes()).collect()] == ["never.ndjson"]
     assert store.events().count() == 2
+
+
+def test_pages_open_the_newest_dates_only(spark, tmp_path):
+    store = Tables(spark, str(tmp_path / "store"))
+    put(store, "b", rows=120, days=40)
+    dates = store.event_dates()
+    assert len(dates) == 40 and dates == sorted(dates)
+    page = reads.device_events(store.events(), "D", limit=5, dates=dates)
+    assert [r.event_id for r in page.collect()] == [r.event_id for r in reads.device_events(store.events(), "D", limit=5).collect()]
+    opened = store.events().join(page.select("event_id"), "event_id", "left_semi").select("event_date").distinct().count()
+    filters = page._jdf.queryExecution().executedPlan().toString().split("PartitionFilters:")[1].split("PushedFilters")[0]
+    assert opened == 2 and ">= 2026-10-08" in filters  # one date, then two more
+    nobody = reads.device_events(store.events(), "other", limit=5, dates=dates)
+    assert nobody.count() == 0
+    older = reads.device_events(store.events(), "D", limit=5, dates=dates, cursor=reads.Cursor(START + dt.timedelta(days=10), "a"))
+    assert [r.event_id for r in older.collect()] == [r.event_id for r in reads.device_events(store.events(), "D", limit=5, cursor=reads.Cursor(START + dt.timedelta(days=10), "a")).collect()]
+
+
+def test_alarms_of_a_stream_over_restarts_and_late_outcomes(spark, tmp_path):
+    from skyledger.operators.accounting import failure_windows
+    from skyledger.streaming.alarm_stream import alarm_stream, stored_windows
+
+    store, drop = Tables(spark, str(tmp_path / "store")), str(tmp_path / "drop")
+    minute = lambda m: START + dt.timedelta(minutes=m)
+    fail = lambda m, n: [("failed", minute(m)) for _ in range(n)]
+    schema = "status string, finished_at timestamp"
+    sent = [
+        fail(0, 6) + fail(6, 3) + [("processed", minute(7))],  # one bad window
+        fail(8, 4),  # a late outcome makes the second one bad: a run, one alarm
+        fail(11, 9) + fail(31, 6) + fail(41, 6),  # the run grows; two lone bad windows
+        fail(36, 7),  # late: joins the lone windows to a run of three
+        fail(16, 2) + fail(26, 6),  # more windows of that run, before it
+    ]
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    alarms = []
+    try:
+        for rows in sent:
+            spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(drop)
+            stream = spark.readStream.schema(schema).parquet(drop)
+            writer = alarm_stream(stream, store, "a", str(tmp_path / "check"), late="2 hours")
+            writer.trigger(availableNow=True).start().awaitTermination()
+            alarms.append(sorted(int((r.window_start.replace(tzinfo=dt.timezone.utc) - START).total_seconds() // 60) for r in store.alarms().collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    assert alarms == [[], [5], [5], [5, 35], [5, 35]]
+    everything = spark.read.schema(schema).parquet(drop)
+    key = lambda df: sorted((r.window_start, r.failures) for r in df.collect())
+    assert key(stored_windows(store, "a")) == key(failure_windows(everything))
