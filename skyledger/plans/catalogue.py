@@ -22,7 +22,7 @@ from skyledger.plans.feed import (
     feed_candidates,
     record_text,
 )
-from skyledger.plans.intake import ingest_files, ingest_messages, judge, one_delivery, run_intake
+from skyledger.plans.intake import ingest_files, ingest_messages, judge, one_delivery, replay, run_intake
 from skyledger.session import configure, scratch_path, scratch_scope, written
 from skyledger.sources.csv_rows import csv_candidates
 from skyledger.sources.folders import Folders
@@ -643,6 +643,31 @@ def q_batch_breaks(spark, sf_dir):
     return states[0].unionByName(states[1])
 
 
+class _Stopping(Tables):
+    """Tables of a replay that stops after its first batch."""
+
+    def write_ledger(self, files, ingest_batch) -> None:
+        super().write_ledger(files, ingest_batch)
+        raise InterruptedError
+
+
+def q_replay_resumes(spark, sf_dir):
+    """A replay that stops after one batch of files, and its second call, which reads only the rest."""
+    root = scratch_path(spark, "store")
+    tables, files, states = Tables(spark, root), _feed_files(spark, sf_dir), []
+    sizes = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(files).agg(F.sum("length")).collect()[0][0]
+    for name, target in (("stopped", _Stopping(spark, root)), ("resumed", tables), ("done", tables)):
+        try:
+            replay(spark, target, files, "r", now=NOW, batch_bytes=max(1, -(-sizes // 2)))
+        except InterruptedError:
+            pass
+        read = tables.outcomes().agg(F.sum("received").alias("received"), F.sum("inserted").alias("inserted"), F.sum("quarantined").alias("quarantined"))
+        states.append(written(read.withColumn("state", F.lit(name)), "state"))
+    whole = states[1].unionByName(states[2])
+    some = states[0].select("state", ((F.col("received") > 0)).alias("any"))
+    return whole.join(some.select("any")).select("state", "received", "inserted", "quarantined", "any")
+
+
 def q_stream_intake(spark, sf_dir):
     """The feed as a stream of messages, some sent twice, stored once."""
     tables = Tables(spark, scratch_path(spark, "store"))

@@ -281,6 +281,9 @@ def oracle_sql() -> dict[str, str]:
             select ingest_batch, id_kind, count(*) as events, count(distinct event_id) as ids from m group by ingest_batch, id_kind""",
         "q_batch_breaks": f"""with {_J}, c as (select count(distinct event_id) as events, count(*) filter (not valid) as quarantined from judged)
             select 'broken' as state, events, 0 as quarantined from c union all select 'again', events, quarantined from c""",
+        "q_replay_resumes": f"""with {_judged(resent=False)}, c as (select count(*) as received, count(distinct event_id) as inserted,
+              count(*) filter (not valid) as quarantined from judged)
+            select state, received, inserted, quarantined, true as "any" from c, (values ('resumed'), ('done')) as s(state)""",
         "q_timed_retry": f"""with {_judged(resent=False)} select cast(ceil(count(distinct seq % 12) / 3) as bigint) as notices, count(*) as received,
             count(distinct event_id) as inserted, 1 as dead, count(distinct event_id) as events from judged""",
         "q_stream_intake": f"""with {_WINNERS} select severity, count(*) as events, count(distinct event_id) as ids,

@@ -47,8 +47,10 @@ def events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # A small table comes in one split, and what is derived from it is many times its size.
-    return spark.sql(FEED, events=events_table(spark, sf_dir).repartition("event_id"))
+    # A small table comes in one split, and what is derived from it is many times its size. With a number, adaptive
+    # execution leaves the tasks as they are.
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return spark.sql(FEED, events=events_table(spark, sf_dir).repartition(tasks, "event_id"))
 
 
 def record_text() -> Column:

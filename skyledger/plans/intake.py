@@ -17,6 +17,7 @@ from skyledger.operators.dedupe import winners, winning_rows
 from skyledger.operators.transform import judged
 from skyledger.operators.validate import validated
 from skyledger.session import configure, scratch_scope, written
+from skyledger.sources.lines import literal_path
 from skyledger.sources.messages import resolved
 from skyledger.sources.payloads import as_batch, read_payloads
 from skyledger.sources.tables import Tables
@@ -117,6 +118,44 @@ def ingest_files(
         return run_intake(tables, as_batch(files, batch_id), one_delivery(spark, batch_id), batch_id, now, cut)
 
 
+#: Bytes of files that a replay stores as one batch, about.
+REPLAY_BYTES = 64 << 30
+
+
+def replay(
+    spark: SparkSession,
+    tables: Tables,
+    paths: str | Sequence[str],
+    name: str,
+    *,
+    now: datetime | None = None,
+    scan: dict[str, str] | None = None,
+    batch_bytes: int = REPLAY_BYTES,
+) -> DataFrame:
+    """Store an archive in batches of files, and go on where an earlier call of this ``name`` stopped.
+
+    A ledger holds every file, with its length and time, once its batch is stored. Files in it are not opened
+    again; one that was changed since is. Which batch a file belongs to follows from its path and the size of the
+    whole archive, so a batch that broke off is run again as it was and replaces itself. Returns the outcomes of the replay.
+    """
+    configure(spark)
+    with scratch_scope(spark):
+        found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").options(**(scan or {}))
+        # Names and sizes only: the content is a column of its own, which is not read.
+        files = found.load(paths if isinstance(paths, str) else list(paths)).select("path", "length", F.col("modificationTime").alias("modified"))
+        files = written(files, "archive")
+        total = files.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("n")).collect()[0]["n"]
+        batches = max(1, -(-total // batch_bytes))
+        todo = files.join(tables.ledger(), ["path", "length", "modified"], "left_anti")
+        todo = written(todo.withColumn("number", F.pmod(F.xxhash64("path"), F.lit(batches))), "archive-left")
+        for number in sorted(r["number"] for r in todo.select("number").distinct().collect()):
+            own = todo.where(F.col("number") == number)
+            batch = f"{name}-{batches}-{number}"
+            ingest_files(spark, tables, [literal_path(r["path"]) for r in own.select("path").collect()], batch_id=batch, now=now)
+            tables.write_ledger(own, batch)
+    return tables.outcomes().where(F.col("ingest_batch").startswith(f"{name}-"))
+
+
 def ingest_messages(
     spark: SparkSession,
     tables: Tables,

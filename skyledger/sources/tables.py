@@ -39,6 +39,7 @@ OUTCOME_SCHEMA = f"""
 """
 
 
+LEDGER_SCHEMA = "path string, length bigint, modified timestamp, ingest_batch string"
 WINDOW_SCHEMA = "window_start timestamp, failures bigint, stream string, window_date date, version bigint"
 ALARM_SCHEMA = "window_start timestamp, run_start timestamp, stream string, version bigint"
 #: Folders of work in progress: batches whose ids are not in the index yet, and staged compactions.
@@ -122,6 +123,13 @@ class Tables:
     def write_retries(self, rows: DataFrame, ingest_batch: str) -> None:
         self._write(rows.withColumn("ingest_batch", F.lit(ingest_batch)), "message_retries", "ingest_batch")
 
+    def ledger(self) -> DataFrame:
+        """Files that a replay has stored whole."""
+        return self._read("file_ledger", LEDGER_SCHEMA)
+
+    def write_ledger(self, files: DataFrame, ingest_batch: str) -> None:
+        self._write(files.select("path", "length", "modified", F.lit(ingest_batch).alias("ingest_batch")), "file_ledger", "ingest_batch")
+
     def failure_windows(self) -> DataFrame:
         """Counts of failures per window, one row for each micro-batch that changed one."""
         return self._read("failure_windows", WINDOW_SCHEMA)

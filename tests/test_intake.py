@@ -275,3 +275,36 @@ def test_an_unreadable_file_fails_its_own_message(spark, tmp_path, now, monkeypa
         "folder.ndjson": ("failed", 0, "object cannot be read"), "long.json": ("processed", 40, ""),
         "good.ndjson": ("processed", 1, ""),
     }
+
+
+def test_a_replay_goes_on_where_it_stopped(spark, tmp_path, now, monkeypatch):
+    import skyledger.plans.intake as module
+
+    tables, folder = Tables(spark, str(tmp_path / "store")), tmp_path / "in"
+    folder.mkdir()
+    for i in range(6):
+        (folder / f"f{i}.ndjson").write_text(json.dumps({**RECORD, "droneId": f"D{i}"}) + "\n")
+    size = sum(p.stat().st_size for p in folder.iterdir())
+    read, real = [], module.ingest_files
+
+    def ingest(*args, **kwargs):
+        if len(read) == 1:
+            raise InterruptedError
+        read.append(set(args[2]))
+        return real(*args, **kwargs)
+
+    monkeypatch.setattr(module, "ingest_files", ingest)
+    with pytest.raises(InterruptedError):
+        module.replay(spark, tables, str(folder), "r", now=now, batch_bytes=size // 3)
+    first = read.pop()
+    assert 0 < len(first) < 6 and tables.events().count() == len(first) == tables.ledger().count()
+    monkeypatch.setattr(module, "ingest_files", lambda *a, **k: read.append(set(a[2])) or real(*a, **k))
+    out = module.replay(spark, tables, str(folder), "r", now=now, batch_bytes=size // 3)
+    assert not first & set().union(*read) and len(first | set().union(*read)) == 6
+    assert tables.events().count() == 6 and out.agg(F.sum("inserted")).collect()[0][0] == 6
+    read.clear()
+    module.replay(spark, tables, str(folder), "r", now=now, batch_bytes=size // 3)
+    assert read == []  # nothing is opened again
+    (folder / "f1.ndjson").write_text(json.dumps({**RECORD, "droneId": "new"}) + "\n" * 2)
+    module.replay(spark, tables, str(folder), "r", now=now, batch_bytes=size // 3)
+    assert [{p.rsplit("/", 1)[1] for p in x} for x in read] == [{"f1.ndjson"}] and tables.events().count() == 7
