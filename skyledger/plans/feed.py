@@ -19,10 +19,10 @@ select event_id as seq,
   case when event_id % 73 = 0 then concat('fw-', cast(event_id as varchar(20))) end as supplied_id,
   case when event_id % 53 = 0 then ''
        else concat('DRONE-', lpad(cast(user_id as varchar(20)), 3, '0')) end as drone_id,
-  case when event_id % 59 = 0 then 'not-a-timestamp'
+  case when event_id % 59 = 0 then 'half past nine'
        when event_id % 7 = 0 then cast(1704067200 + (event_id % 1000000) * 60 as varchar(20))
        else cast(ts as varchar(30)) end as timestamp_text,
-  case when event_id % 67 = 0 then ' ' when event_id % 61 = 0 then 'PARACHUTE_DEPLOYED'
+  case when event_id % 67 = 0 then ' ' when event_id % 61 = 0 then 'ROTOR_SWAPPED'
        when event_type = 'purchase' then 'delivery completed'
        when event_type = 'view' then 'route-adjusted' when event_type = 'click' then 'SENSOR_READING'
        when event_type = 'signup' then 'TAKEOFF' when event_id % 2 = 0 then 'MOTOR_FAULT'

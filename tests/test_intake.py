@@ -28,7 +28,7 @@ def mixed_csv():
         f"D8,{good.format(1).replace('78.5', '4000')}",
         f"D9,{good.format(1).replace('54.5', '999')}",
         "D10,2026-09-02T09:05:00Z,LANDING",
-        f"D11,{good.format(1).replace('2026', '2099')}",
+        f"D11,{good.format(1).replace('2026', '2041')}",
         rows[1],
     ]
     return "\n".join(rows) + "\n"
