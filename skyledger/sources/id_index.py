@@ -23,8 +23,6 @@ from pyspark.sql import functions as F
 
 from skyledger.sources.folders import Folders
 
-#: Buckets of a new index. Each is one task of a lookup, so a store of billions of ids wants more.
-BUCKETS = 64
 #: So many supplied ids are looked up by name; more are joined.
 NAMED_IDS = 500
 SUPPLIED = "supplied"
@@ -32,11 +30,13 @@ _PARTITION_SETTING = "spark.sql.hive.manageFilesourcePartitions"
 
 
 class IdIndex:
-    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS) -> None:
+    """A new index gets ``buckets``, or as many as the session shuffles with: each is one task of a lookup, and they stay."""
+
+    def __init__(self, spark: SparkSession, root: str, buckets: int | None = None) -> None:
         self.spark, self.files = spark, Folders(spark, root)
         found = self.files.glob("event_ids_b*")
         self.new = not found
-        self.buckets = int(found[0].rsplit("_b", 1)[1]) if found else buckets
+        self.buckets = int(found[0].rsplit("_b", 1)[1]) if found else buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.folder = f"{self.files.root}/event_ids_b{self.buckets}"
         self.name = f"skyledger_ids_{hashlib.sha256(self.folder.encode()).hexdigest()[:24]}"
 

@@ -78,10 +78,12 @@ class Tables:
 
     Every write goes to partitions named after ``ingest_batch`` and replaces them,
     so a batch that is run again replaces itself. There must be one writer at a time.
+    ``id_buckets`` is the number of buckets of a new store's index of ids.
     """
 
     spark: SparkSession
     root: str
+    id_buckets: int | None = None
 
     def _read(self, name: str, schema: str) -> DataFrame:
         path = f"{self.root.rstrip('/')}/{name}"
@@ -197,7 +199,7 @@ class Tables:
     # --- the index of ids ------------------------------------------------------
 
     def ids(self) -> IdIndex:
-        return IdIndex(self.spark, self.root)
+        return IdIndex(self.spark, self.root, self.id_buckets)
 
     def heal(self, ingest_batch: str | None = None) -> None:
         """Finish what broke off before: a compaction in place, batches whose events stand without their ids.

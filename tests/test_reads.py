@@ -302,7 +302,7 @@ def test_known_ids_come_from_the_index(spark, tmp_path):
 def test_known_ids_shuffle_no_stored_row(spark, tmp_path, monkeypatch):
     import skyledger.sources.id_index as module
 
-    store = Tables(spark, str(tmp_path / "store"))
+    store = Tables(spark, str(tmp_path / "store"), id_buckets=16)
     put(store, "b0", rows=400)
     incoming = spark.range(400).select(F.concat(F.lit("eb0-"), "id").alias("event_id"), F.when(F.col("id") % 2 == 0, "supplied").otherwise("derived").alias("id_kind"))
     monkeypatch.setattr(module, "NAMED_IDS", 10)
