@@ -11,7 +11,7 @@ empty. If it has more, it joins on its empty parts too, with others of that kind
 What agrees on a part is then filtered by a second, dense sketch (two bits or more for each token, folded to equal
 widths): a Hamming distance above the slack rules a pair out. What is left is verified on the sets themselves.
 
-Words are numbered by 64 bits of keyed BLAKE2b, so no rule of arithmetic leads from one word to another of the same number;
+Words are numbered by a keyed hash of 64 bits (SipHash, BLAKE2b for long ones), so no rule of arithmetic leads from one word to another of the same number;
 a run of words is numbered by mixing in one word after the other, and a set by BLAKE2b of its sorted tokens.
 
 Nodes are distinct sets, so copies are one node; each map batch sends a part of a node once. Near copies of one text
@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import lower_ascii, map_texts, mixed, pieces, small_batches, table, text_bytes
+from skyledger.llm.common import lower_ascii, map_texts, mixed, pieces, small_batches, table, text_bytes, words
 from skyledger.llm.components import components
 from skyledger.session import written
 
@@ -48,29 +48,56 @@ CLOSEST_GROUPS = 4
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], dtype=np.uint64)
 
 
-class _Words(dict):
-    """Numbers of words seen; when full it becomes the older generation, from which words that come again return."""
-
-    MOST = 1 << 18
-    KEY = b"words of a shingle"
-
-    def __init__(self) -> None:
-        super().__init__()
-        self.older: dict[bytes, int] = {}
-
-    def __missing__(self, word: bytes) -> int:
-        number = self.older.get(word)
-        if number is None:
-            number = int.from_bytes(hashlib.blake2b(word, digest_size=8, key=self.KEY).digest(), "little")
-        if len(word) <= 64:
-            if len(self) >= self.MOST:
-                self.older = dict(self)
-                self.clear()
-            self[word] = number
-        return number
-
-
-_words = _Words()
+#: Longer words are numbered one by one.
+LONG_WORD = 64
+_KEY = hashlib.blake2b(b"words of a shingle", digest_size=32).digest()
+_START = np.frombuffer(_KEY, dtype="<u8")
+#: Keeps the first 0 to 8 bytes of a little-endian number.
+_FIRST_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=np.uint64)
+
+
+def _rotated(x: np.ndarray, bits: int) -> np.ndarray:
+    return x << np.uint64(bits) | x >> np.uint64(64 - bits)
+
+
+def _rounds(v: list[np.ndarray], times: int) -> list[np.ndarray]:
+    """The add, rotate and XOR rounds of SipHash on many states at once."""
+    a, b, c, d = v
+    for _ in range(times):
+        a, c = a + b, c + d
+        b, d = _rotated(b, 13) ^ a, _rotated(d, 16) ^ c
+        a, c = _rotated(a, 32) + d, c + b
+        b, d = _rotated(b, 17) ^ c, _rotated(d, 21) ^ a
+        c = _rotated(c, 32)
+    return [a, b, c, d]
+
+
+def word_numbers(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A keyed 64-bit number for the bytes of each word: SipHash, eight bytes of all words at a time; BLAKE2b of long ones."""
+    size = end - start
+    padded = np.concatenate([data, np.zeros(8, dtype=np.uint8)])
+    eight = np.ndarray((len(data) + 1,), dtype="<u8", buffer=padded, strides=(1,))
+    state = [np.full(len(start), k, dtype=np.uint64) for k in _START]
+    rows, block = np.flatnonzero(size <= LONG_WORD), 0
+    while len(rows):
+        left = size[rows] - 8 * block
+        message = eight[start[rows] + 8 * block] & _FIRST_BYTES[np.minimum(left, 8)]
+        # The last block has the length in its free top byte, so it is one of less than eight bytes.
+        message |= np.where(left < 8, size[rows], 0).astype(np.uint64) << np.uint64(56)
+        v = [x[rows] for x in state]
+        v[3] = v[3] ^ message
+        v = _rounds(v, 1)
+        v[0] = v[0] ^ message
+        for x, new in zip(state, v, strict=True):
+            x[rows] = new
+        rows, block = rows[left >= 8], block + 1
+    state[2] ^= np.uint64(0xFF)
+    a, b, c, d = _rounds(state, 3)
+    numbers = a ^ b ^ c ^ d
+    for i in np.flatnonzero(size > LONG_WORD):
+        raw = data[start[i] : end[i]].tobytes()
+        numbers[i] = int.from_bytes(hashlib.blake2b(raw, digest_size=8, key=_KEY).digest(), "little")
+    return numbers
 
 
 def shingle_sets(column: pa.Array, n: int) -> list[np.ndarray]:
@@ -78,11 +105,9 @@ def shingle_sets(column: pa.Array, n: int) -> list[np.ndarray]:
     data, offsets = text_bytes(column)
     if not len(data):
         return [np.zeros(0, dtype=np.uint64)] * len(column)
-    low = lower_ascii(data).tobytes()
-    # Bytes are split at the six white characters of the word pattern.
-    texts = [low[a:b].split() for a, b in zip(offsets, offsets[1:], strict=False)]
-    before = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
-    word = np.fromiter((_words[w] for t in texts for w in t), dtype=np.uint64, count=before[-1])
+    low = lower_ascii(data)
+    start, end, before = words(data, offsets)
+    word = word_numbers(low, start, end)
     runs = max(0, len(word) - n + 1)
     total = np.zeros(runs, dtype=np.uint64)
     for i in range(n):

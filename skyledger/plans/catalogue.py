@@ -28,6 +28,7 @@ from skyledger.sources.csv_rows import csv_candidates
 from skyledger.sources.folders import Folders
 from skyledger.sources.json_docs import json_candidates, ndjson_candidates
 from skyledger.sources.json_parts import json_files
+from skyledger.sources.kept_sums import KeptSums
 from skyledger.sources.lines import sniffed_formats, text_lines
 from skyledger.sources.messages import classified, decoded_key, direct_candidates, notice_entries
 from skyledger.sources.payloads import as_batch
@@ -401,6 +402,31 @@ def q_quarantine_rate(spark, sf_dir):
     return _shown(rate.withColumn("rate", F.round("rate", 6)))
 
 
+def _sums(spark, sf_dir):
+    """Kept sums of the stored feed, brought up to date."""
+    configure(spark)
+    kept = KeptSums(_store(spark, sf_dir), "k")
+    kept.refresh()
+    return kept
+
+
+def q_kept_battery(spark, sf_dir):
+    """Battery against altitude from the kept sums."""
+    found = _sums(spark, sf_dir).battery_by_altitude()
+    rounded = {c: F.round(c, 6) for c in ("correlation", "slope", "avg_battery")}
+    few = {c: F.when(F.col("readings") > 2, F.col(c)) for c in ("correlation", "slope")}
+    return found.withColumns(rounded).withColumns(few)
+
+
+def q_kept_failing_fields(spark, sf_dir):
+    return _sums(spark, sf_dir).failing_fields()
+
+
+def q_kept_error_share(spark, sf_dir):
+    share = _sums(spark, sf_dir).error_share()
+    return share.select(F.col("day").cast("string").alias("day"), "events", "errors", F.round("share", 6).alias("share"))
+
+
 def q_error_share(spark, sf_dir):
     share = analysis.error_share(_events(spark, sf_dir))
     return share.select(

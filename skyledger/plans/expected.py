@@ -289,4 +289,8 @@ def oracle_sql() -> dict[str, str]:
         "q_stream_intake": f"""with {_WINNERS} select severity, count(*) as events, count(distinct event_id) as ids,
             cast(sum(coalesce(status_code, 0)) as bigint) as status_sum from winners group by severity""",
     }
+    # The same answers, from kept sums.
+    for name in ("failing_fields", "error_share"):
+        sql[f"q_kept_{name}"] = sql[f"q_{name}"]
+    sql["q_kept_battery"] = sql["q_battery_altitude"]
     return {name: " ".join(text.split("\n")) for name, text in sql.items()}

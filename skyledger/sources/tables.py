@@ -125,6 +125,20 @@ class Tables:
     def write_retries(self, rows: DataFrame, ingest_batch: str) -> None:
         self._write(rows.withColumn("ingest_batch", F.lit(ingest_batch)), "message_retries", "ingest_batch")
 
+    def sums(self, name: str, schema: str) -> DataFrame:
+        return self._read(name, schema)
+
+    def write_sums(self, rows: DataFrame, name: str, schema: str, partitions: tuple[str, ...]) -> None:
+        self._write(rows.select(*self.spark.createDataFrame([], schema).columns).hint("rebalance", *partitions), name, *partitions)
+
+    def _drop_sums(self, name: str, ingest_batch: str) -> None:
+        """Sums of a batch that is about to be written again."""
+        files = self._folders()
+        depth = {"event_sums": "id_kind=*/event_date=*/severity=*", "issue_sums": "failed_date=*"}[name]
+        for path in files.glob(f"{name}/{depth}/ingest_batch=*"):
+            if unquote(path.rsplit("ingest_batch=", 1)[1]) == ingest_batch:
+                files.delete(path)
+
     def ledger(self) -> DataFrame:
         """Files that a replay has stored whole."""
         return self._read("file_ledger", LEDGER_SCHEMA)
@@ -175,6 +189,7 @@ class Tables:
             .hint("rebalance", "id_kind", "event_date", "severity")
             .sortWithinPartitions("id_kind", "event_date", "severity", "drone_id", "event_time")
         )
+        self._drop_sums("event_sums", ingest_batch)
         self._write(laid_out, "telemetry_events", *EVENT_PARTITIONS)
 
     def write_quarantine(self, rows: DataFrame, ingest_batch: str, failed_at) -> None:
@@ -188,6 +203,7 @@ class Tables:
             F.to_date(failed_at).alias("failed_date"),
             F.lit(ingest_batch).alias("ingest_batch"),
         )
+        self._drop_sums("issue_sums", ingest_batch)
         self._write(shaped, "telemetry_quarantine", *QUARANTINE_PARTITIONS)
 
     def write_outcomes(self, rows: DataFrame, ingest_batch: str, finished_at) -> None:

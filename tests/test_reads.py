@@ -442,3 +442,28 @@ def test_alarms_of_a_stream_over_restarts_and_late_outcomes(spark, tmp_path):
     everything = spark.read.schema(schema).parquet(drop)
     key = lambda df: sorted((r.window_start, r.failures) for r in df.collect())
     assert key(stored_windows(store, "a")) == key(failure_windows(everything))
+
+
+def test_kept_sums_follow_batches_and_compactions(spark, tmp_path):
+    from skyledger.sources.kept_sums import KeptSums
+
+    store = Tables(spark, str(tmp_path / "store"))
+    kept = KeptSums(store)
+    rows = lambda df: sorted(map(tuple, df.collect()))
+
+    def same():
+        assert kept.event_count().collect() == analysis.event_count(store.events()).collect()
+        assert rows(kept.error_share()) == rows(analysis.error_share(store.events()))
+
+    put(store, "b0")
+    put(store, "b1", rows=9)
+    assert kept.refresh() == 6
+    same()
+    assert kept.refresh() == 0
+    put(store, "b1", rows=12)  # the batch is written again
+    assert kept.refresh() == 3
+    same()
+    store.compact(dt.date(2026, 9, 3))
+    assert kept.refresh() == 2
+    same()
+    assert kept.event_count().collect()[0].n == 18
