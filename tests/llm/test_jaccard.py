@@ -155,3 +155,46 @@ def test_words_of_equal_polynomials_are_different(spark):
     rows = [(1, f"{one} b c d"), (2, f"{other} b c d"), (3, one), (4, other), (5, f"{one} b c d")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert {r.doc_id: r.component_id for r in jaccard_components(docs).collect()} == {1: 1, 2: 2, 3: 3, 4: 4, 5: 1}
+
+
+def test_word_numbers_are_siphash():
+    """Against the rounds written out on Python numbers, for words of every length."""
+    from skyledger.llm.jaccard import _START, LONG_WORD, word_numbers
+
+    mask, key = 2**64 - 1, [int(k) for k in _START]
+    turn = lambda x, b: (x << b | x >> 64 - b) & mask
+
+    def rounds(a, b, c, d):
+        a = a + b & mask
+        b = turn(b, 13) ^ a
+        a = turn(a, 32)
+        c = c + d & mask
+        d = turn(d, 16) ^ c
+        a = a + d & mask
+        d = turn(d, 21) ^ a
+        c = c + b & mask
+        b = turn(b, 17) ^ c
+        return a, b, turn(c, 32), d
+
+    def plain(word):
+        a, b, c, d = key
+        tail = word + bytes(7 - len(word) % 8) + bytes([len(word)])
+        for i in range(0, len(tail), 8):
+            m = int.from_bytes(tail[i : i + 8], "little")
+            d ^= m
+            a, b, c, d = rounds(a, b, c, d)
+            a ^= m
+        c ^= 0xFF
+        for _ in range(3):
+            a, b, c, d = rounds(a, b, c, d)
+        return a ^ b ^ c ^ d
+
+    rng = random.Random(1)
+    words = [bytes(rng.randrange(33, 256) for _ in range(n)) for n in [*range(1, LONG_WORD + 1), *range(1, 30)]]
+    data = np.frombuffer(b" ".join(words), dtype=np.uint8)
+    end = np.cumsum([len(w) + 1 for w in words]) - 1
+    start = end - np.array([len(w) for w in words])
+    assert word_numbers(data, start, end).tolist() == [plain(w) for w in words]
+    long = np.frombuffer(b"a" * 100 + b"b" * 65 + b"a" * 100, dtype=np.uint8)
+    one, other, again = word_numbers(long, np.array([0, 100, 165]), np.array([100, 165, 265]))
+    assert one == again != other
