@@ -2,7 +2,8 @@ import random
 import zlib
 from collections import Counter, defaultdict
 
-from skyledger.llm.sharding import TICKETS, op4_sharding, pack, shard_documents
+from skyledger.llm import sharding
+from skyledger.llm.sharding import TICKETS, cut, op4_sharding, propagate, shard_documents
 
 
 def check(rows, texts, shards):
@@ -90,21 +91,60 @@ def test_only_what_fits_no_shard_comes_apart(spark):
     assert 155 in apart and len(apart) < 1 + 6
 
 
-def test_pack_fills_the_room_and_no_more():
+def label_rows(spark, texts):
+    """A label table from lists of rows held by shard."""
+    rows = [(b"%06d" % i, sum(held), [(k, s) for s, k in enumerate(held) if k]) for i, held in enumerate(texts)]
+    return spark.createDataFrame(rows, "text_key binary, n long, held array<struct<k: long, shard: int>>")
+
+
+def test_texts_gather_where_most_of_their_rows_are(spark):
+    labels = label_rows(spark, [(3, 1, 0), (0, 2, 5), (1, 4, 1)])
+    settled, left, room = propagate(labels, [20, 20, 20], "test")
+    assert left.count() == 0 and len(settled) == 1 and room == [16, 14, 13]
+    assert {r.text_key[-1:]: r.shard for r in settled[0].collect()} == {b"0": 0, b"1": 2, b"2": 1}
+
+
+def test_full_shards_send_wishes_on(spark):
+    """All texts wish for shard 0, which has room for the largest only; the others vote again until all have gathered."""
+    labels = label_rows(spark, [(6, 0, 0)] + [(3, 1, 0)] * 4 + [(2, 0, 0)] * 2)
+    settled, left, room = propagate(labels, [10, 8, 8], "test")
+    assert left.count() == 0 and room == [0, 0, 0] and len(settled) > 1
+    assert settled[0].where("n = 6 and shard = 0").count() == 1
+
+
+def test_rounds_fill_the_room_and_no_more(spark):
     rng = random.Random(1)
-    for _ in range(200):
-        quotas = [rng.randint(3, 40)] * rng.randint(1, 7)
-        sizes, left = [], sum(quotas)
-        for label in range(len(quotas)):
-            for n in sorted(rng.sample(range(2, 60), 3)):
-                if groups := min(rng.randint(0, 4), left // n):
-                    sizes.append((label, n, groups))
-                    left -= groups * n
-        plan, load, apart = pack(sizes, quotas), Counter(), 0
-        assert sorted((label, n, r) for label, n, a, b, _ in plan for r in range(a, b)) == sorted((label, n, r) for label, n, g in sizes for r in range(g))
-        for _, n, first, last, pieces in plan:
-            assert pieces[-1][0] == TICKETS
-            if len(pieces) == 1:
-                load[pieces[0][1]] += n * (last - first)
-            apart += len(pieces) > 1 and n <= quotas[0]
-        assert all(load[s] <= q for s, q in enumerate(quotas)) and apart < max(2, len(quotas))
+    for shards in (1, 3, 7):
+        quota = [rng.randint(30, 40)] * shards
+        texts, left = [], sum(quota)
+        while (n := rng.randint(2, quota[0])) <= left:
+            held = Counter(rng.randrange(shards) for _ in range(n))
+            texts.append([held[s] for s in range(shards)])
+            left -= n
+        parts, rest, room = propagate(label_rows(spark, texts), quota, "test")
+        placed = [r for part in parts for r in part.collect()]
+        load = Counter()
+        for r in placed:
+            load[r.shard] += r.n
+        rest = rest.collect()
+        assert room == [q - load[s] for s, q in enumerate(quota)] and min(room) >= 0
+        assert sorted(r.n for r in placed + rest) == sorted(map(sum, texts))
+        assert len(rest) < shards and all(r.n > max(room) for r in rest)
+
+
+def test_pieces_hold_all_rows_of_a_text():
+    room = [5, 9, 0, 7]
+    pieces = cut(18, room)
+    assert pieces == [(TICKETS // 2, 1), (TICKETS * 16 // 18, 3), (TICKETS, 0)] and room == [3, 0, 0, 0]
+
+
+def test_rows_repeated_in_full_spread_over_tasks(spark, monkeypatch):
+    """Copies of one row are numbered apart, written out in parts, and stay whole where they fit."""
+    monkeypatch.setattr(sharding, "COPY_ROWS", 100)
+    monkeypatch.setattr(sharding, "BUCKET_ROWS", 50)
+    texts = [(7, "same")] * 950 + [(8, "other")] * 100 + [(9, None)] * 450 + [(i, f"text {i}") for i in range(100, 1_600)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    rows = shard_documents(docs, shards=3).collect()
+    places = check(rows, texts, 3)
+    assert all(len(places[zlib.crc32(t), len(t) + 8]) == 1 for t in (b"same", b"other"))
+    assert Counter(shard_documents(docs.repartition(5), shards=3).collect()) == Counter(rows)
