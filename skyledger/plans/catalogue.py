@@ -29,6 +29,7 @@ from skyledger.sources.folders import Folders
 from skyledger.sources.json_docs import json_candidates, ndjson_candidates
 from skyledger.sources.json_parts import json_files
 from skyledger.sources.kept_sums import KeptSums
+from skyledger.sources.leaf_index import LeafIndex
 from skyledger.sources.lines import sniffed_formats, text_lines
 from skyledger.sources.messages import classified, decoded_key, direct_candidates, notice_entries
 from skyledger.sources.payloads import as_batch
@@ -375,6 +376,15 @@ def q_containment_nested(spark, sf_dir):
     return reads.containing(_events(spark, sf_dir), wanted).select("event_id", F.to_json("telemetry").alias("telemetry"))
 
 
+def q_containment_indexed(spark, sf_dir):
+    """The same containment by the index of leaves, brought up to date first."""
+    configure(spark)
+    index = LeafIndex(_store(spark, sf_dir))
+    index.refresh()
+    wanted = {"motor": {"rpm": [None, 3, True], "é": "x"}}
+    return index.containing(wanted).select("event_id", F.to_json("telemetry").alias("telemetry"))
+
+
 def q_event_count(spark, sf_dir):
     return analysis.event_count(_events(spark, sf_dir))
 

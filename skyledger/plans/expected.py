@@ -183,6 +183,7 @@ def oracle_sql() -> dict[str, str]:
         "q_containment": f"""with {_WINNERS} select event_id, telemetry from winners
             where cast(json_extract(telemetry, '$.k') as bigint) = 7""",
         "q_containment_nested": f"with {_WINNERS} select event_id, telemetry from winners where rpm = 3",
+        "q_containment_indexed": f"with {_WINNERS} select event_id, telemetry from winners where rpm = 3",
         "q_redelivered_outcomes": f"""with {_judged(resent=False)}, twice as (
               select 'm' || seq as message_id, 0 as again, * from judged
               union all select 'm' || seq, 1, * from judged where seq % 3 = 0),

@@ -132,9 +132,9 @@ class Tables:
         self._write(rows.select(*self.spark.createDataFrame([], schema).columns).hint("rebalance", *partitions), name, *partitions)
 
     def _drop_sums(self, name: str, ingest_batch: str) -> None:
-        """Sums of a batch that is about to be written again."""
+        """Sums, or index rows, of a batch that is about to be written again."""
         files = self._folders()
-        depth = {"event_sums": "id_kind=*/event_date=*/severity=*", "issue_sums": "failed_date=*"}[name]
+        depth = "failed_date=*" if name == "issue_sums" else "id_kind=*/event_date=*/severity=*"
         for path in files.glob(f"{name}/{depth}/ingest_batch=*"):
             if unquote(path.rsplit("ingest_batch=", 1)[1]) == ingest_batch:
                 files.delete(path)
@@ -190,6 +190,7 @@ class Tables:
             .sortWithinPartitions("id_kind", "event_date", "severity", "drone_id", "event_time")
         )
         self._drop_sums("event_sums", ingest_batch)
+        self._drop_sums("event_leaves", ingest_batch)
         self._write(laid_out, "telemetry_events", *EVENT_PARTITIONS)
 
     def write_quarantine(self, rows: DataFrame, ingest_batch: str, failed_at) -> None:

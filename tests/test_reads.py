@@ -467,3 +467,81 @@ def test_kept_sums_follow_batches_and_compactions(spark, tmp_path):
     assert kept.refresh() == 2
     same()
     assert kept.event_count().collect()[0].n == 18
+
+
+def telemetry_rows(spark, texts, kind="derived"):
+    i = F.col("i")
+    rows = spark.createDataFrame(list(enumerate(texts)), "i long, telemetry string")
+    return rows.select(
+        F.concat(F.lit("t-"), i).alias("event_id"), F.lit(kind).alias("id_kind"), F.lit("D").alias("drone_id"),
+        (F.lit(START) + F.make_dt_interval(days=(i % 4).cast("int"))).alias("event_time"), F.lit("TAKEOFF").alias("event_type"),
+        F.lit(200).alias("status_code"), F.lit("info").alias("severity"), F.lit(None).cast("decimal(5,2)").alias("battery_pct"),
+        F.lit(None).cast("double").alias("latitude"), F.lit(None).cast("double").alias("longitude"), "telemetry",
+        F.lit("{}").alias("raw"), F.lit("s").alias("source"), F.lit("b").alias("batch_id"), F.lit(0).cast("bigint").alias("batch_seq"),
+    )
+
+
+ODD = [
+    None, "{}", "[]", "7", '{"é":1}', '{"a\\"b":[1]}', '{"$.x":{"[0]":null}}', '{"n":9007199254740993}', '{"n":9007199254740992}',
+    '{"n":2.0}', '{"n":2}', '{"n":2.5}', '{"n":true}', '{"n":"2"}', '{"n":-0.0}', '{"n":0}', '{"n":[1,{"m":false}]}', '{"n":[[1],{"m":null}]}',
+    '{"a":{"b":{"c":{"d":{"e":5}}}}}', '{"a":{"b":{"c":{"d":{"e":6}}}}}', '{"a":{"b":{"c":[]}}}', '{"n":123456789012345678901234567890}', '{"s":""}',
+    '{"n":4503599627370496.5}', '{"n":1e300}',
+]
+ASKED = [
+    {}, {"é": 1}, {'a"b': [1]}, {"$.x": {"[0]": None}}, {"n": 9007199254740993}, {"n": 9007199254740992}, {"n": 2}, {"n": 2.0}, {"n": 2.5},
+    {"n": True}, {"n": "2"}, {"n": 0}, {"n": -0.0}, {"n": [{"m": False}, 1]}, {"n": [[1]]}, {"n": []}, {"a": {"b": {"c": {"d": {"e": 5}}}}},
+    {"a": {"b": {"c": {}}}}, {"a": {"b": {"c": []}}}, {"n": 123456789012345678901234567890}, {"s": ""}, {"n": 4503599627370497}, {"n": 1e300},
+    {"n": float("nan")}, {"absent": 1}, {"n": [1, 1.0]},
+]
+
+
+def test_leaf_index_finds_what_a_scan_finds(spark, tmp_path, monkeypatch):
+    from skyledger.sources import leaf_index
+
+    store = Tables(spark, str(tmp_path / "store"))
+    index = leaf_index.LeafIndex(store)
+    ids = lambda df: sorted((r.event_id, r.ingest_batch) for r in df.select("event_id", "ingest_batch").collect())
+
+    def same(asked):
+        for wanted in asked:
+            assert ids(index.containing(wanted)) == ids(reads.containing(store.events(), wanted)), wanted
+
+    store.write_events(telemetry_rows(spark, ODD), "b/0", F.lit(START))
+    same(ASKED[:2])
+    assert index.refresh() == 4 and index.refresh() == 0
+    same(ASKED)
+    few = [{"n": 2}, {"a": {"b": {"c": {"d": {"e": 5}}}}}]
+    store.write_events(telemetry_rows(spark, ODD[5:15], "supplied"), "b1", F.lit(START))  # not indexed yet
+    same(few)
+    assert index.refresh() == 4
+    store.write_events(telemetry_rows(spark, ODD[9:20], "supplied"), "b1", F.lit(START))  # written again
+    same(few)
+    assert index.refresh() == 4
+    same(few)
+    monkeypatch.setattr(leaf_index, "NAMED_IDS", 2)
+    same(few)
+    store.write_events(telemetry_rows(spark, ODD[:9]), "b2", F.lit(START))
+    index.refresh()
+    store.compact(dt.date(2026, 9, 3))
+    same(few)
+    index.refresh()
+    same(few)
+
+
+def test_containment_by_leaves_reaches_the_scan(spark, tmp_path):
+    from skyledger.sources.leaf_index import LeafIndex
+
+    store = Tables(spark, str(tmp_path / "store"))
+    index = LeafIndex(store)
+    assert index.containing({"k": 1}).count() == 0  # an empty store
+    store.write_events(telemetry_rows(spark, [f'{{"k":{i},"even":{str(i % 2 == 0).lower()}}}' for i in range(2_000)]), "b", F.lit(START))
+    index.refresh()
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    found = index.containing({"k": 17})
+    text = plan(found)
+    assert "In(event_id" in text or "EqualTo(event_id,t-17)" in text, text
+    assert "event_date" in text.split("PartitionFilters:")[1].split("PushedFilters")[0] and "Exchange" not in text
+    assert [r.event_id for r in found.collect()] == ["t-17"]
+    text = plan(index.candidates([5]))
+    assert "EqualTo(leaf,5)" in text and "telemetry" not in text
+    assert index.containing({"even": True}).count() == 1_000 and index.containing({"even": True, "k": 4}).count() == 1
