@@ -16,6 +16,15 @@ WHITE_SPACE = (
 WHITE_SPACE_CLASS = r"\t-\r \u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\ufeff"
 
 
+#: How the reason starts for a part of a record that is too long for one value; the first part stands for the record.
+CONTINUED = "continued from an earlier part: "
+
+
+def is_continued(parse_error: Column) -> Column:
+    """Whether a row is a further part of a record; such rows keep text and are not counted."""
+    return F.coalesce(parse_error.startswith(CONTINUED), F.lit(False))
+
+
 def trimmed(text: Column) -> Column:
     """Strip white space as ECMAScript does; Spark's ``trim`` strips only U+0020."""
     return F.btrim(text, F.lit(WHITE_SPACE))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.operators.validate import ISSUES_TYPE
+from skyledger.operators.validate import ISSUES_TYPE, first_parts
 
 #: A delivery: a message id, and its place in the order of arrival.
 DELIVERY = ("batch_id", "batch_seq")
@@ -21,9 +21,10 @@ def batch_counters(judged: DataFrame) -> DataFrame:
     """received / valid / quarantined / duplicates_in_batch / contract_smell per delivery.
 
     ``valid`` is counted after in-batch deduplication. Copies are first counted per
-    id, so no distinct count has to gather a delivery's ids in one place.
+    id, so no distinct count has to gather a delivery's ids in one place. Of a record
+    in parts only the first counts.
     """
-    per_id = judged.groupBy(*DELIVERY, "event_id").agg(
+    per_id = first_parts(judged).groupBy(*DELIVERY, "event_id").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col("valid")).alias("n_valid")
     )
     valid = F.count_if(F.col("n_valid") > 0)
@@ -47,7 +48,7 @@ def contract_smell() -> Column:
 def sample_errors(judged: DataFrame) -> DataFrame:
     """The first rejected record's issues of each delivery."""
     return (
-        judged.where(~F.col("valid"))
+        first_parts(judged.where(~F.col("valid")))
         .groupBy(*DELIVERY)
         .agg(F.min_by("issues", "ord").alias("sample_errors"))
     )

@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skyledger.operators.validate import CONTINUED_CODE
+
 
 def failing_fields(quarantine: DataFrame) -> DataFrame:
-    """How often each field fails, most frequent first."""
+    """How often each field fails, most frequent first; a record in parts fails once."""
     return (
         quarantine.select(F.explode("errors").alias("issue"))
+        .where(F.col("issue.code") != CONTINUED_CODE)
         .groupBy(F.col("issue.path").alias("path"))
         .agg(F.count(F.lit(1)).alias("n"))
         .orderBy(F.desc("n"), "path")

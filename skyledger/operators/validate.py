@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from skyledger.functions import instants, json_text
 from skyledger.functions.numbers import number_from_text
-from skyledger.functions.text import WHITE_SPACE_CLASS, trimmed, utf16_length
+from skyledger.functions.text import WHITE_SPACE_CLASS, is_continued, trimmed, utf16_length
 
 #: ``ord`` is the arrival order, STRUCT<batch_seq, batch_id, file_pos, pos>.
 CANDIDATE_COLUMNS = (
@@ -62,6 +62,15 @@ READING_MESSAGES = {
 ISSUES_TYPE = "array<struct<path:string,code:string,message:string>>"
 
 
+#: The code of a further part of a record too long for one value.
+CONTINUED_CODE = "continued"
+
+
+def first_parts(judged: DataFrame) -> DataFrame:
+    """The rows that stand for a record each, without further parts."""
+    return judged.where(~F.exists("issues", lambda e: e["code"] == CONTINUED_CODE))
+
+
 def issue(path: str, code: str, message: str | Column) -> Column:
     text = F.lit(message) if isinstance(message, str) else message
     return F.struct(
@@ -275,6 +284,7 @@ def _with_issues(df: DataFrame, now: Column) -> DataFrame:
     found = F.array_compact(F.array(*[F.when(rule, what) for rule, what in rules]))
     listed = (
         F.when(~F.col("_broken"), F.array())
+        .when(is_continued(F.col("parse_error")), F.array(issue("(root)", CONTINUED_CODE, F.col("parse_error"))))
         .when(
             F.col("parse_error").isNotNull(),
             F.array(issue("(root)", "parse_error", F.col("parse_error"))),

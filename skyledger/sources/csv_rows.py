@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from skyledger.functions.text import WHITE_SPACE_CLASS, trimmed
+from skyledger.functions.text import CONTINUED, WHITE_SPACE_CLASS, trimmed
 from skyledger.session import written
 from skyledger.sources.lines import (
     STRETCH_KEY,
@@ -275,7 +275,11 @@ def shaped(header: Column, cells: Column) -> Column:
 
 
 def csv_candidates(lines: DataFrame, max_row_chars: int = MAX_ROW_CHARS) -> DataFrame:
-    """Candidates of CSV text: one per row that is not blank."""
+    """Candidates of CSV text: one per row that is not blank.
+
+    A row over ``max_row_chars`` is one record, rejected, whose text comes in parts: the first stands for it and
+    the others say that they continue it.
+    """
     rows = (
         logical_rows(lines, max_row_chars)
         .where(F.col("part").isNotNull() | ~F.col("text").rlike(BLANK_ROW))
@@ -284,9 +288,12 @@ def csv_candidates(lines: DataFrame, max_row_chars: int = MAX_ROW_CHARS) -> Data
     ragged = F.size("cells") != F.size("header")
     error = F.when(
         F.col("part").isNotNull(),
-        F.format_string(
-            f"malformed CSV row: longer than {max_row_chars} characters, text from line %d",
-            F.col("part"),
+        F.concat(
+            F.when(F.col("part") > F.col("line"), CONTINUED).otherwise(""),
+            F.format_string(
+                f"malformed CSV row: longer than {max_row_chars} characters, text from line %d",
+                F.col("part"),
+            ),
         ),
     ).when(
         ragged,

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skyledger.operators.validate import CONTINUED_CODE
 from skyledger.sources.folders import Folders
 from skyledger.sources.lines import literal_path
 from skyledger.sources.tables import EVENT_PARTITIONS, EVENT_SCHEMA, QUARANTINE_PARTITIONS, QUARANTINE_SCHEMA, Tables
@@ -36,7 +37,7 @@ def _summed_events(events: DataFrame, altitude_key: str) -> DataFrame:
 
 
 def _summed_issues(quarantine: DataFrame) -> DataFrame:
-    issues = quarantine.select(*QUARANTINE_PARTITIONS, F.explode("errors").alias("issue"))
+    issues = quarantine.select(*QUARANTINE_PARTITIONS, F.explode("errors").alias("issue")).where(F.col("issue.code") != CONTINUED_CODE)
     return issues.groupBy(*QUARANTINE_PARTITIONS, F.col("issue.path").alias("path")).agg(F.count(F.lit(1)).alias("n"))
 
 

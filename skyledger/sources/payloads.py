@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from skyledger.functions.text import is_continued
 from skyledger.session import written
 from skyledger.sources.csv_rows import csv_candidates
 from skyledger.sources.json_docs import ndjson_candidates
@@ -61,12 +62,13 @@ def capped(candidates: DataFrame, max_records: int) -> tuple[DataFrame, DataFram
 
     An option for callers who want a ceiling per file; nothing is capped unless
     asked. Counts per stretch locate the boundary, so only the one stretch that
-    holds it is ranked row by row.
+    holds it is ranked row by row. A record in parts counts once, and all its parts stay or go.
     """
+    counted = F.when(is_continued(F.col("parse_error")), 0).otherwise(1)
     candidates = written(candidates, "uncapped")
     counts = written(
         candidates.groupBy(*STRETCH_KEY)
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.sum(counted).alias("n"))
         .withColumn(
             "before", F.coalesce(F.sum("n").over(stretch_order(before=True)), F.lit(0))
         ),
@@ -75,9 +77,10 @@ def capped(candidates: DataFrame, max_records: int) -> tuple[DataFrame, DataFram
     key = list(STRETCH_KEY)
     whole = counts.where(F.col("before") + F.col("n") <= max_records)
     split = counts.where(
-        (F.col("before") < max_records) & (F.col("before") + F.col("n") > max_records)
+        (F.col("before") <= max_records) & (F.col("before") + F.col("n") > max_records)
     )
-    rank = F.row_number().over(Window.partitionBy(*key).orderBy("pos"))
+    upto = Window.partitionBy(*key).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    rank = F.sum(counted).over(upto)
     boundary = (
         candidates.join(split.select(*key, "before"), key)
         .withColumn("rank", F.col("before") + rank)
