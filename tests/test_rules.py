@@ -9,7 +9,7 @@ from skyledger.functions import json_text
 from skyledger.functions.numbers import number_from_text, number_to_text
 from skyledger.functions.text import trimmed
 from skyledger.plans.intake import judge
-from skyledger.sources.json_docs import with_parsed
+from skyledger.sources.json_docs import NOT_JSON, with_parsed
 from skyledger.sources.payloads import delivered
 
 VALID = {
@@ -176,3 +176,13 @@ def test_values_of_any_length_are_judged(spark, now):
     assert rows[9].event_time.isoformat() == "2026-03-02T05:00:00.111000"
     assert rows[10].telemetry == '{"n":1.1111111111111112e+304}'
     assert rows[11].telemetry == '{"f":0.3333333333333333,"n":null}'
+
+
+def test_only_the_columns_asked_for_are_written(spark, now):
+    text = '{"droneId":"D","timestamp":"2026-11-30T10:00:00Z","eventType":"TAKEOFF","telemetryData":{"batteryPct":50}}'
+    lines = spark.createDataFrame([(text, 0), ("{}", 1)], "raw_text string, pos bigint")
+    rows = with_parsed(lines, "raw_text", NOT_JSON).withColumns({"raw_json": F.col("raw_text"), "source": F.lit("s")})
+    candidates = delivered(rows, F.lit("b"), F.lit(0), F.lit(""))
+    some = judge(candidates, now, ["event_id", "valid"])
+    assert some.columns == ["event_id", "valid"] == [f.name for f in spark.read.parquet(*some.inputFiles()).schema]
+    assert sorted(map(repr, some.collect())) == sorted(map(repr, judge(candidates, now).select("event_id", "valid").collect()))
