@@ -1,8 +1,8 @@
 """Kept sums: what fleet questions need of the stored rows, summed up once for each partition that holds them.
 
-A partition of ``event_sums`` has the name of the partition of events it sums up, and one row a device; one of ``issue_sums`` has
-that of rejected rows, and one row a failing field. Bringing them up to date sums up the partitions that have no sums yet
-and drops sums whose partition is gone, so batches, late rows and compactions cost what they changed. A batch that is
+The sums of a batch stand in one folder: those of events hold one row a partition and device, those of rejected rows one row a
+partition and failing field. Bringing them up to date sums up the batches that have no sums yet or of which a partition is gone
+(see :mod:`skyledger.sources.batch_mirror`), so batches, late rows and compactions cost what they changed. A batch that is
 written again first drops its own sums. Sums merge: counts, sums, sums of squares and of products, extremes.
 """
 
@@ -12,9 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.operators.validate import CONTINUED_CODE
+from skyledger.sources.batch_mirror import BatchMirror
 from skyledger.sources.folders import Folders
-from skyledger.sources.lines import literal_path
-from skyledger.sources.tables import EVENT_PARTITIONS, EVENT_SCHEMA, QUARANTINE_PARTITIONS, QUARANTINE_SCHEMA, Tables
+from skyledger.sources.tables import EVENT_PARTITIONS, EVENT_SUMS, ISSUE_SUMS, QUARANTINE_PARTITIONS, Tables
 
 EVENT_SUMS_SCHEMA = """
     drone_id string, events bigint, readings bigint, battery double, altitude double, battery_squares double,
@@ -48,26 +48,21 @@ class KeptSums:
         self.files = Folders(tables.spark, tables.root)
 
     def refresh(self) -> int:
-        """Bring the sums up to date; returns how many partitions were summed up."""
-        by_event = lambda rows: _summed_events(rows, self.altitude_key)
-        done = self._refresh("telemetry_events", EVENT_SCHEMA, EVENT_PARTITIONS, "event_sums", EVENT_SUMS_SCHEMA, by_event)
-        return done + self._refresh("telemetry_quarantine", QUARANTINE_SCHEMA, QUARANTINE_PARTITIONS, "issue_sums", ISSUE_SUMS_SCHEMA, _summed_issues)
-
-    def _refresh(self, source: str, schema: str, partitions: tuple[str, ...], target: str, sums_schema: str, summed) -> int:
-        pattern = "/".join(f"{p}=*" for p in partitions)
-        stored = {p.removeprefix(f"{source}/") for p in self.files.glob(f"{source}/{pattern}")}
-        kept = {p.removeprefix(f"{target}/") for p in self.files.glob(f"{target}/{pattern}")}
-        for gone in kept - stored:
-            self.files.delete(f"{target}/{gone}")
-        new = sorted(stored - kept)
-        if new:
-            base = f"{self.files.root}/{source}"
-            rows = self.spark.read.schema(schema).option("basePath", base).parquet(*[literal_path(f"{base}/{p}") for p in new])
-            self.tables.write_sums(summed(rows), target, sums_schema, partitions)
-        return len(new)
+        """Bring the sums up to date; returns how many partitions are new in them."""
+
+        def events(batches: list[str]) -> None:
+            rows = self.tables.events().where(F.col("ingest_batch").isin(batches))
+            self.tables.write_sums(_summed_events(rows, self.altitude_key), EVENT_SUMS, EVENT_SUMS_SCHEMA)
+
+        def issues(batches: list[str]) -> None:
+            rows = self.tables.quarantine().where(F.col("ingest_batch").isin(batches))
+            self.tables.write_sums(_summed_issues(rows), ISSUE_SUMS, ISSUE_SUMS_SCHEMA)
+
+        done = BatchMirror(self.files, "telemetry_events", EVENT_PARTITIONS, EVENT_SUMS).refresh(events)
+        return done + BatchMirror(self.files, "telemetry_quarantine", QUARANTINE_PARTITIONS, ISSUE_SUMS).refresh(issues)
 
     def events(self) -> DataFrame:
-        return self.tables.sums("event_sums", EVENT_SUMS_SCHEMA)
+        return self.tables.sums(EVENT_SUMS, EVENT_SUMS_SCHEMA)
 
     def event_count(self) -> DataFrame:
         return self.events().agg(F.coalesce(F.sum("events"), F.lit(0)).alias("n"))
@@ -80,7 +75,7 @@ class KeptSums:
 
     def failing_fields(self) -> DataFrame:
         """As :func:`skyledger.operators.analysis.failing_fields`."""
-        rows = self.tables.sums("issue_sums", ISSUE_SUMS_SCHEMA).groupBy("path").agg(F.sum("n").alias("n"))
+        rows = self.tables.sums(ISSUE_SUMS, ISSUE_SUMS_SCHEMA).groupBy("path").agg(F.sum("n").alias("n"))
         return rows.orderBy(F.desc("n"), "path")
 
     def battery_by_altitude(self) -> DataFrame:

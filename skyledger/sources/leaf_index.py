@@ -1,32 +1,31 @@
 """An inverted index of telemetry leaves: containment finds the events that may match without reading every telemetry value.
 
 A leaf is a plain value with the path to it: object keys by name, array items without their number, so that a wanted value
-implies the same leaves wherever its items stand. The index holds 64-bit hashes of leaves with the id of their event, in
-partitions named after those of the events, sorted by leaf, with Bloom filters. Equal hashes of different leaves only let
+implies the same leaves wherever its items stand. The index holds 64-bit hashes of leaves with the id and date of their event,
+batch by batch, sorted by leaf, with Bloom filters. Equal hashes of different leaves only let
 more events through to the exact test, which always decides.
 
 A search names the wanted leaves in the filter of the index. Up to ``NAMED_IDS`` candidates are then named in the filter of the
-events; of more, only their dates are opened. Batches that the index does not hold yet are searched as a whole, so results are
-whole at any time; :meth:`LeafIndex.refresh` adds the partitions that are new and drops those that are gone. Leaves deeper than
+events; of more, only their dates are opened. Batches that the index does not hold whole are searched as a whole, so results are
+whole at any time; :meth:`LeafIndex.refresh` indexes the batches that changed and drops those that are gone. Leaves deeper than
 ``DEPTH`` steps are not indexed and do not narrow a search, nor do empty objects and arrays.
 """
 
 from __future__ import annotations
 
 from typing import Any
-from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.operators.reads import containing
+from skyledger.sources.batch_mirror import BatchMirror, batch_name
 from skyledger.sources.folders import Folders
 from skyledger.sources.id_index import NAMED_IDS
-from skyledger.sources.lines import literal_path
-from skyledger.sources.tables import EVENT_PARTITIONS, EVENT_SCHEMA, Tables
+from skyledger.sources.tables import EVENT_LEAVES, EVENT_PARTITIONS, Tables
 
 LEAF_SCHEMA = "leaf bigint, event_id string, id_kind string, event_date date, severity string, ingest_batch string"
-LEAVES, EVENTS = "event_leaves", "telemetry_events"
+EVENTS = "telemetry_events"
 DEPTH = 4
 #: Numbers from here on share one leaf for each path: as doubles, neighbours may be equal.
 EXACT_BELOW = 2**52
@@ -100,32 +99,24 @@ class LeafIndex:
         self.tables = tables
         self.spark: SparkSession = tables.spark
         self.files = Folders(tables.spark, tables.root)
-
-    def _partitions(self, name: str) -> set[str]:
-        pattern = "/".join(f"{p}=*" for p in EVENT_PARTITIONS)
-        return {p.removeprefix(f"{name}/") for p in self.files.glob(f"{name}/{pattern}")}
+        self.mirror = BatchMirror(self.files, EVENTS, EVENT_PARTITIONS, EVENT_LEAVES)
 
     def refresh(self) -> int:
-        """Index the partitions of events that are new; returns how many."""
-        stored, kept = self._partitions(EVENTS), self._partitions(LEAVES)
-        for gone in kept - stored:
-            self.files.delete(f"{LEAVES}/{gone}")
-        new = sorted(stored - kept)
-        if new:
-            base = f"{self.files.root}/{EVENTS}"
-            events = self.spark.read.schema(EVENT_SCHEMA).option("basePath", base).parquet(*[literal_path(f"{base}/{p}") for p in new])
+        """Index the batches of events that changed; returns how many partitions are new."""
+
+        def index(batches: list[str]) -> None:
+            events = self.tables.events().where(F.col("ingest_batch").isin(batches))
             rows = events.select(F.explode(leaves(F.col("telemetry"))).alias("leaf"), "event_id", *EVENT_PARTITIONS)
-            # A partition without any leaf is indexed too.
-            none = [F.lit(None).cast(kind).alias(name) for name, kind in (("leaf", "long"), ("event_id", "string"))]
-            rows = rows.unionByName(events.select(*EVENT_PARTITIONS).distinct().select(*none, *EVENT_PARTITIONS))
-            laid_out = rows.hint("rebalance", *EVENT_PARTITIONS).sortWithinPartitions(*EVENT_PARTITIONS, "leaf")
-            writer = laid_out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*EVENT_PARTITIONS)
-            writer.option("parquet.bloom.filter.enabled#leaf", "true").parquet(f"{self.files.root}/{LEAVES}")
-        return len(new)
+            # Each task sorts the leaves of the events it has read; none is shuffled.
+            laid_out = rows.sortWithinPartitions("ingest_batch", "leaf")
+            writer = laid_out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("ingest_batch")
+            writer.option("parquet.bloom.filter.enabled#leaf", "true").parquet(f"{self.files.root}/{EVENT_LEAVES}")
+
+        return self.mirror.refresh(index)
 
     def candidates(self, wanted: list[int]) -> DataFrame:
         """(event_id, event_date) of the indexed events that have all the leaves."""
-        rows = self.spark.read.schema(LEAF_SCHEMA).parquet(f"{self.files.root}/{LEAVES}")
+        rows = self.spark.read.schema(LEAF_SCHEMA).parquet(f"{self.files.root}/{EVENT_LEAVES}")
         if len(wanted) == 1:
             return rows.where(F.col("leaf") == wanted[0]).select("event_id", "event_date")
         found = rows.where(F.col("leaf").isin(wanted)).groupBy("event_id", *EVENT_PARTITIONS).agg(F.count(F.lit(1)).alias("n"))
@@ -134,8 +125,8 @@ class LeafIndex:
     def containing(self, wanted: dict[str, Any]) -> DataFrame:
         """The stored events whose telemetry contains ``wanted``, as :func:`skyledger.operators.reads.containing` finds them."""
         events, tokens = self.tables.events(), wanted_leaves(wanted)
-        kept = self._partitions(LEAVES)
-        if not tokens or not kept:
+        kept = self.mirror.kept()
+        if not tokens or not any(kept.values()):
             return containing(events, wanted)
         hashes = self.spark.range(1).select(F.array_distinct(F.array(*tokens))).head()[0]
         hits = self.candidates(hashes)
@@ -147,7 +138,7 @@ class LeafIndex:
             # As many as there are days of events at most.
             near = F.col("event_date").isin(sorted(r.event_date for r in hits.select("event_date").distinct().collect()))
         found = containing(events.where(near) if some else events.where(F.lit(False)), wanted)
-        missing = sorted({unquote(p.rsplit("ingest_batch=", 1)[1]) for p in self._partitions(EVENTS) - kept})
+        missing = sorted(batch_name(b) for b, parts in self.mirror.stored().items() if not parts <= kept.get(b, set()))
         if not missing:
             return found
         rest = containing(events.where(F.col("ingest_batch").isin(missing)), wanted)

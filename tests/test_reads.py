@@ -545,3 +545,47 @@ def test_containment_by_leaves_reaches_the_scan(spark, tmp_path):
     text = plan(index.candidates([5]))
     assert "EqualTo(leaf,5)" in text and "telemetry" not in text
     assert index.containing({"even": True}).count() == 1_000 and index.containing({"even": True, "k": 4}).count() == 1
+
+
+def dated_rows(spark, days, prefix="t"):
+    texts = [f'{{"k":{i}}}' for i in range(days)]
+    rows = telemetry_rows(spark, texts).withColumn("event_time", F.lit(START) + F.make_dt_interval(days=F.regexp_extract("event_id", r"(\d+)$", 1).cast("int")))
+    return rows.withColumn("event_id", F.concat(F.lit(prefix), "event_id"))
+
+
+def test_leaves_and_sums_make_no_folder_for_each_date(spark, tmp_path):
+    """What is kept beside the events follows the batches, not the dates; before, each date had files of its own."""
+    from skyledger.sources.kept_sums import KeptSums
+    from skyledger.sources.leaf_index import LeafIndex
+
+    store = Tables(spark, str(tmp_path / "store"))
+    index, kept = LeafIndex(store), KeptSums(store)
+    store.write_events(dated_rows(spark, 40), "b0", F.lit(START))
+    assert index.refresh() == 40 and kept.refresh() == 40
+    for name in ("batch_event_leaves", "batch_event_sums"):
+        assert [p.name for p in (tmp_path / "store" / name).iterdir() if "=" in p.name] == ["ingest_batch=b0"]
+    assert kept.event_count().collect()[0].n == 40 and [r.event_id for r in index.containing({"k": 7}).collect()] == ["tt-7"]
+
+
+def test_a_refresh_that_breaks_off_is_done_again(spark, tmp_path, monkeypatch):
+    from skyledger.sources.batch_mirror import BatchMirror
+    from skyledger.sources.folders import Folders
+    from skyledger.sources.kept_sums import KeptSums
+
+    store = Tables(spark, str(tmp_path / "store"))
+    kept = KeptSums(store)
+    store.write_events(dated_rows(spark, 3, "a"), "b0", F.lit(START))
+    store.write_events(dated_rows(spark, 3, "b"), "b1", F.lit(START))
+
+    def breaks(*_):
+        raise InterruptedError
+
+    with monkeypatch.context() as patch:
+        patch.setattr(Folders, "write_lines", breaks)
+        with pytest.raises(InterruptedError):
+            kept.refresh()
+    assert all(not parts for parts in BatchMirror(kept.files, "telemetry_events", ("id_kind",), "batch_event_sums").kept().values())
+    store.compact(dt.date(2026, 9, 3))  # takes partitions from the batches without a list
+    kept.refresh()
+    assert kept.event_count().collect()[0].n == 6
+    assert kept.refresh() == 0
