@@ -589,3 +589,43 @@ def test_a_refresh_that_breaks_off_is_done_again(spark, tmp_path, monkeypatch):
     kept.refresh()
     assert kept.event_count().collect()[0].n == 6
     assert kept.refresh() == 0
+
+
+def test_events_are_put_in_place_by_folder(spark, tmp_path, monkeypatch):
+    """New dates are moved whole, also several at once; a batch written again replaces its folders alone."""
+    from skyledger.sources.folders import Folders
+
+    store, deepest = Tables(spark, str(tmp_path / "store")), []
+    real = Folders.put_in_place
+    monkeypatch.setattr(Folders, "put_in_place", lambda self, source, target, depth: (deepest.append(depth), real(self, source, target, depth))[1])
+    ids = lambda: sorted((r.event_id, r.ingest_batch) for r in store.events().select("event_id", "ingest_batch").collect())
+    store.write_events(dated_rows(spark, 5), "b/0", F.lit(START))
+    store.write_events(dated_rows(spark, 8, "u"), "b1", F.lit(START))
+    store.write_events(dated_rows(spark, 2), "b/0", F.lit(START))
+    assert deepest == [4, 4, 4]
+    assert ids() == sorted([(f"tt-{i}", "b/0") for i in range(5)] + [(f"ut-{i}", "b1") for i in range(8)])
+    assert not (tmp_path / "store" / "_staged").exists()
+    # A write that broke off leaves nothing that is read, and is cleared by the next.
+    monkeypatch.setattr(Folders, "put_in_place", lambda *_: (_ for _ in ()).throw(InterruptedError()))
+    with pytest.raises(InterruptedError):
+        store.write_events(dated_rows(spark, 3, "x"), "b2", F.lit(START))
+    monkeypatch.setattr(Folders, "put_in_place", real)
+    assert len(ids()) == 13
+    store.write_events(dated_rows(spark, 3, "x"), "b2", F.lit(START))
+    assert len(ids()) == 16 and not (tmp_path / "store" / "_staged").exists()
+
+
+def test_events_are_written_by_more_tasks_than_cores(spark, tmp_path):
+    """Adaptive execution would put them together to one task a core."""
+    key = "spark.sql.adaptive.coalescePartitions.minPartitionNum"
+    seen, store = [], Tables(spark, str(tmp_path / "store"))
+    rows = dated_rows(spark, 3)
+    from skyledger.sources import tables as module
+
+    real = module.with_setting
+    module.with_setting = lambda session, name, value: (seen.append((name, int(value))), real(session, name, value))[1]
+    try:
+        store.write_events(rows, "b", F.lit(START))
+    finally:
+        module.with_setting = real
+    assert seen == [(key, 3 * spark.sparkContext.defaultParallelism)] and spark.conf.get(key, None) is None
