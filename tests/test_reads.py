@@ -629,3 +629,14 @@ def test_events_are_written_by_more_tasks_than_cores(spark, tmp_path):
     finally:
         module.with_setting = real
     assert seen == [(key, 3 * spark.sparkContext.defaultParallelism)] and spark.conf.get(key, None) is None
+
+
+def test_a_stream_numbers_its_messages_once(spark):
+    from skyledger.sources.messages import classified, numbered_deliveries
+
+    sent = spark.createDataFrame([("m", '{"a":1}'), ("m", '{"a":2}'), ("n", "[]")], "message_id string, body string")
+    told = numbered_deliveries(sent)
+    plan = classified(told, numbered=True)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window") == 1
+    key = lambda df: sorted((r.message_id, r.message_seq, r.body, r.role) for r in df.select("message_id", "message_seq", "body", "role").collect())
+    assert key(classified(told, numbered=True)) == key(classified(sent))
