@@ -444,6 +444,51 @@ def test_alarms_of_a_stream_over_restarts_and_late_outcomes(spark, tmp_path):
     assert key(stored_windows(store, "a")) == key(failure_windows(everything))
 
 
+def test_alarms_of_runs_over_many_dates_and_of_outcomes_weeks_behind(spark, tmp_path):
+    from skyledger.operators.accounting import failure_windows
+    from skyledger.streaming.alarm_stream import alarm_stream, stored_windows
+
+    store, drop = Tables(spark, str(tmp_path / "store")), str(tmp_path / "drop")
+    schema = "status string, finished_at timestamp"
+    sent = [range(10), range(10, 11), range(11, 20), range(-100, -90), range(-90, -89), range(20, 21)]  # bad windows, of six hours each
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    alarms = []
+    try:
+        for places in sent:
+            rows = [("failed", START + dt.timedelta(hours=6 * k)) for k in places for _ in range(6)]
+            spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(drop)
+            stream = spark.readStream.schema(schema).parquet(drop)
+            writer = alarm_stream(stream, store, "a", str(tmp_path / "check"), window="6 hours", in_a_row=11)
+            writer.trigger(availableNow=True).start().awaitTermination()
+            found = store.alarms().collect()
+            alarms.append(sorted(tuple((t.replace(tzinfo=dt.timezone.utc) - START) // dt.timedelta(hours=6) for t in (r.run_start, r.window_start)) for r in found))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    assert alarms == [[]] + [[(0, 10)]] * 3 + [[(-100, -90), (0, 10)]] * 2
+    everything = spark.read.schema(schema).parquet(drop)
+    key = lambda df: sorted((r.window_start, r.failures) for r in df.collect())
+    assert key(stored_windows(store, "a")) == key(failure_windows(everything))
+
+
+def test_alarms_of_the_feed_are_one_for_each_run(spark, tmp_path):
+    from skyledger.plans.catalogue import q_alarm_stream
+
+    def alarms(hours, name):
+        times = [dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc) + dt.timedelta(hours=h) for h in hours for _ in range(6)]
+        rows = [(i, "error", t) for i, t in enumerate([*times, None])]
+        spark.createDataFrame(rows, "event_id long, event_type string, ts timestamp").write.parquet(str(tmp_path / name / "events.parquet"))
+        return sorted((r.run_start, r.window_start) for r in q_alarm_stream(spark, str(tmp_path / name)).collect())
+
+    years_before = 12 * 366 * 24
+    assert alarms([*range(150), 151, 153, 154, -years_before, 1 - years_before], "runs") == [
+        ("2011-12-23T00:00:00.000Z", "2011-12-23T01:00:00.000Z"),
+        ("2024-01-01T00:00:00.000Z", "2024-01-01T01:00:00.000Z"),
+        ("2024-01-07T09:00:00.000Z", "2024-01-07T10:00:00.000Z"),
+    ]
+    assert alarms([], "no times") == []
+
+
 def test_kept_sums_follow_batches_and_compactions(spark, tmp_path):
     from skyledger.sources.kept_sums import KeptSums
 
